@@ -93,21 +93,19 @@ def fixed_pieces(text: Column, size: int, overlap: int = 0) -> Column:
     return F.slice(windows, F.lit(1), wanted)
 
 
-def recursive_pieces(text: Column, size: int, overlap: int = 0) -> Column:
+def recursive_pieces(text: Column, size: int) -> Column:
     """Pieces that end at the last paragraph break that fits, else line break,
-    else space, else after ``size`` characters.
-
-    With an overlap, pieces of ``size - overlap`` characters get the end of
-    the piece before in front, so every chunk stays within ``size``.
+    else space, else after ``size`` characters.  Joined they give the text.
     """
-    step = size - overlap
-    if overlap < 0 or step < 3:
-        raise ValueError("need 0 <= overlap and size - overlap >= 3")
-    rest = rf"(?s).{{1,{step}}}\z"
-    breaks = rf".{{1,{step - 2}}}\n\n|.{{1,{step - 1}}}\n|.{{1,{step - 1}}} |.{{1,{step}}}"
-    pieces = F.regexp_extract_all(text, F.lit(f"{rest}|{breaks}"), F.lit(0))
-    if overlap == 0:
-        return pieces
+    if size < 3:
+        raise ValueError("need a size of at least 3")
+    rest = rf"(?s).{{1,{size}}}\z"
+    breaks = rf".{{1,{size - 2}}}\n\n|.{{1,{size - 1}}}\n|.{{1,{size - 1}}} |.{{1,{size}}}"
+    return F.regexp_extract_all(text, F.lit(f"{rest}|{breaks}"), F.lit(0))
+
+
+def repeat_ends(pieces: Column, overlap: int) -> Column:
+    """Put the last ``overlap`` characters of the piece before in front of each piece."""
     return F.transform(pieces, lambda piece, i: F.concat(
         F.when(i > 0, F.right(F.get(pieces, i - 1), F.lit(overlap))).otherwise(""), piece))
 

@@ -1,0 +1,26 @@
+"""A small side cut into blocks that are safe to send to every task."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+
+def bounded_blocks(df: DataFrame, key: str, size: Column, max_rows: int,
+                   max_size: int) -> Iterator[list[Row]]:
+    """Rows in blocks of about at most ``max_rows`` rows and ``max_size`` total size.
+
+    The number of blocks follows from a count; rows go to blocks by key hash,
+    so any number of rows is handled, one block at a time.
+    """
+    facts = df.agg(F.count("*").alias("n"), F.sum(size).alias("size")).first()
+    need = max(facts["n"] / max_rows, (facts["size"] or 0) / max_size)
+    blocks = 1 if need <= 1 else int(need * 1.25) + 1
+    for number in range(blocks):
+        part = df if blocks == 1 else df.filter(
+            F.pmod(F.xxhash64(key), F.lit(blocks)) == number)
+        rows = part.collect()
+        if rows:
+            yield rows

@@ -9,11 +9,12 @@ costs no more than one found nowhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from gristmill.operators.blocks import bounded_blocks
 
 # A block of passages is sent to every task; its size is bounded by both.
 BLOCK_PASSAGES = 50_000
@@ -44,18 +45,6 @@ def _finder(passages: list[tuple]):
     return find
 
 
-def _passage_blocks(passages: DataFrame, item: str, text: str) -> Iterator[list[tuple]]:
-    """Blocks by hash of the id, as many as keep each block under the bounds."""
-    known = passages.select(F.col(item).alias("i"), F.col(text).alias("t")).dropna()
-    size = known.agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars")).first()
-    wanted = max(size["n"] / BLOCK_PASSAGES, (size["chars"] or 0) / BLOCK_CHARS)
-    blocks = 1 if wanted <= 1 else int(wanted * 1.25) + 1
-    for number in range(blocks):
-        part = known if blocks == 1 else known.filter(
-            F.pmod(F.xxhash64("i"), F.lit(blocks)) == number)
-        yield [(r["i"], r["t"]) for r in part.collect()]
-
-
 def containment_truth(passages: DataFrame, documents: DataFrame, item: str = "item_id",
                       passage: str = "text", doc: str = "doc_id", text: str = "text") -> DataFrame:
     """All (item, doc) pairs where the document's text contains the passage."""
@@ -65,11 +54,11 @@ def containment_truth(passages: DataFrame, documents: DataFrame, item: str = "it
     doc_field = narrow.schema[doc]
     schema = f"`{item}` {item_field.dataType.simpleString()}, " \
              f"`{doc}` {doc_field.dataType.simpleString()}"
+    item_type = to_arrow_type(item_field.dataType)
     found = spark.createDataFrame([], schema)
-    for block in _passage_blocks(passages, item, passage):
-        if not block:
-            continue
-        shared = spark.sparkContext.broadcast(block)
+    known = passages.select(F.col(item).alias("i"), F.col(passage).alias("t")).dropna()
+    for block in bounded_blocks(known, "i", F.length("t"), BLOCK_PASSAGES, BLOCK_CHARS):
+        shared = spark.sparkContext.broadcast([tuple(row) for row in block])
 
         def scan(batches, shared=shared):
             find = _finder(shared.value)
@@ -81,20 +70,12 @@ def containment_truth(passages: DataFrame, documents: DataFrame, item: str = "it
                     items.extend(hits)
                     rows.extend([row] * len(hits))
                 taken = docs.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(items), taken], [item, doc]) \
-                    if items else pa.RecordBatch.from_arrays(
-                        [pa.array([], _arrow_type(item_field)), taken], [item, doc])
+                yield pa.RecordBatch.from_arrays([pa.array(items, item_type), taken], [item, doc])
 
         found = found.unionByName(narrow.mapInArrow(scan, schema))
     return found
 
 
-def _arrow_type(field):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(field.dataType)
-
-
 def answer_documents(truth: DataFrame, doc: str) -> DataFrame:
     """The set of documents named by any question."""
     return truth.select(doc).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import fixed_pieces, html_to_text, recursive_pieces
+from gristmill.functions.text import fixed_pieces, html_to_text, recursive_pieces, repeat_ends
 
 # Default chunk sizes and overlaps by use.
 INDEX_CHUNK = (1024, 0)
@@ -18,12 +18,16 @@ def chunk(df: DataFrame, doc: str = "doc_id", text: str = "text", method: str =
           keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per chunk: document, number from 0, start (fixed only), text."""
     if method == "fixed":
-        pieces = fixed_pieces(F.col(text), size, overlap)
+        pieces = df.select(doc, *keep, fixed_pieces(F.col(text), size, overlap).alias("_pieces"))
     elif method == "recursive":
-        pieces = recursive_pieces(F.col(text), size, overlap)
+        # Pieces leave room for the overlap, so that every chunk stays within size.
+        pieces = df.select(doc, *keep,
+                           recursive_pieces(F.col(text), size - overlap).alias("_pieces"))
+        if overlap:
+            pieces = pieces.withColumn("_pieces", repeat_ends(F.col("_pieces"), overlap))
     else:
         raise ValueError(f"unknown chunking method {method!r}")
-    out = df.select(doc, *keep, F.posexplode(pieces).alias("chunk_no", "chunk_text"))
+    out = pieces.select(doc, *keep, F.posexplode("_pieces").alias("chunk_no", "chunk_text"))
     if method == "fixed":
         out = out.withColumn("start", F.col("chunk_no").cast("long") * (size - overlap))
     return out
