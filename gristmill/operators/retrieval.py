@@ -135,7 +135,7 @@ def _scan(index: DataFrame, item_id: Sequence[str], query_id: str, query_type, i
     return index.mapInArrow(run, schema)
 
 
-def _ranked(hits: DataFrame, by: Sequence[str], item_id: Sequence[str], k: int) -> DataFrame:
+def rank_hits(hits: DataFrame, by: Sequence[str], item_id: Sequence[str], k: int) -> DataFrame:
     order = Window.partitionBy(*by).orderBy(F.desc("score"), *item_id)
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -194,10 +194,10 @@ def search(queries: DataFrame, index: DataFrame, k: int = TOP_K, metric: str = "
         return _no_hits(queries, index, query_id, item_id)
     hits = _union(found)
     if not skip_self:
-        return _ranked(hits, [query_id], item_id, k)
+        return rank_hits(hits, [query_id], item_id, k)
     # k + 1 per task before the self hit is dropped leaves k true candidates.
     others = hits.filter(F.col(query_id) != F.col(item_id[0]))
-    return _ranked(others, [query_id], item_id, k)
+    return rank_hits(others, [query_id], item_id, k)
 
 
 def _unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -226,8 +226,6 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str =
     spark, context = chunks.sparkSession, chunks.sparkSession.sparkContext
     place = (F.col(group) if group else F.lit(0)).cast("int")
     narrow = chunks.select(*item_id, words(F.col(text)).alias("_words"), place.alias("_g"))
-    sizes = {r["_g"]: (r["n"], r["mean"]) for r in narrow.groupBy("_g").agg(
-        F.count("*").alias("n"), F.avg(F.size("_words")).alias("mean")).collect()}
     asked = queries.select(F.col(query_id), F.array_distinct(words(F.col(query_text))).alias("_w"))
     found = []
     letters = F.coalesce(F.aggregate("_w", F.lit(0), lambda s, w: s + F.length(w)), F.lit(0))
@@ -235,20 +233,16 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str =
         terms = sorted({w for row in block for w in row["_w"] or ()})
         if not terms:
             continue
-        vocabulary = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
-        counts = (narrow.select("_g", F.explode(F.array_distinct("_words")).alias("term"))
-                  .join(vocabulary, "term").groupBy("_g", "term").agg(F.count("*").alias("df")))
+        sizes, documents = _term_counts(narrow, terms)
         number = {t: i for i, t in enumerate(terms)}
         rarity = np.zeros((groups, len(terms)))
-        for row in counts.collect():
-            n = sizes[row["_g"]][0]
-            rarity[row["_g"], number[row["term"]]] = math.log(
-                1 + (n - row["df"] + 0.5) / (row["df"] + 0.5))
+        for (g, term), df in documents.items():
+            rarity[g, number[term]] = math.log(1 + (sizes[g][0] - df + 0.5) / (df + 0.5))
         asks = np.zeros((len(terms), len(block)))
         for column, row in enumerate(block):
             asks[[number[w] for w in row["_w"] or ()], column] = 1
         shared = context.broadcast((pa.array(terms), rarity, asks,
-                                    {g: mean for g, (_, mean) in sizes.items()}))
+                                    {g: total / n for g, (n, total) in sizes.items()}))
         column = len(item_id)
 
         def score(batch, shared=shared, column=column):
@@ -278,7 +272,23 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str =
                            group, positive=True))
     if not found:
         return _no_hits(queries, chunks, query_id, item_id, group)
-    return _ranked(_union(found), [query_id, *([group] if group else [])], item_id, k)
+    return rank_hits(_union(found), [query_id, *([group] if group else [])], item_id, k)
+
+
+def _term_counts(chunks: DataFrame, terms: list[str]):
+    """Chunk counts, word totals and document counts of the terms, in one pass.
+
+    An empty word added to every chunk stands for the chunk itself.  The
+    vocabulary is that of one bounded question block.
+    """
+    vocabulary = F.broadcast(chunks.sparkSession.createDataFrame(
+        [(t,) for t in ["", *terms]], "term string"))
+    seen = chunks.select("_g", F.size("_words").alias("_n"), F.explode(
+        F.array_append(F.array_distinct("_words"), "")).alias("term"))
+    rows = seen.join(vocabulary, "term").groupBy("_g", "term").agg(
+        F.count("*").alias("df"), F.sum("_n").alias("total")).collect()
+    sizes = {r["_g"]: (r["df"], r["total"]) for r in rows if r["term"] == ""}
+    return sizes, {(r["_g"], r["term"]): r["df"] for r in rows if r["term"] != ""}
 
 
 def hybrid(vector_hits: DataFrame, lexical_hits: DataFrame, strategy: str = "rrf",
@@ -304,7 +314,7 @@ def hybrid(vector_hits: DataFrame, lexical_hits: DataFrame, strategy: str = "rrf
     merged = side(vector_hits, "_a", alpha).join(side(lexical_hits, "_b", 1 - alpha), key, "full")
     scored = merged.select(*key, F.round(F.coalesce("_a", F.lit(0.0)) + F.coalesce(
         "_b", F.lit(0.0)), SCORE_DIGITS).alias("score"))
-    return _ranked(scored, [query_id], item_id, k)
+    return rank_hits(scored, [query_id], item_id, k)
 
 
 def append_index(chunks: DataFrame, path: str, collection: str) -> None:

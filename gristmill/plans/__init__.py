@@ -4,7 +4,7 @@ from importlib import import_module
 
 from gristmill.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("sampling_queries", "text_queries", "retrieval_queries")
+_MODULES = ("sampling_queries", "text_queries", "retrieval_queries", "sweep_queries")
 
 
 def _load() -> None:

@@ -24,3 +24,13 @@ def query(sql: str | None = None):
         return fn
 
     return register
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over all of them.
+
+    For work that is heavy per row on a table of one or few files; a large
+    table has splits enough and stays as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)

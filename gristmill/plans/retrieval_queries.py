@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.operators import documents, evaluation, retrieval
-from gristmill.operators.containment import containment_truth
-from gristmill.plans.registry import query
+from gristmill.operators import retrieval
+from gristmill.plans.registry import query, spread
 
 NEIGHBOURS = """
 with p as (select q.vec_id as query_id, v.vec_id as item_id, {score} as score
@@ -64,7 +63,7 @@ select doc_id, 768 as dimension,
 from documents
 """)
 def embed_documents(table):
-    vectors = retrieval.embed(table("documents").select("doc_id", "text"))
+    vectors = retrieval.embed(spread(table("documents").select("doc_id", "text")))
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     return vectors.select("doc_id", F.size("embedding").alias("dimension"),
                           F.round(F.sqrt(norm), 4).alias("length"))
@@ -73,12 +72,12 @@ def embed_documents(table):
 @query()
 def search_documents_by_text(table):
     """Benchmark passages against hashed document vectors."""
-    docs = retrieval.embed(table("documents").select("doc_id", "text")).drop("text")
+    docs = retrieval.embed(spread(table("documents").select("doc_id", "text"))).drop("text")
     asked = retrieval.embed(table("benchmark"))
     return retrieval.search(asked, docs, query_id="item_id").select("item_id", "doc_id", "rank")
 
 
-def _bm25_sql(chunks: str, key: str) -> str:
+def bm25_sql(chunks: str, key: str) -> str:
     """SQL for BM25 over ``chunks(g, <key>, x)`` where x is the word list."""
     return rf"""
 qw as (select item_id, unnest(list_distinct(list_filter(
@@ -103,30 +102,23 @@ hits as materialized (
 
 
 WORDS = r"list_filter(regexp_split_to_array(lower({0}), '\s+'), lambda w: w <> '')"
-DOC_BM25 = _bm25_sql(f"select 0 as g, doc_id, {WORDS.format('text')} as x from documents", "doc_id")
+DOC_BM25 = bm25_sql(f"select 0 as g, doc_id, {WORDS.format('text')} as x from documents", "doc_id")
 
 
 @query(f"with {DOC_BM25} select item_id, doc_id, rank::int as rank from hits where rank <= 10")
 def bm25_documents(table):
-    return retrieval.bm25(table("benchmark"), table("documents"), 10, "item_id").select(
+    docs = spread(table("documents").select("doc_id", "text"))
+    return retrieval.bm25(table("benchmark"), docs, 10, "item_id").select(
         "item_id", "doc_id", "rank")
 
 
-# Rank by the number of a document's words: a second ranking that SQL can repeat.
-SECOND = rf"""
-second as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
-           from (select item_id, doc_id, len::double as score from hits
-                 join (select doc_id, len(x) as len from ch) l using (doc_id)))
-"""
-
-
 def _two_lists(table):
-    docs = table("documents")
+    docs = spread(table("documents").select("doc_id", "text"))
     lexical = retrieval.bm25(table("benchmark"), docs, 20, "item_id")
     wide = lexical.select("item_id", "doc_id").join(
         docs.select("doc_id", F.size(retrieval.words(F.col("text"))).cast("double").alias("score")),
         "doc_id")
-    return retrieval._ranked(wide, ["item_id"], ["doc_id"], 20), lexical
+    return retrieval.rank_hits(wide, ["item_id"], ["doc_id"], 20), lexical
 
 
 HYBRID = f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gristmill.operators import sampling, splits
 from gristmill.operators.containment import answer_documents, containment_truth
-from gristmill.plans.registry import query
+from gristmill.plans.registry import query, spread
 
 SPLIT_BY_LANG = """
 select lang, case when rn <= ceil(round((1 - 0.9) * n, 9)) then 'eval' else 'train' end as side,
@@ -217,6 +217,11 @@ def batch_stats(table):
     return sampling.batch_stats(items, "conv_id", "chunks")
 
 
+def _truth(table):
+    return containment_truth(table("benchmark"),
+                             spread(table("documents").select("doc_id", "text")))
+
+
 def _files(table):
     return table("documents").select("doc_id", F.octet_length("text").cast("long")
                                      .alias("size_bytes"))
@@ -238,7 +243,7 @@ w as (select 0::bigint as rn, 0::bigint as used, null::bigint as doc_id, null::b
 
 
 def _selected(table, cap):
-    truth = containment_truth(table("benchmark"), table("documents"))
+    truth = _truth(table)
     files = sampling.mark_priority(_files(table), answer_documents(truth, "doc_id"),
                                    F.col("doc_id"), "doc_id")
     return sampling.select_within_budget(files, cap, "doc_id", priority="named")
@@ -270,14 +275,14 @@ def selection_manifest(table):
 select b.item_id, d.doc_id from benchmark b join documents d on contains(d.text, b.text)
 """)
 def passage_containment(table):
-    return containment_truth(table("benchmark"), table("documents"))
+    return _truth(table)
 
 
 @query("""
 select distinct d.doc_id from benchmark b join documents d on contains(d.text, b.text)
 """)
 def answer_documents_set(table):
-    return answer_documents(containment_truth(table("benchmark"), table("documents")), "doc_id")
+    return answer_documents(_truth(table), "doc_id")
 
 
 @query("""
@@ -285,7 +290,7 @@ select d.doc_id, d.lang, exists (select 1 from benchmark b where contains(d.text
 from documents d
 """)
 def priority_flag(table):
-    truth = containment_truth(table("benchmark"), table("documents"))
+    truth = _truth(table)
     return sampling.mark_priority(table("documents").select("doc_id", "lang"),
                                   answer_documents(truth, "doc_id"), F.col("doc_id"), "doc_id")
 

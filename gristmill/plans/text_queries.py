@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import scores, text
 from gristmill.operators import chat, checks, documents
-from gristmill.plans.registry import query
+from gristmill.plans.registry import query, spread
 
 PARTS = """
 parts as (select conv_id, arg_min(text, turn) filter (role = 'system') as system,
@@ -136,7 +136,7 @@ from documents, generate_series(0, ceil(greatest(length(text) - 200, 1) / 800)::
 where length(text) > 0
 """)
 def chunk_fixed(table):
-    return documents.chunk(table("documents"), method="fixed", size=1000, overlap=200)
+    return documents.chunk(spread(table("documents").select("doc_id", "text")), method="fixed", size=1000, overlap=200)
 
 
 RECURSIVE = (r"'(?s).{1,512}\z|.{1,510}\n\n|.{1,511}\n|.{1,511} |.{1,512}'")
@@ -148,7 +148,7 @@ select doc_id, (i - 1)::int as chunk_no, pieces[i] as chunk_text
 from p, generate_series(1, len(pieces)) g(i)
 """)
 def chunk_recursive(table):
-    return documents.chunk(table("documents"), method="recursive", size=512)
+    return documents.chunk(spread(table("documents").select("doc_id", "text")), method="recursive", size=512)
 
 
 @query(f"""
@@ -158,7 +158,7 @@ select doc_id, (i - 1)::int as chunk_no,
 from p, generate_series(1, len(pieces)) g(i)
 """)
 def chunk_recursive_overlap(table):
-    return documents.chunk(table("documents"), method="recursive", size=562, overlap=50)
+    return documents.chunk(spread(table("documents").select("doc_id", "text")), method="recursive", size=562, overlap=50)
 
 
 def _sql_plain_text() -> str:
