@@ -8,7 +8,6 @@ question-chunk pair outside a task's own top k is ever written.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -233,33 +232,26 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str =
         terms = sorted({w for row in block for w in row["_w"] or ()})
         if not terms:
             continue
-        sizes, documents = _term_counts(narrow, terms)
+        known = pa.array(terms)
+        n, total, df = _term_counts(narrow, known, groups)
+        rarity = np.log(1 + (n[:, None] - df + 0.5) / (df + 0.5))
+        mean = total / np.maximum(n, 1)
         number = {t: i for i, t in enumerate(terms)}
-        rarity = np.zeros((groups, len(terms)))
-        for (g, term), df in documents.items():
-            rarity[g, number[term]] = math.log(1 + (sizes[g][0] - df + 0.5) / (df + 0.5))
         asks = np.zeros((len(terms), len(block)))
         for column, row in enumerate(block):
             asks[[number[w] for w in row["_w"] or ()], column] = 1
-        shared = context.broadcast((pa.array(terms), rarity, asks,
-                                    {g: total / n for g, (n, total) in sizes.items()}))
+        shared = context.broadcast((known, rarity, asks, np.where(mean == 0, 1, mean)))
         column = len(item_id)
 
         def score(batch, shared=shared, column=column):
-            known, rarity, asks, means = shared.value
+            known, rarity, asks, mean = shared.value
             token_lists, group_of = batch.column(column), batch.column(column + 1).to_numpy()
             step = max(1, STEP_CELLS // max(asks.shape))
             for start in range(0, len(batch), step):
                 part = token_lists.slice(start, step)
-                lengths = pc.list_value_length(part).fill_null(0).to_numpy()
-                row_of = np.repeat(np.arange(len(part)), lengths)
-                term = pc.index_in(part.flatten(), value_set=known).fill_null(-1).to_numpy()
-                cells, counted = np.unique(row_of[term >= 0] * len(known) + term[term >= 0],
-                                           return_counts=True)
-                row, term = cells // len(known), cells % len(known)
                 in_group = group_of[start:start + len(part)]
-                mean = np.array([means[g] or 1.0 for g in in_group])
-                damp = k1 * (1 - b + b * lengths / np.where(mean == 0, 1, mean))
+                lengths, row, term, counted = _term_cells(part, known)
+                damp = k1 * (1 - b + b * lengths / mean[in_group])
                 weight = np.zeros((len(part), len(known)))
                 weight[row, term] = rarity[in_group[row], term] * counted * (k1 + 1) / (
                     counted + damp[row])
@@ -275,20 +267,42 @@ def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str =
     return rank_hits(_union(found), [query_id, *([group] if group else [])], item_id, k)
 
 
-def _term_counts(chunks: DataFrame, terms: list[str]):
-    """Chunk counts, word totals and document counts of the terms, in one pass.
+def _term_cells(token_lists: pa.Array, known: pa.Array):
+    """Word counts per list, and (row, term, count) of the known terms in them."""
+    lengths = pc.list_value_length(token_lists).fill_null(0).to_numpy()
+    row_of = np.repeat(np.arange(len(token_lists)), lengths)
+    term = pc.index_in(token_lists.flatten(), value_set=known).fill_null(-1).to_numpy()
+    cells, counted = np.unique(row_of[term >= 0] * len(known) + term[term >= 0],
+                               return_counts=True)
+    return lengths, cells // len(known), cells % len(known), counted
 
-    An empty word added to every chunk stands for the chunk itself.  The
-    vocabulary is that of one bounded question block.
+
+def _term_counts(chunks: DataFrame, terms: pa.Array, groups: int):
+    """Per group: chunk count, word total, and document count of every term.
+
+    One pass; each task adds up its batches and emits its sums.
     """
-    vocabulary = F.broadcast(chunks.sparkSession.createDataFrame(
-        [(t,) for t in ["", *terms]], "term string"))
-    seen = chunks.select("_g", F.size("_words").alias("_n"), F.explode(
-        F.array_append(F.array_distinct("_words"), "")).alias("term"))
-    rows = seen.join(vocabulary, "term").groupBy("_g", "term").agg(
-        F.count("*").alias("df"), F.sum("_n").alias("total")).collect()
-    sizes = {r["_g"]: (r["df"], r["total"]) for r in rows if r["term"] == ""}
-    return sizes, {(r["_g"], r["term"]): r["df"] for r in rows if r["term"] != ""}
+    shared = chunks.sparkSession.sparkContext.broadcast(terms)
+
+    def add_up(batches):
+        known = shared.value
+        sums = np.zeros((groups, len(known) + 2), np.int64)
+        for batch in batches:
+            lengths, row, term, _ = _term_cells(batch.column(0), known)
+            group_of = batch.column(1).to_numpy()
+            np.add.at(sums, (group_of[row], term), 1)
+            np.add.at(sums, (group_of, len(known)), 1)
+            np.add.at(sums, (group_of, len(known) + 1), lengths)
+        g, place = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(g, pa.int32()), pa.array(place, pa.int32()), pa.array(sums[g, place])],
+            ["g", "place", "n"])
+
+    totals = np.zeros((groups, len(terms) + 2), np.int64)
+    for row in chunks.select("_words", "_g").mapInArrow(add_up, "g int, place int, n long").groupBy(
+            "g", "place").agg(F.sum("n").alias("n")).collect():
+        totals[row["g"], row["place"]] = row["n"]
+    return totals[:, -2], totals[:, -1], totals[:, :-2]
 
 
 def hybrid(vector_hits: DataFrame, lexical_hits: DataFrame, strategy: str = "rrf",

@@ -13,6 +13,7 @@ from gristmill.functions.text import fixed_pieces, recursive_pieces, repeat_ends
 from gristmill.operators import evaluation, retrieval
 from gristmill.operators.boards import top_n
 from gristmill.operators.sampling import QUESTION_COUNT, QUESTION_SEED, subset
+from gristmill.session import cut_lineage
 
 # Configurations per run and options kept by preselection.
 MAX_PATTERNS = 8
@@ -86,9 +87,9 @@ def sweep(questions: DataFrame, documents: DataFrame, truth: DataFrame, configs:
     most = max(c.number_of_chunks for c in configs)
     hits = retrieval.bm25(questions, chunks, most, item, question, [doc, "chunk_no"],
                           "chunk_text", group="setting", groups=len(cuts))
-    # The few hits are matched back to their documents and cut again, so chunk
-    # text never goes through the search.
-    hits = evaluation.mark_relevant(hits, truth, item, doc)
+    # The few hits are kept, matched back to their documents and cut again, so
+    # chunk text never goes through the search.
+    hits = cut_lineage(evaluation.mark_relevant(hits, truth, item, doc))
     hit_docs = documents.join(hits.select(doc).distinct(), doc, "left_semi")
     hit_text = chunk_all(hit_docs, cuts, doc, text)
     hits = hits.join(hit_text, ["setting", doc, "chunk_no"])
