@@ -111,6 +111,6 @@ def metric_columns(present: Sequence[str], first: str, preferred: Sequence[str])
     return sorted(ordered, key=lambda m: m != first)
 
 
-def number_text(value: Column) -> Column:
-    """Four decimals, rounded from the exact binary value (``format_string`` rounds half up)."""
-    return F.call_function("format_number", value, F.lit("0.0000"))
+def number_text(value: Column, digits: int = 4) -> Column:
+    """Fixed decimals, rounded from the exact binary value (``format_string`` rounds half up)."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))

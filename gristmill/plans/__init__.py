@@ -4,7 +4,8 @@ from importlib import import_module
 
 from gristmill.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("sampling_queries", "text_queries", "retrieval_queries", "sweep_queries")
+_MODULES = ("sampling_queries", "text_queries", "retrieval_queries", "sweep_queries",
+            "tabular_queries")
 
 
 def _load() -> None:
