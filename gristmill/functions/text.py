@@ -30,11 +30,11 @@ SYSTEM_MESSAGE = (
 
 def words(text: Column) -> Column:
     """Lower-cased whitespace words, in order, with repeats."""
-    return F.filter(F.split(F.lower(text), f"{SPACE}+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), f"{SPACE}+"), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, f"{SPACE}+"), lambda w: w != ""))
+    return F.size(F.array_remove(F.split(text, f"{SPACE}+"), ""))
 
 
 def strip(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.once import computed_once
 from gristmill.functions.text import CONTEXT_TEMPLATE, SYSTEM_MESSAGE, USER_MESSAGE
 from gristmill.operators.boards import metric_columns, number_text
 from gristmill.operators.ranking import global_rank
@@ -100,10 +101,14 @@ def _only_text(variant: Column, *keys: str) -> Column:
     return F.when(F.schema_of_variant(part) == "STRING", _read(variant, *keys))
 
 
-def _config_columns(pattern: Column) -> dict[str, Column]:
+def _layout(pattern: Column) -> Column:
+    return F.when(_filled(_read(pattern, "rag_pattern", "settings")).isNotNull(), "legacy").when(
+        _filled(_read(pattern, "settings")).isNotNull(), "flat").otherwise("split")
+
+
+def _config_columns(pattern: Column, layout: Column) -> dict[str, Column]:
     """The nine settings from whichever of the three layouts a record has."""
-    legacy = _filled(_read(pattern, "rag_pattern", "settings")).isNotNull()
-    flat = _filled(_read(pattern, "settings")).isNotNull()
+    legacy, flat = layout == "legacy", layout == "flat"
     rag = F.try_variant_get(pattern, "$.rag_params", "variant")
     indexing = F.try_variant_get(pattern, "$.indexing_params", "variant")
 
@@ -145,7 +150,8 @@ def normalize_pattern(df: DataFrame, json: str = "pattern", keep: tuple[str, ...
 
     ``means`` keeps the metrics in the order they are written.
     """
-    read = df.select(*keep, json, F.try_parse_json(json).alias("_v"))
+    read = computed_once(df.select(*keep, json), "_v", F.try_parse_json(json))
+    read = computed_once(read, "_layout", _layout(F.col("_v")))
     raw = F.get_json_object(json, "$.scores")
     nested = F.get_json_object(json, "$.scores.scores")
     scores = F.from_json(F.when(F.startswith(nested, F.lit("{")), nested).otherwise(raw),
@@ -163,7 +169,8 @@ def normalize_pattern(df: DataFrame, json: str = "pattern", keep: tuple[str, ...
         .alias("final_score"),
         F.coalesce(means, F.array().cast("array<struct<metric:string,mean:double>>"))
         .alias("means"),
-        *[value.alias(column) for column, value in _config_columns(variant).items()])
+        *[value.alias(column) for column, value in _config_columns(
+            variant, F.col("_layout")).items()])
 
 
 def pattern_order(patterns: DataFrame, directory: str) -> DataFrame:

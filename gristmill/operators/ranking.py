@@ -24,7 +24,7 @@ from gristmill.session import DRIVER_ROWS, collect_bounded, cut_lineage, shuffle
 
 PREFIX_HEX = 4            # 65,536 hash prefixes
 ABOVE_ALL_HASHES = "g"    # sorts after every hex digest
-SORT_ROWS = 1_000_000     # one key range is sorted by one task up to this size
+SORT_ROWS = 100_000       # a key range up to this size is sorted by one task
 JOIN_SALTS = 16
 
 
@@ -174,20 +174,21 @@ def range_summary(df: DataFrame, order: Sequence[str], value: str) -> list:
 
 
 def prefix_end(df: DataFrame, order: str | Sequence[str], value: str, budget: float,
-               parts: list | None = None):
+               n: int | None = None):
     """Last key of the longest prefix whose ``value`` sum stays within budget.
 
     Returns ``(row, sum, complete)``; ``row`` is None when not even the first
     row fits, ``complete`` is true when everything fits.  ``order`` must end
-    in a unique key and ``value`` must not be negative.  ``parts`` is the range
-    summary of ``df`` where the caller already has it.
+    in a unique key and ``value`` must not be negative.  The range that holds
+    the end is narrowed until one task can sort it; ``n`` is the number of
+    rows where the caller knows it.
     """
     order = _names(order)
     active = df.select(*order, value)
     end, used, previous = None, 0, None
-    while True:
+    while n is None or n > SORT_ROWS:
         edge = None
-        for part in parts if parts is not None else range_summary(active, order, value):
+        for part in range_summary(active, order, value):
             if used + part["total"] > budget:
                 edge = part
                 break
@@ -195,17 +196,18 @@ def prefix_end(df: DataFrame, order: str | Sequence[str], value: str, budget: fl
         if edge is None:
             return end, used, previous is None
         active = active.filter(_from(order, edge["lo"]) & up_to(order, edge["hi"]))
-        bounds = (edge["lo"], edge["hi"])
-        if edge["n"] <= SORT_ROWS or bounds == previous:
-            break
-        previous, parts = bounds, None
+        if (edge["lo"], edge["hi"]) == previous:
+            raise ValueError("the order does not identify rows")
+        previous, n = (edge["lo"], edge["hi"]), edge["n"]
     running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = active.withColumn("_cum", F.sum(value).over(running)).filter(
-        F.col("_cum") <= F.lit(budget - used)).agg(
-        F.max(_tuple(order)).alias("end"), F.max("_cum").alias("used")).first()
+    fits = F.col("_cum") <= F.lit(budget - used)
+    inside = active.withColumn("_cum", F.sum(value).over(running)).agg(
+        F.max(F.when(fits, _tuple(order))).alias("end"),
+        F.max(F.when(fits, F.col("_cum"))).alias("used"),
+        F.count_if(~fits).alias("over")).first()
     if inside["end"] is not None:
         end, used = inside["end"], used + inside["used"]
-    return end, used, False
+    return end, used, previous is None and inside["over"] == 0
 
 
 def running_sum(df: DataFrame, order: str | Sequence[str], value: Column | str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.once import computed_once
 from gristmill.operators.ranking import global_rank
 
 # Log names of each metric, in order of preference, and the cap.
@@ -38,8 +39,8 @@ def series_value(entry: Column) -> Column:
 
 def parse_log(log: DataFrame, text: str = "text") -> DataFrame:
     """Lines with their entry and loss; blank and malformed lines have neither."""
-    entry = log.withColumn("_entry", F.try_parse_json(text))
-    return entry.withColumn("_loss", series_value(F.col("_entry")))
+    entry = computed_once(log, "_entry", F.try_parse_json(text))
+    return computed_once(entry, "_loss", series_value(F.col("_entry")))
 
 
 def training_summary(log: DataFrame, run: str = "run", line: str = "line",

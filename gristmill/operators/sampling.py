@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill.operators.checks import require_columns
 from gristmill.operators.ranking import (
-    after, global_rank, pick_by_hash, prefix_end, range_summary, running_sum, up_to)
+    after, global_rank, pick_by_hash, prefix_end, running_sum, up_to)
 from gristmill.session import cut_lineage
 
 # Default limits and seeds.
@@ -122,7 +122,7 @@ def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str |
 
     The walk runs in rounds.  With R bytes left, the longest prefix of the
     files no larger than R is kept; the next one overflows for good, and the
-    walk goes on behind it with what is left.  Every round is two small jobs
+    walk goes on behind it with what is left.  Every round is a few small jobs
     over (order, size), and what it keeps is a plain condition on those
     columns, so the result is one filter over ``files``.  Once at most
     ``tail_rows`` files can still fit, their keys are walked on the driver.
@@ -148,11 +148,11 @@ def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str |
         if behind is not None:
             fits = fits & after(order, behind)
         active = narrow.filter(fits)
-        parts = range_summary(active, order, size)
-        if sum(part["n"] for part in parts) <= tail_rows:
+        n = active.count()
+        if n <= tail_rows:
             tail = active.collect()
             break
-        end, used, complete = prefix_end(active, order, size, left, parts)
+        end, used, complete = prefix_end(active, order, size, left, n)
         keep = keep | (fits & up_to(order, end))
         if complete:
             tail = []
