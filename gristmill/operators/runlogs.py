@@ -60,7 +60,8 @@ def training_summary(log: DataFrame, run: str = "run", line: str = "line",
     return parsed.groupBy(run).agg(
         *firsts, last.alias("final_loss"), F.min("_loss").alias("min_loss"),
         F.count("_loss").alias("steps")).withColumn(
-        "final_perplexity", F.exp(F.least("final_loss", F.lit(PERPLEXITY_EXPONENT).cast("double"))))
+        "final_perplexity", F.when(F.col("final_loss").isNotNull(), F.exp(F.least(
+            F.col("final_loss"), F.lit(float(PERPLEXITY_EXPONENT))))))
 
 
 def loss_curve(log: DataFrame, run: str = "run", line: str = "line",
