@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import strip, word_count, words
 from gristmill.functions.stem import stem
+from gristmill.functions.text import strip, word_count, words
 
 # Score names and direction, caps, lengths.
 HIGHER_IS_BETTER = {
@@ -125,12 +125,19 @@ def _common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+class _Stems(dict):
+    """Stems of the words met so far in one batch."""
+
+    def __missing__(self, word: str) -> str:
+        self[word] = found = stem(word) if len(word) > STEM_ABOVE else word
+        return found
+
+
 def _overlap_scores(prediction_bleu: str, target_bleu: str, prediction_rouge: str,
-                    target_rouge: str, stemmed: bool) -> tuple[float, float, float, float]:
+                    target_rouge: str, stems: _Stems | None) -> tuple[float, ...]:
     left, right = prediction_rouge.split(), target_rouge.split()
-    if stemmed:
-        left = [stem(w) if len(w) > STEM_ABOVE else w for w in left]
-        right = [stem(w) if len(w) > STEM_ABOVE else w for w in right]
+    if stems is not None:
+        left, right = [stems[w] for w in left], [stems[w] for w in right]
     pairs = [_f1((_grams(left, n) & _grams(right, n)).total(),
                  max(len(left) - n + 1, 0), max(len(right) - n + 1, 0)) for n in (1, 2)]
     return (_bleu(prediction_bleu.split(), target_bleu.split()), *pairs,
@@ -142,8 +149,9 @@ def overlap_scores(prediction: Column, target: Column, stemmed: bool = True) ->
     @F.pandas_udf("bleu double, rouge1 double, rouge2 double, rougeL double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for columns in batches:
+            stems = _Stems() if stemmed else None
             yield pd.DataFrame(
-                [_overlap_scores(*row, stemmed) for row in zip(*columns)],
+                [_overlap_scores(*row, stems) for row in zip(*columns)],
                 columns=["bleu", "rouge1", "rouge2", "rougeL"], dtype="float64")
 
     return score(bleu_tokens(prediction), bleu_tokens(target),

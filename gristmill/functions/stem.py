@@ -7,8 +7,6 @@ and -logi, and a list of irregular words.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 # The published suffix tables and irregular words.
 STEP2 = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
          ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
@@ -111,7 +109,6 @@ def _final_e(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=100_000)
 def stem(word: str) -> str:
     word = word.lower()
     if word in IRREGULAR:

@@ -34,7 +34,7 @@ ALPHA = 0.5
 QUERY_BLOCK = 1024            # questions per block
 QUERY_BLOCK_NUMBERS = 4_000_000
 LEXICAL_BLOCK = 256
-LEXICAL_BLOCK_CHARS = 400_000
+LEXICAL_BLOCK_CHARS = 100_000
 STEP_CELLS = 4_000_000        # cells of one dense score or weight matrix
 SCORE_DIGITS = 6              # scores are compared and returned at this precision
 

@@ -19,6 +19,8 @@ QUESTION_SEED = 17
 QUESTION_COUNT = 5
 INDEX_BATCH = 20
 
+STORED_ROUNDS = 32            # rounds of a budget walk in one condition
+
 
 def row_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Size of a row: bytes of every column's text form, null counts 0."""
@@ -141,8 +143,8 @@ def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str |
             return files.drop(*extra)
         return files.filter(up_to(order, end) if end is not None else F.lit(False)).drop(*extra)
 
-    left, behind, keep = cap_bytes, None, F.lit(False)
     narrow = cut_lineage(narrow)
+    left, behind, keep, rounds, stored = cap_bytes, None, F.lit(False), 0, []
     while True:
         fits = F.col(size) <= F.lit(left)
         if behind is not None:
@@ -153,23 +155,30 @@ def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str |
             tail = active.collect()
             break
         end, used, complete = prefix_end(active, order, size, left, n)
-        keep = keep | (fits & up_to(order, end))
+        keep, rounds = keep | (fits & up_to(order, end)), rounds + 1
         if complete:
             tail = []
             break
         left, behind = left - used, end
+        if rounds % STORED_ROUNDS == 0:     # keep the condition short
+            stored.append(cut_lineage(narrow.filter(keep)))
+            keep = F.lit(False)
     chosen = []
     for row in sorted(tail, key=lambda r: tuple(r[c] for c in order)):
         if row[size] <= left:
             left -= row[size]
             chosen.append(row)
-    if not chosen:
+    if not chosen and not stored:
         return files.filter(keep).drop(*extra)
-    last = files.sparkSession.createDataFrame(chosen, narrow.schema).drop(size).withColumnsRenamed(
-        {c: f"_t{c}" for c in order}).withColumn("_in_tail", F.lit(True))
-    joined = files.join(F.broadcast(last), [F.col(c) == F.col(f"_t{c}") for c in order], "left")
-    return joined.filter(keep | F.coalesce("_in_tail", F.lit(False))).drop(
-        *extra, "_in_tail", *[f"_t{c}" for c in order])
+    named = files.sparkSession.createDataFrame(chosen, narrow.schema)
+    for part in stored:
+        named = named.unionByName(part)
+    named = named.drop(size).withColumnsRenamed({c: f"_t{c}" for c in order}).withColumn(
+        "_named", F.lit(True))
+    joined = files.join(named if stored else F.broadcast(named),
+                        [F.col(c) == F.col(f"_t{c}") for c in order], "left")
+    return joined.filter(keep | F.coalesce("_named", F.lit(False))).drop(
+        *extra, "_named", *[f"_t{c}" for c in order])
 
 
 def mark_priority(files: DataFrame, ids: DataFrame, key: Column, id_col: str,

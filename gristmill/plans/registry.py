@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.session import ship_package
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +16,6 @@ def query(sql: str | None = None):
         name = fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
             return fn(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
 
         QUERIES[name] = run

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -52,24 +50,6 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, wherever the driver was started.
-
-    Needed once per application unless the package is installed on the cluster.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="gristmill-"), "gristmill"),
-                                  "zip", root, "gristmill")
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -50,6 +50,14 @@ def test_budget_walk_rounds_equal_the_walk(spark, monkeypatch, seed):
     assert kept_keys(got) == walk(sizes, cap, first)
 
 
+def test_budget_walk_with_many_rounds(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "STORED_ROUNDS", 2)
+    sizes = [s for i in range(9) for s in (1, 100 - i)]     # one small file per round
+    got = sampling.select_within_budget(files(spark, sizes), 100, "key", tail_rows=0)
+    assert kept_keys(got) == walk(sizes, 100) and len(walk(sizes, 100)) == 9
+    assert got.columns == ["key", "size_bytes", "named"]
+
+
 def test_budget_without_cap_and_prefix(spark):
     df = files(spark, [5, 9, 3])
     assert sampling.select_within_budget(df, None, "key").count() == 3
