@@ -104,10 +104,11 @@ def recursive_pieces(text: Column, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{rest}|{breaks}"), F.lit(0))
 
 
-def repeat_ends(pieces: Column, overlap: int) -> Column:
+def repeat_ends(pieces: Column, overlap: int | Column) -> Column:
     """Put the last ``overlap`` characters of the piece before in front of each piece."""
+    overlap = F.lit(overlap) if isinstance(overlap, int) else overlap
     return F.transform(pieces, lambda piece, i: F.concat(
-        F.when(i > 0, F.right(F.get(pieces, i - 1), F.lit(overlap))).otherwise(""), piece))
+        F.when(i > 0, F.right(F.get(pieces, i - 1), overlap)).otherwise(""), piece))
 
 
 # Blocks without text, tags that end a line, named entities.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.once import computed_once
 from gristmill.functions.text import fixed_pieces, html_to_text, recursive_pieces, repeat_ends
 
 # Default chunk sizes and overlaps by use.
@@ -17,17 +18,14 @@ def chunk(df: DataFrame, doc: str = "doc_id", text: str = "text", method: str =
           size: int = INDEX_CHUNK[0], overlap: int = INDEX_CHUNK[1],
           keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per chunk: document, number from 0, start (fixed only), text."""
-    if method == "fixed":
-        pieces = df.select(doc, *keep, fixed_pieces(F.col(text), size, overlap).alias("_pieces"))
-    elif method == "recursive":
-        # Pieces leave room for the overlap, so that every chunk stays within size.
-        pieces = df.select(doc, *keep,
-                           recursive_pieces(F.col(text), size - overlap).alias("_pieces"))
-        if overlap:
-            pieces = pieces.withColumn("_pieces", repeat_ends(F.col("_pieces"), overlap))
-    else:
+    if method not in ("fixed", "recursive"):
         raise ValueError(f"unknown chunking method {method!r}")
-    out = pieces.select(doc, *keep, F.posexplode("_pieces").alias("chunk_no", "chunk_text"))
+    pieces = fixed_pieces(F.col(text), size, overlap) if method == "fixed" else \
+        recursive_pieces(F.col(text), size - overlap)     # leaves room for the overlap
+    cut = computed_once(df, "_pieces", pieces).select(doc, *keep, "_pieces")
+    if method == "recursive" and overlap:
+        cut = cut.withColumn("_pieces", repeat_ends(F.col("_pieces"), overlap))
+    out = cut.select(doc, *keep, F.posexplode("_pieces").alias("chunk_no", "chunk_text"))
     if method == "fixed":
         out = out.withColumn("start", F.col("chunk_no").cast("long") * (size - overlap))
     return out

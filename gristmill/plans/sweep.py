@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.once import computed_once
 from gristmill.functions.text import fixed_pieces, recursive_pieces, repeat_ends
 from gristmill.operators import evaluation, retrieval
 from gristmill.operators.boards import top_n
@@ -62,13 +63,15 @@ def _pieces(text, method: str, size: int, overlap: int):
 def chunk_all(documents: DataFrame, cuts: Sequence[tuple[str, int, int]], doc: str,
               text: str) -> DataFrame:
     """Chunks of every setting from one read of the documents: (setting, doc, chunk_no, text)."""
-    cut = documents.select(doc, *[_pieces(F.col(text), *c).alias(f"_c{i}")
-                                  for i, c in enumerate(cuts)])
-    for i, (method, _, overlap) in enumerate(cuts):
-        if method == "recursive" and overlap:
-            cut = cut.withColumn(f"_c{i}", repeat_ends(F.col(f"_c{i}"), overlap))
-    by_setting = cut.select(doc, F.posexplode(F.array(*[f"_c{i}" for i in range(len(cuts))]))
-                            .alias("setting", "_pieces"))
+    pieces = computed_once(documents.select(doc, text), "_all", F.array(
+        *[_pieces(F.col(text), *c) for c in cuts])).drop(text)
+    by_setting = pieces.select(doc, F.posexplode("_all").alias("setting", "_pieces"))
+    overlaps = F.array(*[F.lit(overlap if method == "recursive" else 0)
+                         for method, _, overlap in cuts])
+    if any(method == "recursive" and overlap for method, _, overlap in cuts):
+        overlap = F.get(overlaps, F.col("setting"))
+        by_setting = by_setting.withColumn("_pieces", F.when(overlap > 0, repeat_ends(
+            F.col("_pieces"), overlap)).otherwise(F.col("_pieces")))
     return by_setting.select("setting", doc, F.posexplode("_pieces").alias("chunk_no",
                                                                            "chunk_text"))
 
