@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gristmill.operators import sampling, splits
 from gristmill.operators.containment import answer_documents, containment_truth
 from gristmill.plans.registry import query, spread
+from gristmill.session import cut_lineage
 
 SPLIT_BY_LANG = """
 select lang, case when rn <= ceil(round((1 - 0.9) * n, 9)) then 'eval' else 'train' end as side,
@@ -243,7 +244,7 @@ w as (select 0::bigint as rn, 0::bigint as used, null::bigint as doc_id, null::b
 
 
 def _selected(table, cap):
-    truth = _truth(table)
+    truth = cut_lineage(_truth(table))      # read again by the final filter
     files = sampling.mark_priority(_files(table), answer_documents(truth, "doc_id"),
                                    F.col("doc_id"), "doc_id")
     return sampling.select_within_budget(files, cap, "doc_id", priority="named")

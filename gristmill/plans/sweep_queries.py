@@ -167,7 +167,7 @@ def _records(table):
                  F.col("p_type").alias("foundation_model")).alias("rag_params"),
         scores.alias("scores"), final.alias("final_score")))
     text = F.when(layout == 0, legacy).when(layout == 1, flat).otherwise(old)
-    return table("part").select("p_partkey", text.alias("pattern"))
+    return spread(table("part")).select("p_partkey", text.alias("pattern"))
 
 
 RECORDS = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gristmill.operators import boards, checks, runlogs, splits, tabular
-from gristmill.plans.registry import query
+from gristmill.plans.registry import query, spread
 from gristmill.session import scratch_path
 from gristmill.sources import readers, writers
 from gristmill.streaming import indexing
@@ -208,7 +208,7 @@ def _log(table):
             .when(kind == 3, F.concat(F.lit('{"avg_loss": "'), number, F.lit('", "lr": 0.5}')))
             .otherwise(F.concat(F.lit('{"loss": '), number, F.lit(', "gradnorm": '),
                                 F.col("user_id").cast("string"), F.lit(', "epoch": "x"}'))))
-    return table("events").select(F.col("event_type").alias("run"),
+    return spread(table("events")).select(F.col("event_type").alias("run"),
                                   F.col("event_id").alias("line"), line.alias("text"))
 
 
@@ -268,7 +268,8 @@ def _aged(table):
             .when(form == 1, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
             .when(form == 2, F.date_format(date, "yyyy-MM-dd HH:mm:ssXX"))
             .when(form == 3, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ssXXX")).otherwise("soon"))
-    rows = table("orders").select("o_orderkey", text.alias("verified"))
+    rows = spread(table("orders").select("o_orderkey", "o_orderdate")).select(
+        "o_orderkey", text.alias("verified"))
     return checks.freshness(rows, checks.parse_date(F.col("verified")),
                             F.to_timestamp(F.lit("1999-06-15 12:00:00")))
 

@@ -177,7 +177,7 @@ def _sql_plain_text() -> str:
 
 @query(f"select page_id, {_sql_plain_text()} as text from pages")
 def extract_text(table):
-    return documents.extract_text(table("pages")).select("page_id", "text")
+    return documents.extract_text(spread(table("pages"))).select("page_id", "text")
 
 
 @query(f"""
@@ -185,7 +185,7 @@ select count(*) filter (t <> '') as processed, count(*) filter (coalesce(t = '',
 from (select {_sql_plain_text()} as t from pages)
 """)
 def extraction_summary(table):
-    return documents.extraction_summary(documents.extract_text(table("pages").select("html")))
+    return documents.extraction_summary(documents.extract_text(spread(table("pages").select("html"))))
 
 
 @query(r"""
