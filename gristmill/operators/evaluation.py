@@ -50,8 +50,14 @@ def build_evaluation(benchmark: DataFrame, answers: DataFrame,
 
 def pattern_results(patterns: DataFrame, evaluations: DataFrame,
                     pattern_id: str = "pattern_id") -> DataFrame:
-    """Every pattern with its evaluation rows; a pattern without any keeps one empty row."""
-    return patterns.join(evaluations, pattern_id, "left")
+    """Every pattern with its evaluation rows; a pattern without any keeps one empty row.
+
+    An inner join plus the rest: in an outer join the many rows of one pattern
+    could not be split among tasks.
+    """
+    found = patterns.join(evaluations, pattern_id)
+    without = patterns.join(evaluations.select(pattern_id).distinct(), pattern_id, "left_anti")
+    return found.unionByName(without, allowMissingColumns=True)
 
 
 def mark_relevant(hits: DataFrame, truth: DataFrame, question_id: str, doc: str) -> DataFrame:

@@ -161,7 +161,7 @@ def chunk_recursive_overlap(table):
     return documents.chunk(spread(table("documents").select("doc_id", "text")), method="recursive", size=562, overlap=50)
 
 
-def _sql_plain_text() -> str:
+def sql_plain_text() -> str:
     value = r"regexp_replace(html, '<!--.*?-->', '', 'gs')"
     for name in text.HIDDEN:
         value = rf"regexp_replace({value}, '<{name}(\s[^>]*)?>.*?</{name}\s*>', '', 'gis')"
@@ -175,14 +175,14 @@ def _sql_plain_text() -> str:
     return rf"regexp_replace({value}, '^[ \n]+|[ \n]+$', '', 'g')"
 
 
-@query(f"select page_id, {_sql_plain_text()} as text from pages")
+@query(f"select page_id, {sql_plain_text()} as text from pages")
 def extract_text(table):
     return documents.extract_text(spread(table("pages"))).select("page_id", "text")
 
 
 @query(f"""
 select count(*) filter (t <> '') as processed, count(*) filter (coalesce(t = '', true)) as errors
-from (select {_sql_plain_text()} as t from pages)
+from (select {sql_plain_text()} as t from pages)
 """)
 def extraction_summary(table):
     return documents.extraction_summary(documents.extract_text(spread(table("pages").select("html"))))

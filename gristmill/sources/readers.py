@@ -18,15 +18,19 @@ BENCHMARK_SCHEMA = ("question string, correct_answers array<string>, "
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
-               schema: T.StructType | str | None = None) -> DataFrame:
+               schema: T.StructType | str | None = None, one_line_rows: bool = False) -> DataFrame:
     """CSV with header or parquet.  A CSV without a schema is inferred from all
-    its rows; unreadable input is an error, never a partial table."""
+    its rows; unreadable input is an error, never a partial table.
+
+    Quoted cells may hold line ends, which keeps a CSV file in one task.
+    ``one_line_rows`` says that none does, so large files are read in parts.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported table format {fmt!r}")
     reader = spark.read.option("header", True).option("mode", "FAILFAST").option(
-        "escape", '"').option("multiLine", True)
+        "escape", '"').option("multiLine", not one_line_rows)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 

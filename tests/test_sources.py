@@ -24,6 +24,12 @@ def test_tables(spark, tmp_path):
         writers.write_table(df, "x", "orc")
 
 
+def test_csv_in_parts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_table(spark.range(50), path, "csv")
+    assert readers.read_table(spark, path, "csv", "id long", one_line_rows=True).count() == 50
+
+
 def test_broken_csv_is_an_error(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\n1,2\nx,3\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
