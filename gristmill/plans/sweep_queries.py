@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gristmill.functions.once import computed_once
 from gristmill.operators import boards, evaluation, patterns, retrieval
 from gristmill.operators.containment import containment_truth
 from gristmill.plans import sweep as sweeps
@@ -256,9 +257,10 @@ select doc_id, i - 1 as place, texts[i] as text, ids[i] as document_id
 from w, generate_series(1, least(len(texts), len(ids))::bigint) g(i)
 """)
 def zip_contexts(table):
-    ids = F.filter(F.split("text", r"\s+"), lambda x: x != "")
-    zipped = table("documents").select(
-        "doc_id", evaluation.zip_contexts(F.split("text", "\n"), ids).alias("c"))
+    rows = computed_once(spread(table("documents").select("doc_id", "text")), "texts",
+                         F.split("text", "\n"))
+    rows = computed_once(rows, "ids", F.array_remove(F.split("text", r"\s+"), ""))
+    zipped = rows.select("doc_id", evaluation.zip_contexts(F.col("texts"), F.col("ids")).alias("c"))
     return zipped.select("doc_id", F.posexplode("c").alias("place", "pair")).select(
         "doc_id", F.col("place").cast("long").alias("place"), "pair.text", "pair.document_id")
 

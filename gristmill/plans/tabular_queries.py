@@ -193,8 +193,9 @@ def best_metric(table):
 LOG = """
 log as (select event_type as run, event_id as line, value as v, event_id % 11 as kind from events),
 entry as (select *, case when kind in (0, 1) then null when kind = 2 then 0.0 else v end as first_loss,
-                 case when kind in (0, 1) then null when kind = 2 then v * 2 else nullif(v, 0) end
-                 as series
+                 -- a zero is not part of the series, the text "0.0" is
+                 case when kind in (0, 1) then null when kind = 2 then nullif(v * 2, 0)
+                      when kind = 3 then v else nullif(v, 0) end as series
           from log)
 """
 
