@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.session import DRIVER_ROWS, collect_bounded, cut_lineage, shuffle_width
+from gristmill.session import collect_bounded, cut_lineage, shuffle_width
 
 PREFIX_HEX = 4            # 65,536 hash prefixes
 ABOVE_ALL_HASHES = "g"    # sorts after every hex digest
