@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("langid", "imatch", "pii", "htmltext", "brownlm", "decontaminate", "pfair", "toxicity", "ngramjoin")
+_MODULES = ("langid", "lpf", "imatch", "pii", "htmltext", "brownlm", "decontaminate", "pfair", "toxicity", "ngramjoin")
 
 
 def query(name: str, sql: str | None = None):
