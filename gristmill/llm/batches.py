@@ -13,9 +13,9 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = [np.cumprod(np.full(64, _MULTIPLIER))]
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict],
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]],
                 schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch; it gives dicts of columns in ``schema`` order."""
+    """Apply ``fn`` to every Arrow batch; it yields dicts of columns in ``schema`` order."""
     def run(batches):
         for batch in batches:
             for columns in fn(batch):

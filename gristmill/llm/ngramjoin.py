@@ -9,10 +9,11 @@ One R-tree over all points cannot be cut into tasks well: two near copies are
 much closer than unrelated texts, but only over many coordinates, so boxes on a
 few of them overlap.  The directory level is therefore a set of finer group
 systems, one per size class: linked sets differ in at most ``D`` shingles, so
-of ``D + slack`` sections some agree in full, and an equality join on section
-contents brings every linked pair together.  What it brings together is one
-family; inside each family an R-tree prunes by the bound and the surviving
-pairs are verified on the sets themselves.  All steps are exact (64-bit hashes).
+of ``D + slack`` sections ``slack`` agree in full.  Documents that share enough
+section contents with others are brought together by equality joins; what hangs
+together is one family.  Inside each family an R-tree prunes by the bound and
+the surviving pairs are verified on the sets themselves.  All steps are exact
+(64-bit hashes).
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 from gristmill.llm.batches import byte_texts, chunks, map_batches, mix, signed, spread, word_hashes
 from gristmill.llm.components import components
 from gristmill.llm.registry import query
-from gristmill.session import scratch_path
+from gristmill.session import scratch_path, shuffle_width
 
 GROUPS = 64               # coordinates of a point
 LEAF = 16                 # points in an R-tree leaf
 FAMILY_SHINGLES = 4_000_000   # sets handled by one task; larger families are cut in blocks
 PAIR_SECTIONS = 8         # up to so many differences, keys are pairs of sections
-POINT = "doc_id long, n long, d1 long, d2 long, keys array<long>"
+PAIR_SLACK, SLACK = 4, 12     # sections that linked sets agree in at least
+POINT = "doc_id long, n long, d1 long, d2 long, need int, keys array<long>"
 
 
 def text_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -70,23 +72,27 @@ def size_classes(percent: int) -> tuple[list[int], list[int]]:
     return lows, [2 * (high - 1) * (100 - percent) // (100 + percent) for high in lows[1:]]
 
 
-def section_keys(own: np.ndarray, lows: list[int], most: list[int], percent: int) -> np.ndarray:
-    """Keys by which linked sets meet: contents of sections of the set.
+def section_keys(own: np.ndarray, lows: list[int], most: list[int],
+                 percent: int) -> tuple[np.ndarray, int]:
+    """Keys by which linked sets meet, and how many of them linked sets share at least.
 
-    A class with ``D`` possible differences has ``D + 4`` sections, so linked
-    sets agree in four at least.  Keys are single sections, or pairs of them
-    where a section is a large part of a small set.  Empty sections make no key
-    unless a set has so many that linked sets might agree in nothing else.
+    A key is the content of a section, or of a pair of sections where one is a
+    large part of a small set.  Empty sections make no key, so each lowers what
+    linked sets must share, unless a set has so many that linked sets might
+    agree in nothing else.  A set near the upper bound of its class also has
+    keys of the next class; the smaller need then counts.
     """
     n = len(own)
     at = int(np.searchsorted(lows, n, "right")) - 1
-    keys = []
+    keys, need = [], []
     for k in (at, at + 1):
         if k > at and 100 * n < percent * lows[k]:
             break
         if most[k] < 1:
             continue
-        count = most[k] + 4
+        paired = most[k] <= PAIR_SECTIONS
+        slack = PAIR_SLACK if paired else SLACK
+        count = most[k] + slack
         seed = np.uint64(0xD6E8FEB86659FD93 * (k + 1) & (1 << 64) - 1)
         dealt = mix(own ^ seed)
         section = (dealt % np.uint64(count)).astype(np.int64)
@@ -95,38 +101,113 @@ def section_keys(own: np.ndarray, lows: list[int], most: list[int], percent: int
         content = mix(low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32)))
         filled = np.bincount(section, minlength=count) > 0
         named = mix(content + np.arange(1, count + 1, dtype=np.uint64) * seed)
-        few_empty = np.count_nonzero(~filled) < 4
-        if most[k] <= PAIR_SECTIONS:
+        empty = int(np.count_nonzero(~filled))
+        if paired:
             a, b = np.triu_indices(count, 1)
             pairs = mix(named[a]) + named[b]
-            keys.append(mix(pairs[filled[a] | filled[b]] if few_empty else pairs))
+            keys.append(mix(pairs[filled[a] | filled[b]] if empty < slack else pairs))
+            whole = slack * (slack - 1) // 2
+            need.append(whole - empty * (empty - 1) // 2 if empty < slack else whole)
         else:
-            keys.append(named[filled] if few_empty else named)
-    return np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+            keys.append(named[filled] if empty < slack else named)
+            need.append(slack - empty if empty < slack else slack)
+    if not keys:
+        return np.empty(0, np.uint64), 0
+    return np.unique(np.concatenate(keys)), min(need)
 
 
 def set_points(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, d1, d2, keys``: set size, two digests of the set, section keys."""
+    """``doc_id, n, d1, d2, need, keys``: set size, two digests of the set, its keys.
+
+    Of equal sets in one batch only the smallest id carries the keys.
+    """
     lows, most = size_classes(percent)
 
     def points(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = batch.column(0)
         texts = [t.lower() for t in byte_texts(batch.column(1))]
+        order = {}
+        for at, (doc, body) in enumerate(zip(ids.to_pylist(), texts, strict=True)):
+            if body not in order or doc < order[body][0]:
+                order[body] = (doc, at)
+        heads = {at for _, at in order.values()}
         for start, end in chunks(texts):
             rows = text_sets(texts[start:end], width)
             size = np.array([len(s) for s in rows], np.int64)
             first = np.array([mix(s).sum(dtype=np.uint64) for s in rows], np.uint64)
             second = np.array([mix(~s).sum(dtype=np.uint64) for s in rows], np.uint64)
-            keys = [section_keys(s, lows, most, percent) if len(s) else s for s in rows]
+            keys, need = zip(*[
+                section_keys(s, lows, most, percent) if len(s) and start + i in heads
+                else (np.empty(0, np.uint64), 0) for i, s in enumerate(rows)], strict=True)
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = signed(np.concatenate(keys))
             yield {"doc_id": ids.slice(start, end - start), "n": size, "d1": signed(first),
-                   "d2": signed(second), "keys": pa.ListArray.from_arrays(ends, flat)}
+                   "d2": signed(second), "need": pa.array(need, pa.int32()),
+                   "keys": pa.ListArray.from_arrays(ends, flat)}
 
     narrow = docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
     return map_batches(spread(narrow), points, POINT)
 
 
+ALONE, LOCAL, SETTLED = 0, 1, 2
+
+
+def shared_keys(points: DataFrame) -> DataFrame:
+    """``key, doc_id`` of the keys that several documents have.
+
+    Each batch forwards a key once, for its smallest id; the other documents of
+    the batch that have it are settled at once and need not travel with the
+    key, so a key that very many documents have is thinned out before the
+    shuffle.  After it, rows are sorted by key and only compared with their
+    neighbours.
+    """
+    def forward(batch: pa.RecordBatch) -> Iterator[dict]:
+        lists = batch.column("keys")
+        counts = np.diff(lists.offsets.to_numpy())
+        keys = lists.flatten().to_numpy()
+        docs = np.repeat(batch.column("doc_id").to_numpy(), counts)
+        order = np.lexsort([docs, keys])
+        keys, docs = keys[order], docs[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
+        again = np.zeros(len(keys), bool)
+        again[:-1] = first[:-1] & ~first[1:]
+        tag = np.where(first, np.where(again, LOCAL, ALONE), SETTLED).astype(np.int8)
+        yield {"key": keys, "doc_id": docs, "tag": tag}
+
+    def meet(batches):
+        held = None         # the last forwarded row, not yet decided, and whether it is shared
+        for batch in batches:
+            key, doc, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            settled = tag == SETTLED
+            out = [(key[settled], doc[settled])]
+            key, doc, tag = key[~settled], doc[~settled], tag[~settled]
+            if len(key):
+                same = key[1:] == key[:-1]
+                keep = tag == LOCAL
+                keep[1:] |= same
+                keep[:-1] |= same
+                if held:
+                    meets = held[0] == key[0]
+                    keep[0] |= meets
+                    if held[2] or meets:
+                        out.append((np.array([held[0]]), np.array([held[1]])))
+                out.append((key[:-1][keep[:-1]], doc[:-1][keep[:-1]]))
+                held = (key[-1], doc[-1], bool(keep[-1]))
+            yield pa.RecordBatch.from_pydict({
+                "key": np.concatenate([k for k, _ in out]).astype(np.int64),
+                "doc_id": np.concatenate([d for _, d in out]).astype(np.int64)})
+        if held and held[2]:
+            yield pa.RecordBatch.from_pydict({"key": np.array([held[0]], np.int64),
+                                              "doc_id": np.array([held[1]], np.int64)})
+
+    sent = map_batches(points.select("doc_id", "keys"), forward,
+                       "key long, doc_id long, tag byte")
+    route = F.when(F.col("tag") == SETTLED, F.xxhash64("key", "doc_id")).otherwise(F.col("key"))
+    dealt = sent.repartition(shuffle_width(points.sparkSession), route)
+    return dealt.sortWithinPartitions("key", "doc_id").mapInArrow(meet, "key long, doc_id long")
+
+
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
     """Points: how many shingles of each set fall into each group."""
     shift = np.uint64(64 - GROUPS.bit_length() + 1)
@@ -251,24 +332,27 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     """
     spark = docs.sparkSession
     docs = docs.filter(F.col(key).isNotNull())
-    stored = scratch_path(spark, "points")
+    stored, meetings = scratch_path(spark, "points"), scratch_path(spark, "keys")
     set_points(docs, key, text, width, percent).write.parquet(stored)
     points = spark.read.parquet(stored)
-    # Equal sets are one class, represented by the smallest id.
-    known = points.filter("n > 0")
-    classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
-    heads = known.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id",
-                       "left_semi")
-    keyed = heads.select("doc_id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("center"),
-                                      F.max("doc_id").alias("last"))
-    shared = shared.filter(F.col("center") < F.col("last")).drop("last")
-    edges = keyed.join(shared, "key").select(
+    shared_keys(points).write.parquet(meetings)
+    shared = spark.read.parquet(meetings)
+    # Linked sets share several keys, so a few keys in common by chance lead nowhere.
+    often = shared.groupBy("doc_id").agg(F.count("*").alias("shared")).join(
+        points.groupBy("doc_id").agg(F.max("need").alias("need")), "doc_id").filter(
+        F.col("shared") >= F.col("need")).select("doc_id")
+    keyed = shared.join(often, "doc_id", "left_semi")
+    centers = keyed.groupBy("key").agg(F.min("doc_id").alias("center"))
+    edges = keyed.join(centers, "key").filter(F.col("doc_id") != F.col("center")).select(
         F.col("doc_id").alias("a"), F.col("center").alias("b")).distinct()
     families = components(edges).withColumnRenamed("component", "family")
+    # Equal sets are one class, represented by the smallest id.
+    known = points.select("doc_id", "n", "d1", "d2").filter("n > 0")
+    classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
+    heads = classes.select(F.col("class_id").alias("doc_id"), "n").dropDuplicates(["doc_id"])
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    members = families.withColumnRenamed("id", "doc_id").join(texts, "doc_id").join(
-        known.select("doc_id", "n"), "doc_id").dropDuplicates(["doc_id"])
+    members = families.withColumnRenamed("id", "doc_id").join(heads, "doc_id").join(
+        texts, "doc_id").dropDuplicates(["doc_id"])
     found = components(family_links(members, width, percent))
     rows = points.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
     return rows.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
