@@ -25,6 +25,7 @@ from gristmill.llm.langid import held_out
 from gristmill.llm.registry import query
 
 THRESHOLD = 0.3
+LABELLED = 30_000         # labelled documents learnt from, picked by a hash of their id
 LEXICON = 20_000          # learnt features kept, strongest first: bounds the broadcast
 STEMS = (4, 5, 6)         # prefix lengths that stand for inflected forms
 FLUSH = 200_000           # distinct features a task holds before it sends its counts
@@ -146,7 +147,7 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
 
 
 def train(rows: DataFrame) -> Grammar:
-    """``text, toxic`` -> grammar: weights from all rows, then the score curve.
+    """``text, toxic`` -> grammar: weights from all these rows, then the score curve.
 
     A word or stem gets a weight where it is far more frequent in toxic
     documents: its log-likelihood ratio must beat chance among all features
@@ -195,6 +196,19 @@ def train(rows: DataFrame) -> Grammar:
     return grammar
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, toxic`` of at most ``LABELLED`` documents with a label.
+
+    The sample is the first ids in order of their hash; it is small enough to
+    be broadcast, so the texts are not shuffled.  An id with both labels counts
+    as toxic; null ids and labels are left out.
+    """
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    picked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+
+
 def weights(docs: DataFrame, grammar: Grammar, key: str = "doc_id",
             text: str = "text") -> DataFrame:
     """``key, weight``: the grammar's total for each text; null and empty texts give 0."""
@@ -224,8 +238,6 @@ def scored(docs: DataFrame, grammar: Grammar, key: str = "doc_id") -> DataFrame:
 def op8(table):
     """All documents, by a grammar learnt from labelled rows outside the held-out quarter."""
     docs = table("documents").select("doc_id", "text")
-    labels = table("labels").filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
-    rows = docs.filter(~held_out(4)).join(labels, "doc_id")
+    rows = labelled(docs, table("labels").filter(~held_out(4)))
     return scored(docs, train(rows)).select(
         "doc_id", held_out(4).alias("held_out"), "score", "predicted", "weight")
