@@ -184,14 +184,14 @@ class Model:
     odds: dict[str, dict[str, float]]           # feature -> value -> log likelihood ratio
 
 
-def em(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[list[float], list[float], list[float]]:
-    """Vote patterns with counts -> probability per pattern, share, accuracy per labeler.
+def em(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[list[float], list[float]]:
+    """Vote patterns with counts -> probability per pattern, accuracy per labeler.
 
     Two classes; a labeler that votes is right with its accuracy, whatever the
     class, and abstaining tells nothing.  Accuracies start above one half,
     which fixes which class is which, and stay between 0.55 and 0.99.
     """
-    width = len(patterns[0][0]) if patterns else 0
+    width = len(patterns[0][0]) if patterns else len(LABELERS)
     accuracy, share, total = [0.75] * width, 0.5, sum(n for _, n in patterns)
     posterior = [0.5] * len(patterns)
     for _ in range(ITERATIONS):
@@ -208,7 +208,7 @@ def em(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[list[float], list[f
                     cast += n
                     right += n * (p if votes[j] > 0 else 1 - p)
             accuracy[j] = min(0.99, max(0.55, (right + 7.5) / (cast + 10)))
-    return posterior, [share], accuracy
+    return posterior, accuracy
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
@@ -222,7 +222,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         votes = tuple(int(row[v]) for v in LABELERS)
         by_votes[votes] = by_votes.get(votes, 0) + row["count"]
     patterns = sorted(by_votes.items())
-    posterior, share, accuracy = em(patterns)
+    posterior, accuracy = em(patterns)
     chance = {votes: p for (votes, _), p in zip(patterns, posterior, strict=True)}
     odds: dict[str, dict[str, float]] = {}
     sums = [1.0, 1.0]
