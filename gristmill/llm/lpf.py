@@ -172,6 +172,8 @@ def send_spans(docs: DataFrame, shards: int) -> DataFrame:
         shard = (spans["h"] % np.uint64(shards)).astype(np.int64)
         used = keep | later
         order = np.flatnonzero(used)[np.argsort(shard[used], kind="stable")]
+        if not len(order):
+            return
         edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
         columns = {"shard": [], "docs": [], "sent": [], "known": []}
         for a, b in zip(edges, np.append(edges[1:], len(order)), strict=True):
