@@ -34,12 +34,12 @@ CONTEXT = 32              # characters before a candidate that context labelers
 ITERATIONS = 60
 _EMAIL = "[A-Za-z0-9._%+" + DOT + "-]"
 _LABEL = "[A-Za-z0-9" + DOT + "-]"
-# The same matches as the kinds' definitions, without groups in unbounded loops:
-# SEP stands for a separator between two digits, DOT for a dot inside a host name.
+# The same matches as the kinds' definitions, without groups in unbounded loops,
+# and for cards only runs with a possible number of digits: SEP stands for a separator between two digits, DOT for a dot inside a host name.
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_EMAIL})){_EMAIL}++@[A-Za-z0-9-]+{DOT}{_LABEL}+",
     "ip": r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
-    "card": rf"(?<![0-9{SEP}])[0-9][0-9{SEP}]+",
+    "card": rf"(?<![0-9{SEP}])[0-9](?:{SEP}?[0-9]){{11,18}}(?![0-9{SEP}])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+",
     "number": rf"(?<![0-9A-Za-z{SEP}])[0-9][0-9{SEP}]{{6,}}(?![A-Za-z])",
@@ -71,7 +71,6 @@ def _matches(text: Column, kind: str) -> Column:
     elif kind == "email":
         given = F.regexp_replace(given, r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", DOT)
     marked = F.regexp_replace(given, f"({PATTERNS[kind]})", OPEN + "$1" + CLOSE)
-    found = F.split(marked, OPEN, -1)
     span = "struct<start:int,end:int,match:string,before:string,after:string>"
 
     def add(state, piece):
@@ -83,13 +82,19 @@ def _matches(text: Column, kind: str) -> Column:
             state["rest"].alias("before"), F.substring(rest, 1, 1).alias("after"))).alias("spans"),
             F.substring(F.concat(state["rest"], match, rest), -CONTEXT, CONTEXT).alias("rest"))
 
-    start = F.struct(F.length(F.element_at(found, 1)).alias("at"),
-                     F.array().cast(f"array<{span}>").alias("spans"),
-                     F.substring(F.element_at(found, 1), -CONTEXT, CONTEXT).alias("rest"))
-    spans = F.aggregate(F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), start, add,
-                        lambda state: state["spans"])
-    return F.when(text.rlike(NEEDS[kind]) & marked.contains(OPEN), spans).otherwise(
-        F.array().cast(f"array<{span}>"))
+    none = F.array().cast(f"array<{span}>")
+
+    def spans(pieces):
+        first = F.element_at(pieces, 1)
+        start = F.struct(F.length(first).alias("at"), none.alias("spans"),
+                         F.substring(first, -CONTEXT, CONTEXT).alias("rest"))
+        return F.when(F.size(pieces) > 1, F.aggregate(
+            F.slice(pieces, 2, F.size(pieces)), start, add,
+            lambda state: state["spans"])).otherwise(none)
+
+    # The marked text is split once and bound to a name.
+    found = F.element_at(F.transform(F.array(F.split(marked, OPEN, -1)), spans), 1)
+    return F.when(text.rlike(NEEDS[kind]), found).otherwise(none)
 
 
 def _digits(match: Column) -> Column:
