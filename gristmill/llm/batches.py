@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20     # text handled at once by the numpy steps
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -30,6 +31,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def hashed_sample(df: DataFrame, key: str, size: int) -> DataFrame:
+    """At most ``size`` rows, the first in order of a hash of the key.
+
+    A hash bound leaves little more than the sample before it is ordered, so
+    what the tasks send does not grow with their number.
+    """
+    total = df.count()
+    order = F.xxhash64(F.col(key).cast("string"))
+    if total > 2 * size:
+        df = df.filter(F.pmod(order, F.lit(1 << 30)) < int(1.5 * size / total * (1 << 30)))
+    return df.orderBy(order, key).limit(size)
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.batches import spread
+from gristmill.llm.batches import hashed_sample, spread
 from gristmill.llm.registry import query
 
 TRAIN_PAGES = 400         # pages in the training sample
@@ -33,7 +33,7 @@ WORD_ROWS, WORD_SIZE = 1024, 8
 WORD_CHARS = 200          # of a block that are hashed; the text that is kept is whole
 FIGURES = 4
 HIDDEN = 16
-EPOCHS = 10
+EPOCHS, STEPS = 10, 250   # passes over the sample, and batches seen at least
 GROUP = 32                # pages in one numpy batch
 STEP_CELLS = 20_000       # padded blocks in one numpy batch when labelling
 
@@ -267,7 +267,7 @@ class BlockLabeller:
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         draw, step = random.Random(seed), 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-STEPS // len(ready)))):
             draw.shuffle(ready)
             for batch, wanted in ready:
                 step += 1
@@ -359,10 +359,11 @@ def varied(pages: list[list], seed: int = 11) -> tuple[list[list], list[np.ndarr
 
 def train(pages: DataFrame, key: str = "page_id", text: str = "html") -> BlockLabeller:
     """Fit on at most ``TRAIN_PAGES`` pages, picked by a hash of their id."""
-    sample = pages.filter(F.length(text).between(1, TRAIN_CHARS)).select(
-        F.col(key).alias("k"), F.col(text).alias("t")).orderBy(
-        F.xxhash64(F.col("k").cast("string")), "k", "t").limit(TRAIN_PAGES)
-    sequences = [s for r in sample.collect() if (s := list(blocks(r["t"])))]
+    used = pages.filter(F.length(text).between(1, TRAIN_CHARS)).select(
+        F.col(key).alias("k"), F.col(text).alias("t"))
+    picked = hashed_sample(used.select("k").distinct(), "k", TRAIN_PAGES)
+    sample = used.join(F.broadcast(picked), "k").dropDuplicates(["k"])
+    sequences = [s for r in sorted(sample.collect()) if (s := list(blocks(r["t"])))]
     model = BlockLabeller()
     if sequences:
         model.fit(*varied(sequences))

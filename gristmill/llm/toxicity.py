@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.batches import spread
+from gristmill.llm.batches import hashed_sample, spread
 from gristmill.llm.langid import held_out
 from gristmill.llm.registry import query
 
@@ -204,8 +204,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     as toxic; null ids and labels are left out.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-    picked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    picked = hashed_sample(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id",
+                           LABELLED)
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
 
 
