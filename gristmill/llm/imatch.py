@@ -25,15 +25,19 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 IDF_BAND = (2.5, 8.5)     # natural logarithm of documents / documents with the term
 SUBSETS = 8               # per scale
-SCALES = (8, 32, 128, 512, 2048, 8192)   # one term in so many belongs to a subset
+SCALES = (16, 64, 256, 1024, 4096, 16384)   # one term in so many belongs to a subset
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
+def _words(text: Column) -> Column:
+    """64-bit hashes of the lower-cased words, one of an empty word where a mark leads."""
+    return F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS),
+                       lambda w: F.xxhash64(w))
+
+
 def terms(text: Column) -> Column:
-    """Distinct 64-bit hashes of the lower-cased words; none for null and empty texts."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS),
-                     lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Distinct word hashes; none for null and empty texts."""
+    return F.array_remove(F.array_distinct(_words(text)), F.xxhash64(F.lit("")))
 
 
 def _cell(term: Column) -> Column:
@@ -50,8 +54,8 @@ def lexicon(docs: DataFrame, text: str = "text",
     """
     total = docs.count()
     most, least = total * math.exp(-band[0]), max(2.0, total * math.exp(-band[1]))
-    cells = docs.select(F.explode(F.array_distinct(F.transform(
-        terms(F.col(text)), lambda t: _cell(t).cast("int")))).alias("cell"))
+    cells = spread(docs.select(text)).select(F.explode(F.array_distinct(F.transform(
+        _words(F.col(text)), lambda t: _cell(t).cast("int")))).alias("cell"))
     held = cells.groupBy("cell").agg(F.count("*").alias("df")).filter(
         F.col("df").between(F.lit(least), F.lit(most)))
     bits = held.groupBy(F.shiftright("cell", 6).alias("word")).agg(
@@ -74,17 +78,19 @@ def fingerprint(text: Column, lexicon_words: str) -> Column:
         word = F.get(table, F.shiftright(_cell(term), 6).cast("int"))
         return F.call_function("getbit", word, term.bitwiseAND(F.lit(63)).cast("int")) == 1
 
+    none = F.xxhash64(F.array().cast("array<bigint>"))
+
     def subset(base, scale):
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda j: F.xxhash64(F.filter(
-            base, lambda t: _draw(t, scale) == j)))
-
-    def hashes(ordered):
-        none = F.xxhash64(F.array().cast("array<bigint>"))
-        base, parts = ordered, []
-        for scale in SCALES:
-            base = F.filter(base, lambda t, s=scale: _draw(t, s) < SUBSETS)
-            parts.append(subset(base, scale))
-        return F.transform(F.concat(*parts), lambda h: F.when(h == none, F.lit(0)).otherwise(h))
+        found = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda j: F.xxhash64(
+            F.filter(base, lambda t: _draw(t, scale) == j)))
+        return F.transform(found, lambda h: F.when(h == none, F.lit(0)).otherwise(h))
+
+    def hashes(ordered, scales=SCALES):
+        # Each scale's terms are bound to a name, so a coarser scale is read once.
+        scale, *finer = scales
+        base = F.filter(ordered, lambda t: _draw(t, scale) < SUBSETS)
+        return once(base, lambda b: F.concat(subset(b, scale), hashes(b, finer)) if finer
+                    else subset(b, scale))
 
     def once(array, use):       # bind a value to a name inside one expression
         return F.element_at(F.transform(F.array(array), use), 1)
