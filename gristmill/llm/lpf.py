@@ -315,33 +315,44 @@ def suffix_ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
 
 
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
-    """Index of the nearest smaller value before each place, -1 where there is none."""
-    before = np.arange(len(values)) - 1
-    while True:
-        wrong = np.flatnonzero((before >= 0) & (values[np.maximum(before, 0)] >= values))
-        if not len(wrong):
-            return before
-        # All values between a place and its pointer are at least as large.
-        before[wrong] = before[before[wrong]]
+    """Index of the nearest smaller value before each place, -1 where there is none.
+
+    Minima of the last 1, 2, 4, ... values let every place step back over the
+    longest runs without a smaller value, from long to short.
+    """
+    levels, step = [values], 1
+    while 2 * step <= len(values):
+        low = levels[-1].copy()
+        low[step:] = np.minimum(low[step:], levels[-1][:-step])
+        levels.append(low)
+        step *= 2
+    at = np.arange(len(values)) - 1
+    for low in reversed(levels):
+        fits = at - step + 1 >= 0
+        at[fits] -= step * (low[at[fits]] >= values[fits])
+        step //= 2
+    return at
 
 
 def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -> np.ndarray:
     """For each suffix, its longest prefix (up to ``depth``) at a smaller ``owner``.
 
-    In suffix order the best match with a smaller owner is the nearest suffix
-    with one, before or after.
+    Suffixes with equal prefixes of full length are one group.  In suffix order
+    the best shorter match with a smaller owner is in the nearest group that
+    has one, before or after.
     """
     if not len(codes):
         return np.empty(0, np.int64)
     ranks = suffix_ranks(codes, depth)
-    order = np.lexsort([owner, ranks[depth]])
-    value = owner[order]
+    group = ranks[depth]
+    order = np.lexsort([owner, group])
+    heads = order[np.flatnonzero(np.diff(group[order], prepend=-1))]
+    lowest = owner[heads]
     sizes = sorted(ranks, reverse=True)
 
     def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         length = np.zeros(len(a), np.int64)
         for size in sizes:
-            # The largest size may be taken once only, the others at most once each.
             x, y = a + length, b + length
             inside = (x < len(codes)) & (y < len(codes)) & (length + size <= depth)
             same = np.zeros(len(a), bool)
@@ -349,13 +360,14 @@ def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -
             length[same] += size
         return length
 
-    best = np.zeros(len(codes), np.int64)
-    previous = nearest_smaller(value)
-    following = len(value) - 1 - nearest_smaller(value[::-1])[::-1]
+    best = np.zeros(len(heads), np.int64)
+    places = np.unique(lowest, return_inverse=True)[1].astype(np.int32)
+    previous = nearest_smaller(places)
+    following = len(heads) - 1 - nearest_smaller(places[::-1])[::-1]
     for near in (previous, following):
-        has = np.flatnonzero((near >= 0) & (near < len(value)))
-        best[order[has]] = np.maximum(best[order[has]], common(order[has], order[near[has]]))
-    return best
+        has = np.flatnonzero((near >= 0) & (near < len(heads)))
+        best[has] = np.maximum(best[has], common(heads[has], heads[near[has]]))
+    return np.where(owner > lowest[group], depth, best[group])
 
 
 def factor_masks(pieces: DataFrame) -> DataFrame:
