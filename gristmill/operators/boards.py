@@ -44,27 +44,35 @@ def model_board(models: DataFrame, metrics: DataFrame, key: str, uri: str) -> Da
 
 
 def metrics_long(df: DataFrame, entity: str, json: str) -> DataFrame:
-    """One row per numeric entry of a JSON metrics object."""
-    entries = F.explode(F.from_json(F.col(json), "map<string,string>")).alias("metric", "_text")
-    rows = df.select(entity, entries).withColumn("value", F.col("_text").try_cast("double"))
-    return rows.filter(F.col("value").isNotNull()).drop("_text")
+    """One row per numeric entry of a JSON metrics object; texts are no numbers."""
+    entries = F.explode(F.from_json(F.col(json), "map<string,variant>")).alias("metric", "_entry")
+    rows = df.select(entity, entries).filter(_is_number(F.col("_entry")))
+    return rows.withColumn("value", F.try_variant_get("_entry", "$", "double")).drop("_entry")
+
+
+def _is_number(entry: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(entry).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"),
+                      F.lit(False))
 
 
 def flatten_metrics(df: DataFrame, results: str) -> DataFrame:
     """Long metric rows from evaluator results ``{task: {alias, name: number}}``.
 
     Keys are ``prefix_name`` with spaces and slashes as underscores; numbers
-    only, true and false counting as 1 and 0.
+    only, true and false counting as 1 and 0.  A text is no number, whatever it says.
     """
     others = [c for c in df.columns if c != results]
     tasks = df.select(*others, F.explode(F.from_json(
-        F.col(results), "map<string,map<string,string>>")).alias("task", "_metrics"))
+        F.col(results), "map<string,map<string,variant>>")).alias("task", "_metrics"))
+    alias = F.try_variant_get(F.col("_metrics")["alias"], "$", "string")
     prefix = F.when(F.col("task") == HOLDOUT_TASK, HOLDOUT_PREFIX).otherwise(
-        F.coalesce(F.col("_metrics")["alias"], F.col("task")))
+        F.coalesce(alias, F.col("task")))
     rows = tasks.select(*others, "task", prefix.alias("_prefix"),
-                        F.explode("_metrics").alias("_name", "_text"))
-    number = (F.when(F.col("_text") == "true", 1.0).when(F.col("_text") == "false", 0.0)
-              .otherwise(F.col("_text").try_cast("double")))
+                        F.explode("_metrics").alias("_name", "_entry"))
+    entry = F.col("_entry")
+    number = F.when(F.schema_of_variant(entry) == "BOOLEAN", F.try_variant_get(
+        entry, "$", "boolean").cast("double")).when(
+        _is_number(entry), F.try_variant_get(entry, "$", "double"))
     key = F.translate(F.concat_ws("_", "_prefix", "_name"), " /", "__")
     return rows.withColumn("value", number).filter(
         (F.col("_name") != "alias") & F.col("value").isNotNull()).select(
@@ -76,7 +84,7 @@ def merge_run_metadata(training: DataFrame, evaluation: DataFrame, run: str,
     """One record per run: prefixed training and evaluation metrics as text.
 
     Inputs are (run, metric, value) rows; ``extra`` adds entries such as the
-    base model or pipeline name to every run.
+    base model or pipeline name to every run, also to one without other entries.
     """
     def side(df: DataFrame, prefix: str) -> DataFrame:
         return df.filter(~F.col("metric").isin(*SKIPPED_KEYS)).select(
@@ -86,7 +94,7 @@ def merge_run_metadata(training: DataFrame, evaluation: DataFrame, run: str,
     merged = side(training, "training_").unionByName(side(evaluation, "eval_"))
     if extra:
         added = F.explode(F.create_map(*[F.lit(x) for pair in extra.items() for x in pair]))
-        runs = merged.select(run).distinct()
+        runs = training.select(run).union(evaluation.select(run)).distinct()
         merged = merged.unionByName(runs.select(run, added.alias("key", "value")))
     return merged
 

@@ -34,9 +34,10 @@ def chat_violations(df: DataFrame, item: str = "conv_id", turn: str = "turn",
                     role: str = "role", content: str = "text") -> DataFrame:
     """First fault of every faulty conversation, from one row per message.
 
-    Only faulty rows are shuffled, reduced to one per conversation on the way.
+    An assistant message may have null content, as function calls do.  Only faulty rows are shuffled, reduced to one per conversation on the way.
     """
-    fault = (F.when(F.col(role).isNull() | F.col(content).isNull(), "missing role or content")
+    lost = F.col(content).isNull() & (F.col(role) != "assistant")
+    fault = (F.when(F.col(role).isNull() | lost, "missing role or content")
              .when(~F.col(role).isin(*CHAT_ROLES), "invalid role"))
     return (df.withColumn("_fault", fault).filter(F.col("_fault").isNotNull())
             .groupBy(item)
@@ -94,9 +95,13 @@ def holdout_errors(df: DataFrame, item: str = "conv_id", turn: str = "turn",
     return parts.select(item, "messages", error.alias("error"))
 
 
-def validate_holdout(df: DataFrame, limit: int | None = HOLDOUT_CHECK_ROWS,
+def validate_holdout(df: DataFrame, limit: int | None = None,
                      item: str = "conv_id") -> tuple[bool, int, list[str]]:
-    """(passes, valid items, first errors): passes when one item is valid."""
+    """(passes, valid items, first errors): passes when one item is valid.
+
+    All items are checked; ``limit`` (the usual prefix is
+    ``HOLDOUT_CHECK_ROWS``) checks only the first in ``item`` order.
+    """
     checked = df
     if limit is not None:
         checked = df.join(df.select(item).distinct().orderBy(item).limit(limit), item, "left_semi")

@@ -8,6 +8,7 @@ question-chunk pair outside a task's own top k is ever written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -331,11 +332,17 @@ def hybrid(vector_hits: DataFrame, lexical_hits: DataFrame, strategy: str = "rrf
     return rank_hits(scored, [query_id], item_id, k)
 
 
+def index_folder(path: str, collection: str, source: str, batch: str) -> str:
+    """Where one batch of one source is stored; every writer uses this layout."""
+    return f"{path}/collection={collection}/source={source}/batch={batch}"
+
+
 def append_index(chunks: DataFrame, path: str, collection: str) -> None:
     """Add chunk vectors to a named collection, creating it when missing."""
-    chunks.withColumn("collection", F.lit(collection)).write.mode("append").partitionBy(
-        "collection").parquet(path)
+    chunks.write.parquet(index_folder(path, collection, "append", uuid.uuid4().hex))
 
 
 def read_index(spark, path: str, collection: str) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col("collection") == collection).drop("collection")
+    """All chunk vectors of a collection, whoever wrote them."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/collection={collection}")
+    return rows.drop("collection", "source", "batch")

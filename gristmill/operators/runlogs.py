@@ -38,8 +38,13 @@ def series_value(entry: Column) -> Column:
 
 
 def parse_log(log: DataFrame, text: str = "text") -> DataFrame:
-    """Lines with their entry and loss; blank and malformed lines have neither."""
-    entry = computed_once(log, "_entry", F.try_parse_json(text))
+    """Lines with their entry and loss; blank and malformed lines have neither.
+
+    Bare NaN and Infinity, which training logs hold but JSON does not know, are
+    read as numbers: a diverged run keeps its last values.
+    """
+    readable = F.regexp_replace(F.col(text), r"([:\[,]\s*)(NaN|-?Infinity)(?=\s*[,}\]])", '$1"$2"')
+    entry = computed_once(log, "_entry", F.try_parse_json(readable))
     return computed_once(entry, "_loss", series_value(F.col("_entry")))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.operators.checks import require_columns, require_task
 from gristmill.operators.ranking import global_rank, key_hash, pick_by_hash
-from gristmill.session import collect_bounded
+from gristmill.session import cut_lineage
 
 # Default ratios and seed.
 TRAIN_RATIO = 0.9
@@ -59,24 +59,16 @@ def split_metadata(train: DataFrame, evaluation: DataFrame, uri: str, ratio: flo
 def class_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
     """(label, quota): class shares of the test rows by largest remainder.
 
-    The quotas add up to the global test count; ties go to the smaller label.
+    The quotas add up to the global test count; ties go to the smaller label,
+    and a null label is a class before all others.
     """
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    known = collect_bounded(counts)
-    if known is not None:
-        total = sum(r["n"] for r in known)
-        wanted = part_size(test_size, total)
-        _check_classes(len(known), min((r["n"] for r in known), default=2), wanted, total)
-        shares = {r[label]: wanted * r["n"] / total for r in known}
-        quotas = {c: math.floor(round(s, 9)) for c, s in shares.items()}
-        by_rest = sorted(shares, key=lambda c: (-round(shares[c] - quotas[c], 9), c))
-        for c in by_rest[:wanted - sum(quotas.values())]:
-            quotas[c] += 1
-        kind = df.schema[label].dataType.simpleString()
-        return df.sparkSession.createDataFrame(list(quotas.items()), f"`{label}` {kind}, quota long")
+    counts = cut_lineage(df.groupBy(label).agg(F.count("*").alias("n")))
     facts = counts.agg(F.sum("n").alias("total"), F.min("n").alias("least"),
                        F.count("*").alias("classes")).first()
-    total, wanted = facts["total"], part_size(test_size, facts["total"])
+    total = facts["total"] or 0
+    wanted = part_size(test_size, total)
+    if not total:
+        return counts.select(label, F.col("n").alias("quota"))
     _check_classes(facts["classes"], facts["least"], wanted, total)
     share = F.round(F.lit(float(wanted)) * F.col("n") / F.lit(total), 9)
     parts = counts.withColumn("_base", F.floor(share)).withColumn(

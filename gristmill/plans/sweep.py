@@ -37,10 +37,12 @@ class Config:
         return self.chunking_method, self.chunk_size, self.chunk_overlap
 
 
-def search_space(values: Mapping[str, Sequence], max_patterns: int = MAX_PATTERNS) -> list[Config]:
-    """All combinations of the listed values, in order, up to the maximum.
+def search_space(values: Mapping[str, Sequence],
+                 max_patterns: int | None = None) -> list[Config]:
+    """All combinations of the listed values, in order.
 
-    Parameters lists, not data: they are combined on the driver.
+    Parameters lists, not data: they are combined on the driver.  With
+    ``max_patterns`` (usually ``MAX_PATTERNS``) a larger space is an error.
     """
     names = ("chunking_method", "chunk_size", "chunk_overlap", "number_of_chunks")
     unknown = set(values) - set(names)
@@ -49,7 +51,10 @@ def search_space(values: Mapping[str, Sequence], max_patterns: int = MAX_PATTERN
     defaults = {"chunking_method": ["recursive"], "chunk_size": [2048], "chunk_overlap": [256],
                 "number_of_chunks": [5]}
     grid = itertools.product(*[values.get(name, defaults[name]) for name in names])
-    return [Config(i, *point) for i, point in enumerate(itertools.islice(grid, max_patterns))]
+    found = [Config(i, *point) for i, point in enumerate(grid)]
+    if max_patterns is not None and len(found) > max_patterns:
+        raise ValueError(f"{len(found)} patterns are more than {max_patterns}")
+    return found
 
 
 def _pieces(text, method: str, size: int, overlap: int):
@@ -136,9 +141,10 @@ def pattern_scores(evaluated: DataFrame, configs: Sequence[Config], optimise: st
 
 def preselect(questions: DataFrame, documents: DataFrame, truth: DataFrame,
               configs: Sequence[Config], option: str, keep: int,
-              metric: str = evaluation.DEFAULT_METRIC, item: str = "item_id") -> DataFrame:
-    """Best ``keep`` values of one option, by mean score on a small question sample."""
-    sample = subset(questions, QUESTION_COUNT, item, QUESTION_SEED)
+              metric: str = evaluation.DEFAULT_METRIC, item: str = "item_id",
+              sample_size: int = QUESTION_COUNT) -> DataFrame:
+    """Best ``keep`` values of one option, by mean score on ``sample_size`` questions."""
+    sample = subset(questions, sample_size, item, QUESTION_SEED)
     evaluated = sweep(sample, documents, truth, configs, item)
     table = evaluated.sparkSession.createDataFrame(
         [(c.pattern_id, getattr(c, option)) for c in configs], ["pattern_id", option])

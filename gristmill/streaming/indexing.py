@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.operators.documents import chunk
-from gristmill.operators.retrieval import DIMENSION, embed
+from gristmill.operators.retrieval import DIMENSION, embed, index_folder
 from gristmill.operators.sampling import INDEX_BATCH
 
 
-def _store(collection: str, path: str, doc: str, text: str, method: str, size: int, overlap: int,
-           dim: int):
+def _store(collection: str, source: str, path: str, doc: str, text: str, method: str, size: int,
+           overlap: int, dim: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         chunks = chunk(batch, doc, text, method, size, overlap)
         vectors = embed(chunks, "chunk_text", "embedding", dim)
-        # A replayed batch replaces its own folder, so rows never double.
+        # A replayed batch replaces its own folder, so rows never double; batch
+        # numbers count per source, so sources don't replace each other.
         vectors.write.mode("overwrite").parquet(
-            f"{path}/collection={collection}/batch={batch_id}")
+            index_folder(path, collection, source, str(batch_id)))
 
     return write
 
@@ -25,9 +28,14 @@ def _store(collection: str, path: str, doc: str, text: str, method: str, size: i
 def run_index(stream: DataFrame, path: str, checkpoint: str, collection: str = "default",
               doc: str = "doc_id", text: str = "text", method: str = "recursive",
               size: int = 1024, overlap: int = 0, dim: int = DIMENSION) -> None:
-    """Process everything available, then stop; a second run takes only new files."""
+    """Process everything available, then stop; a second run takes only new files.
+
+    Several streams may fill one collection: each is a source of its own, named
+    by its checkpoint folder.
+    """
+    source = "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     stream.writeStream.foreachBatch(
-        _store(collection, path, doc, text, method, size, overlap, dim)).option(
+        _store(collection, source, path, doc, text, method, size, overlap, dim)).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
@@ -38,7 +46,7 @@ def document_stream(spark: SparkSession, path: str, schema: str, fmt: str = "par
 
 
 def index_progress(spark: SparkSession, path: str, collection: str, doc: str = "doc_id") -> DataFrame:
-    """Documents and chunks per batch of a collection."""
+    """Documents and chunks per source and batch of a collection."""
     rows = spark.read.option("basePath", path).parquet(f"{path}/collection={collection}")
-    return rows.groupBy("batch").agg(F.count_distinct(doc).alias("documents"),
+    return rows.groupBy("source", "batch").agg(F.count_distinct(doc).alias("documents"),
                                      F.count("*").alias("chunks"))

@@ -206,11 +206,13 @@ def test_mean_ci(spark):
 
 
 def test_search_space():
-    space = sweeps.search_space({"chunk_size": [256, 512], "number_of_chunks": [1, 2, 3]}, 5)
+    space = sweeps.search_space({"chunk_size": [256, 512], "number_of_chunks": [1, 2, 3]}, 6)
     assert [(c.pattern_id, c.chunk_size, c.number_of_chunks) for c in space] == [
-        (0, 256, 1), (1, 256, 2), (2, 256, 3), (3, 512, 1), (4, 512, 2)]
+        (0, 256, 1), (1, 256, 2), (2, 256, 3), (3, 512, 1), (4, 512, 2), (5, 512, 3)]
     assert space[0].chunking_method == "recursive" and space[0].chunk_overlap == 256
-    assert len(sweeps.search_space({"chunk_size": list(range(10, 40))})) == sweeps.MAX_PATTERNS
+    assert len(sweeps.search_space({"chunk_size": list(range(10, 40))})) == 30
+    with pytest.raises(ValueError, match="more than"):
+        sweeps.search_space({"chunk_size": list(range(10, 40))}, sweeps.MAX_PATTERNS)
     with pytest.raises(ValueError):
         sweeps.search_space({"colour": ["red"]})
 

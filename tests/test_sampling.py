@@ -173,12 +173,16 @@ def test_stratified_split_quotas(spark):
     assert test.count() == 30 and train.count() == 70 and test.columns[-1] == "c"
 
 
-def test_many_classes_use_the_distributed_quotas(spark, monkeypatch):
+def test_quotas_of_many_classes_and_a_null_class(spark):
     df = spark.range(300).select("id", (F.col("id") % 30).alias("c"))
-    want = {r["c"]: r["quota"] for r in splits.class_quotas(df, "c", 0.25).collect()}
-    monkeypatch.setattr(splits, "collect_bounded", lambda frame: None)
     got = {r["c"]: r["quota"] for r in splits.class_quotas(df, "c", 0.25).collect()}
-    assert got == want
+    assert sum(got.values()) == 75 and set(got.values()) == {2, 3}
+    assert [got[c] for c in range(30)] == [3] * 15 + [2] * 15
+    tied = spark.createDataFrame([(i, [None, "a"][i % 2]) for i in range(10)], "id int, c string")
+    quotas = {r["c"]: r["quota"] for r in splits.class_quotas(tied, "c", 0.5).collect()}
+    assert quotas == {None: 3, "a": 2}
+    _, test = splits.train_test_split(tied, "c", "multiclass", 0.5, "id")
+    assert test.count() == 5
 
 
 def test_split_errors(spark):

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from gristmill.operators import sampling
+from gristmill.operators import retrieval, sampling
 from gristmill.sources import readers, writers
 from gristmill.streaming import indexing
 
@@ -123,3 +123,11 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run().count() == 2 * n
     steps = indexing.index_progress(spark, index, "c").orderBy("batch").collect()
     assert sum(r["chunks"] for r in steps) == 2 * n and len(steps) == 3
+    # A second source with its own progress adds to the collection, as a plain append does.
+    other = str(tmp_path / "other")
+    docs.withColumn("doc_id", docs["doc_id"] + 900).coalesce(1).write.parquet(other)
+    indexing.run_index(indexing.document_stream(spark, other, "doc_id long, text string"), index,
+                       str(tmp_path / "other_progress"), "c", size=60, dim=16)
+    assert retrieval.read_index(spark, index, "c").count() == 3 * n
+    retrieval.append_index(retrieval.read_index(spark, index, "c").limit(5), index, "c")
+    assert retrieval.read_index(spark, index, "c").count() == 3 * n + 5

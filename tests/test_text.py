@@ -194,6 +194,8 @@ def test_chat_checks(spark):
                              "id")
     with pytest.raises(ValueError, match="missing role or content"):
         checks.validate_chat(spark.createDataFrame([(1, [("user", None)])], MESSAGES), "id")
+    call = spark.createDataFrame([(1, [("user", "x"), ("assistant", None)])], MESSAGES)
+    assert checks.validate_chat(call, "id").count() == 1
     with pytest.raises(ValueError, match="must be a list"):
         checks.validate_chat(spark.createDataFrame([(1, None)], MESSAGES), "id")
     with pytest.raises(ValueError, match="empty"):
