@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Mapping
 from string import Formatter
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Whitespace as text.split() sees it, stop strings, chat markers.
 SPACE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
@@ -111,22 +114,25 @@ def repeat_ends(pieces: Column, overlap: int | Column) -> Column:
         F.when(i > 0, F.right(F.get(pieces, i - 1), overlap)).otherwise(""), piece))
 
 
-# Blocks without text, tags that end a line, named entities.
+# Blocks without text, tags that end a line.
 HIDDEN = ("script", "style", "head", "noscript", "template")
 LINE_TAGS = "p|br|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre"
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'",
-            "&nbsp;": " ", "&amp;": "&"}
 
 
-def html_to_text(html: Column) -> Column:
+@F.pandas_udf(T.StringType())
+def decode_references(texts: pd.Series) -> pd.Series:
+    """Named and numeric character references decoded; a hard space becomes a plain one."""
+    return texts.map(lambda t: html.unescape(t).replace("\xa0", " ") if t and "&" in t else t)
+
+
+def html_to_text(page: Column) -> Column:
     """Visible text: hidden blocks and comments dropped, line tags become line ends."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    text = F.regexp_replace(page, r"(?s)<!--.*?-->", "")
     for name in HIDDEN:
         text = F.regexp_replace(text, rf"(?is)<{name}(\s[^>]*)?>.*?</{name}\s*>", "")
     text = F.regexp_replace(text, rf"(?i)</?({LINE_TAGS})(\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
+    text = decode_references(text)
     text = F.regexp_replace(text, r"[ \t\r]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")

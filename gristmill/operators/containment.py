@@ -9,6 +9,7 @@ costs no more than one found nowhere.
 
 from __future__ import annotations
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,6 @@ def _finder(passages: list[tuple]):
     for item, text in passages:
         by_text.setdefault(text, []).append(item)
     always = by_text.pop("", [])
-    try:
-        import ahocorasick
-    except ImportError:
-        return lambda text: [*always, *(i for p, ids in by_text.items() if p in text for i in ids)]
     automaton = ahocorasick.Automaton()
     for number, (text, ids) in enumerate(by_text.items()):
         automaton.add_word(text, (number, ids))

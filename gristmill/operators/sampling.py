@@ -19,6 +19,7 @@ QUESTION_SEED = 17
 QUESTION_COUNT = 5
 INDEX_BATCH = 20
 
+WINDOW_LIMIT = 1_000          # rows per group that Spark cuts inside each task
 STORED_ROUNDS = 32            # rounds of a budget walk in one condition
 
 
@@ -91,9 +92,16 @@ def subset(df: DataFrame, k: int, key: str | Sequence[str], seed: int = SAMPLE_S
 
 
 def limit_per_group(df: DataFrame, group: str, n: int, order: Sequence[str]) -> DataFrame:
-    """First ``n`` rows of each group, -1 for all."""
+    """First ``n`` rows of each group, -1 for all.
+
+    Up to ``WINDOW_LIMIT`` rows a window that cuts each group before the shuffle;
+    beyond, ranks by range partitions, so that a hot group is spread.  There
+    ``group`` and ``order`` must identify rows.
+    """
     if n == -1:
         return df
+    if n > WINDOW_LIMIT:
+        return global_rank(df, list(order), group, out="_rn").filter(F.col("_rn") <= n).drop("_rn")
     ranked = df.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
     return ranked.filter(F.col("_rn") <= n).drop("_rn")

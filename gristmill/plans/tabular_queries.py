@@ -83,12 +83,12 @@ def confusion(table):
 with {PRICED}, m as (select l_suppkey, {ERRORS} from p group by 1)
 select row_number() over (order by r2 desc nulls last, s_name) as rank, s_name,
        root_mean_squared_error, mean_absolute_error, r2,
-       's3://models/' || s_name || '/notebooks/automl_predictor_notebook.ipynb' as notebook,
-       's3://models/' || s_name || '/predictor/predictor.pkl' as predictor
+       'models/' || s_name || '/notebooks/automl_predictor_notebook.ipynb' as notebook,
+       'models/' || s_name || '/predictor/predictor.pkl' as predictor
 from m join supplier on s_suppkey = l_suppkey
 """)
 def model_leaderboard(table):
-    names = table("supplier").select("s_suppkey", "s_name", F.lit("s3://models/").alias("uri"))
+    names = table("supplier").select("s_suppkey", "s_name", F.lit("models/").alias("uri"))
     scored = tabular.regression_metrics(_priced(table), "l_extendedprice", "predicted",
                                         ["l_suppkey"])
     rows = _rounded(scored, F.col("l_suppkey").alias("s_suppkey"))

@@ -167,9 +167,9 @@ def sql_plain_text() -> str:
         value = rf"regexp_replace({value}, '<{name}(\s[^>]*)?>.*?</{name}\s*>', '', 'gis')"
     value = rf"regexp_replace({value}, '</?({text.LINE_TAGS})(\s[^>]*)?/?>', chr(10), 'gi')"
     value = f"regexp_replace({value}, '<[^>]*>', '', 'g')"
-    for entity, character in text.ENTITIES.items():
-        plain = character.replace("'", "''")
-        value = f"replace({value}, '{entity}', '{plain}')"
+    # The references that occur in the pages; HTML bears a missing semicolon here.
+    for name, character in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        value = f"regexp_replace({value}, '&{name};?', '{character}', 'g')"
     value = rf"regexp_replace({value}, '[ \t\r]+', ' ', 'g')"
     value = rf"regexp_replace({value}, ' ?\n[ \n]*', chr(10), 'g')"
     return rf"regexp_replace({value}, '^[ \n]+|[ \n]+$', '', 'g')"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,8 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; a
-    cluster session without it is an error.
+    Only a session inside one process (``local`` or ``local[...]``) without that
+    setting gets a temporary folder; any other session without it is an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -43,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="gristmill-")
     context.setCheckpointDir(configured)

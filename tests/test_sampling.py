@@ -218,3 +218,11 @@ def test_choose_split(spark):
     assert names("test", "train_gen", "train_sft") == {"train_sft"}
     assert names("train", "train_sft") == {"train"}
     assert names("valid", "test") == {"test"}
+
+
+def test_limit_of_many_rows_per_group(spark, monkeypatch):
+    df = spark.range(400).select("id", F.when(F.col("id") < 300, "hot").otherwise("cold").alias("g"))
+    few = sorted(r["id"] for r in sampling.limit_per_group(df, "g", 50, ["id"]).collect())
+    monkeypatch.setattr(sampling, "WINDOW_LIMIT", 10)
+    ranked = sampling.limit_per_group(df, "g", 50, ["id"])
+    assert sorted(r["id"] for r in ranked.collect()) == few and ranked.columns == df.columns

@@ -146,6 +146,8 @@ def test_html_text(spark):
     html = ("<html><head><title>t</title></head><body><!-- no --><script>var a='<p>';</script>"
             "<p>One &amp; two</p><div>three&nbsp;<b>four</b></div></body></html>")
     assert value(spark, text.html_to_text(F.lit(html))) == "One & two\nthree four"
+    coded = "<p>caf&#233; &eacute;t&#xe9; &mdash; &lt;b&gt; &amp;lt; &unknown; R&amp</p>"
+    assert value(spark, text.html_to_text(F.lit(coded))) == "café été — <b> &lt; &unknown; R&"
     df = spark.createDataFrame([("<p>a</p>",), ("<p></p>",), (None,)], "html string")
     out = documents.extraction_summary(documents.extract_text(df)).first()
     assert (out["processed"], out["errors"]) == (1, 2)
