@@ -306,17 +306,37 @@ def unlabelled_documents(table):
     return rest.groupBy("lang").agg(F.count("*").alias("n_docs"))
 
 
-@query("select count(*) as in_both, 0 as dummy from customer where false")
+@query("""
+with n as (select count(*) as n, ceil(round(0.3 * count(*), 6))::bigint as t from customer)
+select n - t as train_rows, t as test_rows, n as either, 0::bigint as in_both from n
+""")
 def split_overlap(table):
+    """Both sides have their sizes, cover all rows and share none."""
     rows = table("customer").select("c_custkey")
-    train, test = splits.train_eval_split(rows, 0.7, "c_custkey")
-    return train.join(test, "c_custkey", "left_semi").agg(
-        F.count("*").alias("in_both"), F.lit(0).alias("dummy"))
+    train, test = (part.withColumn("side", F.lit(name)) for name, part in zip(
+        ("train", "test"), splits.train_eval_split(rows, 0.7, "c_custkey"), strict=True))
+    sides = train.unionByName(test).groupBy("c_custkey").agg(
+        F.collect_set("side").alias("sides"))
+    return sides.agg(
+        F.count_if(F.array_contains("sides", "train")).alias("train_rows"),
+        F.count_if(F.array_contains("sides", "test")).alias("test_rows"),
+        F.count("*").alias("either"), F.count_if(F.size("sides") == 2).alias("in_both"))
+
+
+@query("""
+select 'train_sft' as split, count(*) as n from orders where o_orderstatus = 'F'
+""")
+def choose_split(table):
+    """A preferred name wins over one that comes first in the alphabet."""
+    name = F.when(F.col("o_orderstatus") == "F", "train_sft").when(
+        F.col("o_orderstatus") == "O", "all").otherwise("training")
+    rows = table("orders").select(name.alias("split"), "o_orderkey")
+    return splits.choose_split(rows).groupBy("split").agg(F.count("*").alias("n"))
 
 
 @query("select distinct o_orderpriority as split, count(*) as n from orders where "
        "o_orderpriority = (select min(o_orderpriority) from orders) group by 1")
-def choose_split(table):
+def choose_split_without_preferred(table):
     rows = table("orders").select(F.col("o_orderpriority").alias("split"), "o_orderkey")
     return splits.choose_split(rows).groupBy("split").agg(F.count("*").alias("n"))
 
