@@ -11,8 +11,9 @@ occurrence are consecutive and make a span.
    per shard of the anchor hash.  A span met twice in a batch is sent once, for
    the smallest id; the other documents have their answer already.
 2. In a shard, equal spans of several documents need no bytes: all but the
-   smallest id lose the whole span.  Anchors with different spans may still
-   share windows, as at the ends of copied passages; one document per such span
+   smallest id lose the whole span.  Different spans of one anchor may still
+   share windows, as at the ends of copied passages, if they agree for half of
+   the rest of a window before or after the anchor; one document per such span
    is asked for its bytes.
 3. These spans are gathered by anchor.  Their suffix array and the nearest
    smaller documents before and after each suffix give the longest previous
@@ -46,7 +47,9 @@ HOT = 4096                    # different spans of one anchor, beyond which wind
 BATCH_DOCS = 60_000           # documents of one packed row set: places fit 16 bits
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 MATCHED, MIXED, MIXED_HOT = 0, 1, 2
-_SENT = np.dtype([("h", "<u8"), ("s", "<u8"), ("d", "<u2")])
+SIDE = (WINDOW - GRAM + 1) // 2   # equal windows agree so far before or after their anchor
+PACK = 6                      # codes in the first rank of a suffix
+_SENT = np.dtype([("h", "<u8"), ("s", "<u8"), ("d", "<u2"), ("l", "<u2"), ("r", "<u2")])
 
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +65,8 @@ class Anchors:
 
     ``piece`` index, ``h`` hash of the anchor gram, ``s`` hash of the span with
     the anchor's place in it, ``first`` window (in the piece) and ``count``.
+    ``left`` and ``right`` are short hashes of the ``SIDE`` bytes before and
+    after the gram, 0 where the piece has fewer.
     """
 
     def __init__(self, pieces: list[bytes], tables: tuple[np.ndarray, np.ndarray]):
@@ -75,6 +80,7 @@ class Anchors:
         if not len(self.starts):
             self.piece = self.first = self.count = np.empty(0, np.int64)
             self.h = self.s = np.empty(0, np.uint64)
+            self.left = self.right = np.empty(0, np.uint16)
             return
         values = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))[buf]
         grams = mix(self._gram_hashes(values))
@@ -106,6 +112,16 @@ class Anchors:
         self.piece = np.searchsorted(begin, first, "right") - 1
         # Empty pieces share a begin with the next one; the last of them is the real one.
         self.first = first - begin[self.piece]
+        low_end, high_end = begin[self.piece], (begin + size)[self.piece]
+        at = anchor[runs]
+
+        def side(a, inside):
+            a = np.where(inside, a, 0)
+            found = mix((sums[np.minimum(a + SIDE, len(values))] - sums[a]) * inverses[a])
+            return np.where(inside, found % np.uint64(65535) + np.uint64(1), 0).astype(np.uint16)
+
+        self.left = side(at - SIDE, at - SIDE >= low_end)
+        self.right = side(at + GRAM, at + GRAM + SIDE <= high_end)
 
     @staticmethod
     def _gram_hashes(values: np.ndarray) -> np.ndarray:
@@ -158,6 +174,7 @@ def send_spans(docs: DataFrame, shards: int) -> DataFrame:
         for index, _, found in text_spans(byte_texts(batch.column(1)), tables):
             part = np.empty(len(found.h), _SENT)
             part["h"], part["s"], part["d"] = found.h, found.s, index[found.piece]
+            part["l"], part["r"] = found.left, found.right
             parts.append(part)
         spans = np.concatenate(parts) if parts else np.empty(0, _SENT)
         doc = ids[spans["d"]]
@@ -207,7 +224,8 @@ def shard_fates(sent: DataFrame, shards: int) -> DataFrame:
     def resolve(table: pa.Table) -> pa.Table:
         doc, spans = unpack(table, "sent")
         order = np.lexsort([doc, spans["s"], spans["h"]])
-        doc, h, s = doc[order], spans["h"][order], spans["s"][order]
+        doc, spans = doc[order], spans[order]
+        h, s = spans["h"], spans["s"]
         n = np.arange(len(doc))
         new_h = np.ones(len(doc), bool)
         new_h[1:] = h[1:] != h[:-1]
@@ -217,10 +235,20 @@ def shard_fates(sent: DataFrame, shards: int) -> DataFrame:
         matched = doc > owner
         group = np.cumsum(new_h) - 1
         variants = np.bincount(group, new_s)[group]
-        # Documents of one id can't take bytes from each other.
-        low, high = (f.reduceat(doc, np.flatnonzero(new_h)) if len(doc) else doc
-                     for f in (np.minimum, np.maximum))
-        asked = new_s & (variants > 1) & (low < high)[group]
+        # A window in common needs another document with the same anchor and side.
+        asked = np.zeros(len(doc), bool)
+        several = np.flatnonzero(new_s & (variants > 1))
+        for side in ("l", "r"):
+            known_side = several[spans[side][several] > 0]
+            known_side = known_side[np.lexsort([spans[side][known_side], h[known_side]])]
+            if not len(known_side):
+                continue
+            edge = np.ones(len(known_side), bool)
+            edge[1:] = (np.diff(spans[side][known_side].astype(np.int64)) != 0) | (
+                h[known_side][1:] != h[known_side][:-1])
+            low, high = (f.reduceat(doc[known_side], np.flatnonzero(edge))
+                         for f in (np.minimum, np.maximum))
+            asked[known_side] |= (low < high)[np.cumsum(edge) - 1]
         known_doc, known = unpack(table, "known")
         kind = np.where(variants[asked] > HOT, MIXED_HOT, MIXED)
         return pa.table({
@@ -295,9 +323,19 @@ def asked_spans(texts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
         collect, "shard int, doc long, s long, window int, count long, piece binary")
 
 
+def packed(codes: np.ndarray, size: int) -> np.ndarray:
+    """The next ``size`` codes (under 512) of each place in one number, high first."""
+    padded = np.concatenate([codes, np.zeros(size, codes.dtype)])
+    out = np.zeros(len(codes), np.int64)
+    for k in range(size):
+        out = out << 9 | padded[k:k + len(codes)]
+    return out
+
+
 def suffix_ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... and ``depth`` codes."""
-    ranks = {1: np.unique(codes, return_inverse=True)[1].astype(np.int64)}
+    """Ranks of all suffixes by their first ``PACK``, twice as many, ... and ``depth`` codes."""
+    size = min(PACK, depth)
+    ranks = {size: np.unique(packed(codes, size), return_inverse=True)[1].astype(np.int64)}
 
     def joined(size: int, shift: int) -> np.ndarray:
         own = ranks[size]
@@ -305,7 +343,6 @@ def suffix_ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
         ahead[:max(0, len(own) - shift)] = own[shift:]
         return np.unique(own * (len(own) + 1) + ahead + 1, return_inverse=True)[1]
 
-    size = 1
     while 2 * size <= depth:
         ranks[2 * size] = joined(size, size)
         size *= 2
@@ -358,6 +395,14 @@ def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -
             same = np.zeros(len(a), bool)
             same[inside] = ranks[size][x[inside]] == ranks[size][y[inside]]
             length[same] += size
+        # What is left is shorter than the first rank: compare code by code.
+        for _ in range(sizes[-1] - 1):
+            x, y = a + length, b + length
+            inside = (x < len(codes)) & (y < len(codes)) & (length < depth)
+            same = inside.copy()
+            same[inside] = codes[x[inside]] == codes[y[inside]]
+            # A difference ends the match for good, so a place that stops stays.
+            length[same] += 1
         return length
 
     best = np.zeros(len(heads), np.int64)
@@ -370,13 +415,50 @@ def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -
     return np.where(owner > lowest[group], depth, best[group])
 
 
+def shared_windows(bodies: list[bytes], doc: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Whether a window of each piece may occur in a piece of another document.
+
+    By hash, so that only these pieces need a suffix array.
+    """
+    size = np.array([len(b) for b in bodies])
+    begin = np.cumsum(size) - size
+    found = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))[
+        np.frombuffer(b"".join(bodies), np.uint8)]
+    whole, at, step, factor = None, 0, 1, _BASE
+    shift = np.uint64(1)
+    with np.errstate(over="ignore"):
+        while True:     # the window as a sum of stretches of 2, 16 and 32 bytes
+            if WINDOW & step:
+                part = found[at:]
+                whole = part if whole is None else whole[:len(part)] + shift * part
+                at, shift = at + step, shift * factor
+            if 2 * step > WINDOW:
+                break
+            found = found[:-step] + factor * found[step:]
+            step, factor = 2 * step, factor * factor
+    piece = np.repeat(np.arange(len(bodies)), count)
+    place = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + begin[piece]
+    hashes = whole[place]
+    order = np.argsort(hashes, kind="stable")
+    edge = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order][:1]))
+    owner = doc[piece[order]]
+    low, high = (f.reduceat(owner, edge) for f in (np.minimum, np.maximum))
+    several = np.repeat(low < high, np.diff(np.append(edge, len(order))))
+    out = np.zeros(len(bodies), bool)
+    out[piece[order[several]]] = True
+    return out
+
+
 def factor_masks(pieces: DataFrame) -> DataFrame:
     """``doc, s, mask``: windows of each span (bits) that a smaller id also has."""
     def find(table: pa.Table) -> pa.Table:
+        kept = shared_windows(table.column("piece").to_pylist(), table.column("doc").to_numpy(),
+                              table.column("count").to_numpy())
+        table = table.filter(pa.array(kept))
         doc = table.column("doc").to_numpy()
         bodies = table.column("piece").to_pylist()
         count, window = table.column("count").to_numpy(), table.column("window").to_numpy()
-        size = np.array([len(b) + 1 for b in bodies])
+        size = np.array([len(b) + 1 for b in bodies], np.int64)
         begin = np.cumsum(size) - size
         codes = np.frombuffer(b"".join(b + b"\0" for b in bodies), np.uint8).astype(np.int64) + 1
         codes[begin + size - 1] = 0     # between pieces: equals no byte

@@ -28,6 +28,7 @@ THRESHOLD = 0.3
 LABELLED = 30_000         # labelled documents learnt from, picked by a hash of their id
 LEXICON = 20_000          # learnt features kept, strongest first: bounds the broadcast
 STEMS = (4, 5, 6)         # prefix lengths that stand for inflected forms
+REMEMBERED = 300_000      # words a task remembers whether they score
 FLUSH = 200_000           # distinct features a task holds before it sends its counts
 WORD = re.compile(r"[^\W\d_]+|[.!?;:\n\"«»“”]")
 CLAUSE_END = frozenset(".!?;\n")
@@ -54,6 +55,7 @@ class Grammar:
     weights: dict[str, float] = field(default_factory=dict)
     slope: float = 1.0
     offset: float = 0.0
+    seen: dict[str, bool] = field(default_factory=dict)
 
     def weight(self, word: str) -> float:
         found = self.weights.get("=" + word)
@@ -95,22 +97,29 @@ class Grammar:
 
     def text(self, text: str) -> float:
         """Sum over the clauses that hold an insult or threat word."""
-        total, start = 0.0, 0
         words = WORD.findall(text.lower())
-        known: dict[str, bool] = {}
-        hit = False
+        scoring = {word for word in set(words) if self.scores(word)}
+        if not scoring:
+            return 0.0
+        total, start, hit = 0.0, 0, False
         for at, word in enumerate([*words, "."]):
             if word in CLAUSE_END:
                 if hit:
                     total += self.clause(words[start:at])
                 start, hit = at + 1, False
-            elif not hit:
-                scores = known.get(word)
-                if scores is None:
-                    scores = known[word] = word in THREATS or self.weight(word) > 0
-                hit = scores
+            elif word in scoring:
+                hit = True
         return total
 
+    def scores(self, word: str) -> bool:
+        """Whether a clause with this word has to be read."""
+        found = self.seen.get(word)
+        if found is None:
+            if len(self.seen) > REMEMBERED:
+                self.seen.clear()
+            found = self.seen[word] = word in THREATS or self.weight(word) > 0
+        return found
+
     def score(self, total: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * total + self.offset))))
 

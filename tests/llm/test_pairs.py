@@ -46,10 +46,10 @@ def edited(text, seed, share):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80), (1, 100), (2, 85)])
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
 def test_join_equals_brute_force(spark, width, percent):
     texts, draw = {}, random.Random(width)
-    for family in range(25):
+    for family in range(16):
         base = prose(family, draw.choice([2, 5, 9, 10, 11, 12, 20, 40, 150, 600]))
         for _ in range(draw.randrange(1, 6)):
             texts[len(texts)] = edited(base, len(texts), draw.choice([0, 0.002, 0.01, 0.03]))
