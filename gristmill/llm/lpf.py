@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.batches import byte_texts, mix, signed, spread
+from gristmill.llm.batches import byte_texts, chunks, mix, signed, spread
 from gristmill.llm.registry import query
 from gristmill.session import scratch_path, shuffle_width
 
@@ -42,6 +42,8 @@ GRAM = 16
 REACH = WINDOW - GRAM + 1     # grams in a window; at most so many windows have one anchor
 PIECE = 1 << 20               # bytes handled at once; longer texts in overlapping pieces
 SHARD_ANCHORS = 2_000_000
+SEND_BYTES = 16 << 20         # text whose spans are sorted together before they are sent
+FACTOR_BYTES = 2 << 20        # text per group of the suffix arrays
 GROUP_BYTES = 8 << 20         # text handled by one task of the last steps
 HOT = 4096                    # different spans of one anchor, beyond which windows are dealt singly
 BATCH_DOCS = 60_000           # documents of one packed row set: places fit 16 bits
@@ -166,12 +168,14 @@ def send_spans(docs: DataFrame, shards: int) -> DataFrame:
         tables = _powers()
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_DOCS):
-                yield from rows(batch.slice(start, BATCH_DOCS), tables)
+                part = batch.slice(start, BATCH_DOCS)
+                ids, texts = part.column(0).to_numpy(), byte_texts(part.column(1))
+                for first, end in chunks(texts, SEND_BYTES):
+                    yield from rows(ids[first:end], texts[first:end], tables)
 
-    def rows(batch, tables):
-        ids = batch.column(0).to_numpy()
+    def rows(ids, texts, tables):
         parts = []
-        for index, _, found in text_spans(byte_texts(batch.column(1)), tables):
+        for index, _, found in text_spans(texts, tables):
             part = np.empty(len(found.h), _SENT)
             part["h"], part["s"], part["d"] = found.h, found.s, index[found.piece]
             part["l"], part["r"] = found.left, found.right
@@ -548,7 +552,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     fates = spark.read.parquet(stored).select("*", part)
     # Both uses of the texts read one shuffle.
     texts = plain.select("doc", "text", part).repartition(parts, "part")
-    pieces = asked_spans(texts, fates.filter(F.col("kind") != MATCHED), shards)
+    groups = max(width, -(-size // FACTOR_BYTES))
+    pieces = asked_spans(texts, fates.filter(F.col("kind") != MATCHED), groups)
     partial = factor_masks(pieces).select("doc", "s", "mask", part)
     whole = fates.filter(F.col("kind") == MATCHED).select(
         "doc", "s", F.lit(-1).cast("long").alias("mask"), "part")
