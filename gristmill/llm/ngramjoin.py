@@ -35,7 +35,7 @@ LEAF = 16                 # points in an R-tree leaf
 FAMILY_SHINGLES = 4_000_000   # sets handled by one task; larger families are cut in blocks
 PAIR_SECTIONS = 8         # up to so many differences, keys are pairs of sections
 PAIR_SLACK, SLACK = 4, 12     # sections that linked sets agree in at least
-POINT = "doc_id long, n long, d1 long, d2 long, need int, keys array<long>"
+POINT = "doc_id long, n long, d1 long, d2 long"
 
 
 def text_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -116,72 +116,69 @@ def section_keys(own: np.ndarray, lows: list[int], most: list[int],
     return np.unique(np.concatenate(keys)), min(need)
 
 
-def set_points(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, d1, d2, need, keys``: set size, two digests of the set, its keys.
-
-    Of equal sets in one batch only the smallest id carries the keys.
-    """
-    lows, most = size_classes(percent)
-
+def set_points(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, n, d1, d2``: set size and two digests of the set."""
     def points(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = batch.column(0)
         texts = [t.lower() for t in byte_texts(batch.column(1))]
-        order = {}
-        for at, (doc, body) in enumerate(zip(ids.to_pylist(), texts, strict=True)):
-            if body not in order or doc < order[body][0]:
-                order[body] = (doc, at)
-        heads = {at for _, at in order.values()}
         for start, end in chunks(texts):
             rows = text_sets(texts[start:end], width)
-            size = np.array([len(s) for s in rows], np.int64)
-            first = np.array([mix(s).sum(dtype=np.uint64) for s in rows], np.uint64)
-            second = np.array([mix(~s).sum(dtype=np.uint64) for s in rows], np.uint64)
-            keys, need = zip(*[
-                section_keys(s, lows, most, percent) if len(s) and start + i in heads
-                else (np.empty(0, np.uint64), 0) for i, s in enumerate(rows)], strict=True)
-            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = signed(np.concatenate(keys))
-            yield {"doc_id": ids.slice(start, end - start), "n": size, "d1": signed(first),
-                   "d2": signed(second), "need": pa.array(need, pa.int32()),
-                   "keys": pa.ListArray.from_arrays(ends, flat)}
-
-    narrow = docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
-    return map_batches(spread(narrow), points, POINT)
+            yield {"doc_id": ids.slice(start, end - start),
+                   "n": np.array([len(s) for s in rows], np.int64),
+                   "d1": signed(np.array([mix(s).sum(dtype=np.uint64) for s in rows], np.uint64)),
+                   "d2": signed(np.array([mix(~s).sum(dtype=np.uint64) for s in rows], np.uint64))}
+
+    return map_batches(docs, points, POINT)
 
 
 ALONE, LOCAL, SETTLED = 0, 1, 2
 
 
-def shared_keys(points: DataFrame) -> DataFrame:
-    """``key, doc_id`` of the keys that several documents have.
+def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, doc_id, need`` of the keys that several documents have.
 
-    Each batch forwards a key once, for its smallest id; the other documents of
-    the batch that have it are settled at once and need not travel with the
-    key, so a key that very many documents have is thinned out before the
-    shuffle.  After it, rows are sorted by key and only compared with their
-    neighbours.
+    Of equal texts in a batch only the smallest id has keys.  Each batch
+    forwards a key once, for its smallest id; the other documents of the batch
+    that have it are settled at once and need not travel with the key, so a key
+    that very many documents have is thinned out before the shuffle.  After it,
+    rows are sorted by key and only compared with their neighbours.
     """
+    lows, most = size_classes(percent)
+
     def forward(batch: pa.RecordBatch) -> Iterator[dict]:
-        lists = batch.column("keys")
-        counts = np.diff(lists.offsets.to_numpy())
-        keys = lists.flatten().to_numpy()
-        docs = np.repeat(batch.column("doc_id").to_numpy(), counts)
+        heads: dict[bytes, int] = {}
+        for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
+            text = text.lower()
+            heads[text] = min(doc, heads.get(text, doc))
+        texts, found = list(heads), []
+        for start, end in chunks(texts):
+            for text, own in zip(texts[start:end], text_sets(texts[start:end], width), strict=True):
+                if len(own):
+                    keys, need = section_keys(own, lows, most, percent)
+                    found.append((keys, heads[text], need))
+        if not found:
+            return
+        counts = [len(k) for k, _, _ in found]
+        keys = signed(np.concatenate([k for k, _, _ in found]))
+        docs = np.repeat(np.array([d for _, d, _ in found], np.int64), counts)
+        need = np.repeat(np.array([n for _, _, n in found], np.int8), counts)
         order = np.lexsort([docs, keys])
-        keys, docs = keys[order], docs[order]
+        keys, docs, need = keys[order], docs[order], need[order]
         first = np.ones(len(keys), bool)
         first[1:] = keys[1:] != keys[:-1]
         again = np.zeros(len(keys), bool)
         again[:-1] = first[:-1] & ~first[1:]
         tag = np.where(first, np.where(again, LOCAL, ALONE), SETTLED).astype(np.int8)
-        yield {"key": keys, "doc_id": docs, "tag": tag}
+        yield {"key": keys, "doc_id": docs, "tag": (need * 4 + tag).astype(np.int8)}
 
     def meet(batches):
-        held = None         # the last forwarded row, not yet decided, and whether it is shared
+        held = None         # the last forwarded row and whether it is shared
         for batch in batches:
             key, doc, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            need, tag = tag // 4, tag % 4
             settled = tag == SETTLED
-            out = [(key[settled], doc[settled])]
-            key, doc, tag = key[~settled], doc[~settled], tag[~settled]
+            out = [(key[settled], doc[settled], need[settled])]
+            key, doc, need, tag = key[~settled], doc[~settled], need[~settled], tag[~settled]
             if len(key):
                 same = key[1:] == key[:-1]
                 keep = tag == LOCAL
@@ -190,22 +187,24 @@ def shared_keys(points: DataFrame) -> DataFrame:
                 if held:
                     meets = held[0] == key[0]
                     keep[0] |= meets
-                    if held[2] or meets:
-                        out.append((np.array([held[0]]), np.array([held[1]])))
-                out.append((key[:-1][keep[:-1]], doc[:-1][keep[:-1]]))
-                held = (key[-1], doc[-1], bool(keep[-1]))
-            yield pa.RecordBatch.from_pydict({
-                "key": np.concatenate([k for k, _ in out]).astype(np.int64),
-                "doc_id": np.concatenate([d for _, d in out]).astype(np.int64)})
-        if held and held[2]:
-            yield pa.RecordBatch.from_pydict({"key": np.array([held[0]], np.int64),
-                                              "doc_id": np.array([held[1]], np.int64)})
-
-    sent = map_batches(points.select("doc_id", "keys"), forward,
-                       "key long, doc_id long, tag byte")
-    route = F.when(F.col("tag") == SETTLED, F.xxhash64("key", "doc_id")).otherwise(F.col("key"))
-    dealt = sent.repartition(shuffle_width(points.sparkSession), route)
-    return dealt.sortWithinPartitions("key", "doc_id").mapInArrow(meet, "key long, doc_id long")
+                    if held[3] or meets:
+                        out.append(tuple(np.array([x]) for x in held[:3]))
+                out.append((key[:-1][keep[:-1]], doc[:-1][keep[:-1]], need[:-1][keep[:-1]]))
+                held = (key[-1], doc[-1], need[-1], bool(keep[-1]))
+            yield rows(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        if held and held[3]:
+            yield rows(*(np.array([x]) for x in held[:3]))
+
+    def rows(key, doc, need):
+        return pa.RecordBatch.from_pydict({
+            "key": key.astype(np.int64), "doc_id": doc.astype(np.int64),
+            "need": need.astype(np.int32)})
+
+    sent = map_batches(docs, forward, "key long, doc_id long, tag byte")
+    route = F.when(F.col("tag") % 4 == SETTLED, F.xxhash64("key", "doc_id")).otherwise(F.col("key"))
+    dealt = sent.repartition(shuffle_width(docs.sparkSession), route)
+    return dealt.sortWithinPartitions("key", "doc_id").mapInArrow(
+        meet, "key long, doc_id long, need int")
 
 
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
@@ -331,15 +330,17 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     repeated rows.  Rows without an id are dropped.  Other columns are ignored.
     """
     spark = docs.sparkSession
-    docs = docs.filter(F.col(key).isNotNull())
+    texts = docs.filter(F.col(key).isNotNull()).select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     stored, meetings = scratch_path(spark, "points"), scratch_path(spark, "keys")
-    set_points(docs, key, text, width, percent).write.parquet(stored)
+    set_points(spread(texts), width).write.parquet(stored)
     points = spark.read.parquet(stored)
-    shared_keys(points).write.parquet(meetings)
+    # Keys are made from the texts again: they would take more room than the texts.
+    shared_keys(spread(texts), width, percent).write.parquet(meetings)
     shared = spark.read.parquet(meetings)
     # Linked sets share several keys, so a few keys in common by chance lead nowhere.
-    often = shared.groupBy("doc_id").agg(F.count("*").alias("shared")).join(
-        points.groupBy("doc_id").agg(F.max("need").alias("need")), "doc_id").filter(
+    often = shared.groupBy("doc_id").agg(
+        F.count("*").alias("shared"), F.min("need").alias("need")).filter(
         F.col("shared") >= F.col("need")).select("doc_id")
     keyed = shared.join(often, "doc_id", "left_semi")
     centers = keyed.groupBy("key").agg(F.min("doc_id").alias("center"))
@@ -350,7 +351,6 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     known = points.select("doc_id", "n", "d1", "d2").filter("n > 0")
     classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
     heads = classes.select(F.col("class_id").alias("doc_id"), "n").dropDuplicates(["doc_id"])
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     members = families.withColumnRenamed("id", "doc_id").join(heads, "doc_id").join(
         texts, "doc_id").dropDuplicates(["doc_id"])
     found = components(family_links(members, width, percent))
