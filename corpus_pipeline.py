@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import decontaminate, langid, ngramjoin, pfair, pii
+from gristmill.llm.components import mark_likely
 from gristmill.session import scratch_path
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -26,8 +27,14 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     groups = ngramjoin.jaccard_join(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti")
+    stored = scratch_path(spark, "copies")
+    groups.filter(F.col("doc_id") != F.col("component_id")).select(
+        "doc_id").distinct().write.parquet(stored)
+    copies = spark.read.parquet(stored)
+    marked = mark_likely(docs, copies, "doc_id")
+    # Only texts that may be copies are shuffled.
+    kept = marked.filter("_likely").join(copies, "doc_id", "left_anti")
+    return marked.filter("not _likely").unionByName(kept).select(docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating star contraction."""
+"""Connected components by alternating star contraction; marks for ids in a table."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.session import cut_lineage
 
 ROUNDS = 60
+MARK_BITS = 1 << 23       # broadcast as at most 131,072 words of 64 bits
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,3 +52,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
         F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return moved.union(own).distinct()
+
+
+def mark_likely(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Add ``_likely``: false where the key is certainly not in ``ids``.
+
+    The ids are hashed into a bit table of fixed size, so wide rows that a join
+    would drop need not be shuffled.  A full table only marks more rows.
+    """
+    cell = F.pmod(F.xxhash64(F.col(key)), F.lit(MARK_BITS))
+    table = ids.select(cell.alias("_cell")).groupBy(F.shiftright("_cell", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_cell & 63 as int))")).alias("_bits"))
+    placed = df.withColumn("_cell", cell).withColumn("_at", F.shiftright("_cell", 6))
+    found = placed.join(F.broadcast(table), F.col("_at") == F.col("_word"), "left")
+    bit = F.expr("getbit(_bits, cast(_cell & 63 as int)) = 1")
+    return found.withColumn("_likely", F.coalesce(bit, F.lit(False))).drop(
+        "_cell", "_at", "_word", "_bits")

@@ -114,6 +114,29 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> Model:
                  np.log(prior / max(prior.sum(), 1)))
 
 
+def judged(texts: pa.Array, model: Model, letters: np.ndarray) -> tuple[list[str], list[float]]:
+    """Best language and its posterior for each text."""
+    names, scores = [], []
+    for body in texts.to_pylist():
+        points = cleaned(body or "", letters)
+        if not len(points) or not model.languages:
+            names.append(UNKNOWN)
+            scores.append(0.0)
+            continue
+        total = model.log_prior.copy()
+        for at in range(0, len(points), CHUNK_CHARS):
+            grams = gram_buckets(points[at:at + CHUNK_CHARS + 2])[:CHUNK_CHARS].ravel()
+            if len(grams) > BUCKETS:
+                counts = np.bincount(grams, minlength=BUCKETS)
+                total += counts @ model.log_probability.astype(float)
+            else:
+                total += model.log_probability[grams].sum(0, dtype=float)
+        best = int(np.argmax(total))
+        names.append(model.languages[best])
+        scores.append(float(1 / np.exp(total - total[best]).sum()))
+    return names, scores
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, lang_pred, score``: best language and its posterior probability.
 
@@ -123,30 +146,10 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
 
-    def state() -> tuple[Model, np.ndarray]:
-        return shared.value, letter_table()
-
     def run(batches):
-        own, letters = state()
+        letters = letter_table()
         for batch in batches:
-            names, scores = [], []
-            for body in batch.column(1).to_pylist():
-                points = cleaned(body or "", letters)
-                if not len(points) or not own.languages:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = own.log_prior.copy()
-                for at in range(0, len(points), CHUNK_CHARS):
-                    grams = gram_buckets(points[at:at + CHUNK_CHARS + 2])[:CHUNK_CHARS].ravel()
-                    if len(grams) > BUCKETS:
-                        counts = np.bincount(grams, minlength=BUCKETS)
-                        total += counts @ own.log_probability.astype(float)
-                    else:
-                        total += own.log_probability[grams].sum(0, dtype=float)
-                best = int(np.argmax(total))
-                names.append(own.languages[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
+            names, scores = judged(batch.column(1), shared.value, letters)
             yield pa.RecordBatch.from_pydict({
                 key: batch.column(0), "lang_pred": pa.array(names, pa.string()),
                 "score": pa.array(scores, pa.float64())})
@@ -171,9 +174,17 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     Rejected are texts without letters (null and empty ones too) and texts
     whose best language has a posterior below ``least``.  Repeated rows stay.
     """
-    plain = docs.select("doc_id", "text", "lang")
-    kept = identify(plain).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs.select("text", "lang")))
+
+    def run(batches):
+        letters = letter_table()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            names, scores = judged(texts, shared.value, letters)
+            kept = [n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return spread(docs).mapInArrow(run, docs.schema)
 
 
 @query("op3_language_id")

@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.batches import byte_texts, chunks, map_batches, mix, signed, spread, word_hashes
-from gristmill.llm.components import components
+from gristmill.llm.components import components, mark_likely
 from gristmill.llm.registry import query
-from gristmill.session import scratch_path, shuffle_width
+from gristmill.session import cut_lineage, scratch_path, shuffle_width
 
 GROUPS = 64               # coordinates of a point
 LEAF = 16                 # points in an R-tree leaf
@@ -135,8 +135,9 @@ ALONE, LOCAL, SETTLED = 0, 1, 2
 
 
 def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``key, doc_id, need`` of the keys that several documents have.
+    """``a, b, need`` per document ``a`` and key that several have; ``b`` has it too.
 
+    ``b`` is the smallest id with the key, or that of the same batch.
     Of equal texts in a batch only the smallest id has keys.  Each batch
     forwards a key once, for its smallest id; the other documents of the batch
     that have it are settled at once and need not travel with the key, so a key
@@ -169,42 +170,47 @@ def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
         again = np.zeros(len(keys), bool)
         again[:-1] = first[:-1] & ~first[1:]
         tag = np.where(first, np.where(again, LOCAL, ALONE), SETTLED).astype(np.int8)
-        yield {"key": keys, "doc_id": docs, "tag": (need * 4 + tag).astype(np.int8)}
+        # A settled row carries the id it is settled with in place of the key.
+        center = docs[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
+        yield {"key": np.where(first, keys, center), "doc_id": docs,
+               "tag": (need * 4 + tag).astype(np.int8)}
 
     def meet(batches):
-        held = None         # the last forwarded row and whether it is shared
+        held = None         # last forwarded row: key, id, center, need, and whether it is shared
         for batch in batches:
             key, doc, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             need, tag = tag // 4, tag % 4
             settled = tag == SETTLED
-            out = [(key[settled], doc[settled], need[settled])]
+            out = [(doc[settled], key[settled], need[settled])]
             key, doc, need, tag = key[~settled], doc[~settled], need[~settled], tag[~settled]
             if len(key):
                 same = key[1:] == key[:-1]
+                first = np.append(True, ~same)
+                center = doc[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
                 keep = tag == LOCAL
                 keep[1:] |= same
                 keep[:-1] |= same
                 if held:
-                    meets = held[0] == key[0]
-                    keep[0] |= meets
-                    if held[3] or meets:
-                        out.append(tuple(np.array([x]) for x in held[:3]))
-                out.append((key[:-1][keep[:-1]], doc[:-1][keep[:-1]], need[:-1][keep[:-1]]))
-                held = (key[-1], doc[-1], need[-1], bool(keep[-1]))
+                    if meets := bool(held[0] == key[0]):
+                        center[key == key[0]] = held[2]
+                        keep[0] = True
+                    if held[4] or meets:
+                        out.append(tuple(np.array([x]) for x in held[1:4]))
+                out.append(tuple(x[:-1][keep[:-1]] for x in (doc, center, need)))
+                held = (key[-1], doc[-1], center[-1], need[-1], bool(keep[-1]))
             yield rows(*(np.concatenate(x) for x in zip(*out, strict=True)))
-        if held and held[3]:
-            yield rows(*(np.array([x]) for x in held[:3]))
+        if held and held[4]:
+            yield rows(*(np.array([x]) for x in held[1:4]))
 
-    def rows(key, doc, need):
+    def rows(a, b, need):
         return pa.RecordBatch.from_pydict({
-            "key": key.astype(np.int64), "doc_id": doc.astype(np.int64),
-            "need": need.astype(np.int32)})
+            "a": a.astype(np.int64), "b": b.astype(np.int64), "need": need.astype(np.int32)})
 
     sent = map_batches(docs, forward, "key long, doc_id long, tag byte")
     route = F.when(F.col("tag") % 4 == SETTLED, F.xxhash64("key", "doc_id")).otherwise(F.col("key"))
     dealt = sent.repartition(shuffle_width(docs.sparkSession), route)
     return dealt.sortWithinPartitions("key", "doc_id").mapInArrow(
-        meet, "key long, doc_id long, need int")
+        meet, "a long, b long, need int")
 
 
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
@@ -339,20 +345,17 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     shared_keys(spread(texts), width, percent).write.parquet(meetings)
     shared = spark.read.parquet(meetings)
     # Linked sets share several keys, so a few keys in common by chance lead nowhere.
-    often = shared.groupBy("doc_id").agg(
-        F.count("*").alias("shared"), F.min("need").alias("need")).filter(
-        F.col("shared") >= F.col("need")).select("doc_id")
-    keyed = shared.join(often, "doc_id", "left_semi")
-    centers = keyed.groupBy("key").agg(F.min("doc_id").alias("center"))
-    edges = keyed.join(centers, "key").filter(F.col("doc_id") != F.col("center")).select(
-        F.col("doc_id").alias("a"), F.col("center").alias("b")).distinct()
+    often = shared.groupBy("a").agg(F.count("*").alias("shared"), F.min("need").alias("need")).filter(
+        F.col("shared") >= F.col("need")).select("a")
+    edges = shared.filter("a != b").select("a", "b").distinct().join(often, "a", "left_semi")
     families = components(edges).withColumnRenamed("component", "family")
     # Equal sets are one class, represented by the smallest id.
     known = points.select("doc_id", "n", "d1", "d2").filter("n > 0")
     classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
     heads = classes.select(F.col("class_id").alias("doc_id"), "n").dropDuplicates(["doc_id"])
-    members = families.withColumnRenamed("id", "doc_id").join(heads, "doc_id").join(
-        texts, "doc_id").dropDuplicates(["doc_id"])
+    wanted = cut_lineage(families.withColumnRenamed("id", "doc_id").join(heads, "doc_id"))
+    nearly = mark_likely(texts, wanted, "doc_id").filter("_likely").drop("_likely")
+    members = wanted.join(nearly, "doc_id").dropDuplicates(["doc_id"])
     found = components(family_links(members, width, percent))
     rows = points.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
     return rows.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
