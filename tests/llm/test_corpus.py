@@ -1,6 +1,7 @@
 """Decontamination, mixing and the pipeline."""
 
 import random
+from fractions import Fraction
 
 import pytest
 from conftest import SF, by_id, prose
@@ -105,6 +106,45 @@ def test_schedule_stays_within_one_block(sizes, weights):
             start, done = slot + 1, dict(seen)
 
 
+@pytest.mark.parametrize("sizes, weights", [
+    ({"a": 4000, "b": 4000, "c": 4000}, {"a": 1, "b": 1, "c": 1}),
+    ({"a": 30_000, "b": 10_000, "c": 1300}, {s: n ** 0.5 for s, n in
+                                            {"a": 9e6, "b": 3e6, "c": 4e5}.items()}),
+    ({"a": 20_000, "b": 9}, {"a": 0.99985, "b": 0.00015}),
+    ({s: 300 + s for s in range(40)}, {s: 1 / (3 + s) for s in range(40)})])
+def test_schedule_does_not_drift(monkeypatch, sizes, weights):
+    monkeypatch.setattr(pfair, "RANGE", 5000)      # several ranges in a phase
+    slots = {}
+    for source, first, until, base, per, period, places in pfair.schedule(sizes, weights):
+        for j in range(first, until):
+            inside = j - first
+            slots[base + inside // per * period + places[inside % per]] = (source, j)
+    assert sorted(slots) == list(range(sum(sizes.values())))
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    seen, total = dict.fromkeys(sizes, 0), sum(exact.values())
+    whole = {s: exact[s] / total for s in sizes}
+    for slot in range(len(slots)):
+        source, j = slots[slot]
+        assert j == seen[source]
+        seen[source] += 1
+        if seen[source] == sizes[source]:      # the first phase ends
+            break
+        for s, share in whole.items():
+            assert abs(seen[s] - share * (slot + 1)) < 1
+    assert slot > 2000
+
+
+def test_long_schedules_are_stored(spark, documents, monkeypatch):
+    def placed():
+        return sorted(map(tuple, pfair.interleave(documents.select("doc_id", "source"),
+                                                  block_docs=1).collect()))
+    whole = placed()
+    monkeypatch.setattr(pfair, "RANGE", 16)
+    monkeypatch.setattr(pfair, "PERIOD", 2)
+    monkeypatch.setattr(pfair, "BROADCAST_BLOCKS", 40)
+    assert placed() == whole
+
+
 def test_interleave(documents):
     rows = pfair.interleave(documents).collect()
     assert len(rows) == documents.count()
