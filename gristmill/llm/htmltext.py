@@ -1,13 +1,15 @@
 """Main text of HTML pages: a bidirectional LSTM labels the blocks of a page.
 
 A page becomes its sequence of leaf blocks, each with its tag path (tags,
-classes and ids) and its text.  A block's input is the mean of hashed path
-vectors, the mean of hashed word vectors and a few figures; an LSTM reads the
-sequence in both directions, so every decision sees the whole page.  No block
-of the tables is labelled, so the network learns from a bounded sample of pages
-labelled by the meaning of their markup (``article`` against ``nav`` and so
-on).  Blocks of the usual page furniture are planted in them, and the naming of
-the main part is varied, so that it also learns forms rare in the sample.
+classes and ids) and its text.  A block's input is the mean of hashed vectors of
+its inner path, a mean over its whole path with learnt weights, the mean of
+hashed word vectors and a few figures; an LSTM reads the sequence in both
+directions, so every decision sees the whole page.  No block of the tables is
+labelled, so the network learns from a bounded sample of pages labelled by the
+meaning of their markup (``article`` against ``nav`` and so on).  Blocks of the
+usual page furniture are planted in them, the naming of the main part is varied,
+and copies are nested deeply in layout elements, so that it also learns forms
+rare in the sample.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ TRAIN_PAGES = 400         # pages in the training sample
 TRAIN_CHARS = 200_000     # longer pages are not sampled
 PATH_ROWS, PATH_SIZE = 2048, 16
 WORD_ROWS, WORD_SIZE = 1024, 8
-WORD_CHARS = 200          # of a block that are hashed; the text that is kept is whole
+INNER = 12                # innermost path tokens, which also have a plain mean
+WORD_CHARS = 1 << 14      # of a block that are split into words at a time
 FIGURES = 4
+NOISE = "\0"              # begins names that stand for any unknown name in training
 HIDDEN = 16
 EPOCHS, STEPS = 10, 250   # passes over the sample, and batches seen at least
 GROUP = 32                # pages in one numpy batch
@@ -129,17 +133,44 @@ class Inputs:
         def rows(path):
             found = known.get(path)
             if found is None:
-                found = known[path] = [zlib.crc32(t.encode()) % PATH_ROWS for t in {"", *path}]
+                found = known[path] = [-1 if t[:1] == NOISE else crc(t.encode()) % PATH_ROWS
+                                       for t in {"", *path}]
             return found
 
+        def cells(text):
+            """Rows of all words, and how often each occurs."""
+            if len(text) <= WORD_CHARS:
+                found = [crc(w.encode()) % WORD_ROWS for w in text.lower().split()]
+                return found, [1] * len(found)
+            counts, at = np.zeros(WORD_ROWS, np.int64), 0
+            while at < len(text):
+                end = text.find(" ", at + WORD_CHARS)
+                end = len(text) if end < 0 else end
+                counts += np.bincount([crc(w.encode()) % WORD_ROWS
+                                       for w in text[at:end].lower().split()],
+                                      minlength=WORD_ROWS)
+                at = end + 1
+            found = np.flatnonzero(counts)
+            return found.tolist(), counts[found].tolist()
+
         # Every block has a path token (the empty one) and a word.
-        paths = [rows(p[-12:]) for p, _, _ in flat]
-        words = [t[:WORD_CHARS].lower().split() for _, t, _ in flat]
-        self.path_n, self.word_n = (np.array(list(map(len, x)), float) for x in (paths, words))
-        self.path = np.array([x for r in paths for x in r], np.int64)
-        self.word = np.array([crc(w.encode()) for r in words for w in r], np.int64) % WORD_ROWS
-        self.path_at, self.word_at = (
-            (np.cumsum(n) - n).astype(np.int64) for n in (self.path_n, self.word_n))
+        inner = [rows(p[-INNER:]) for p, _, _ in flat]
+        whole = [rows(p) for p, _, _ in flat]
+        words = [cells(t) for _, t, _ in flat]
+        self.path_n, self.whole_n, self.word_n = (
+            np.array(list(map(len, x))) for x in (inner, whole, [w for w, _ in words]))
+        self.path, self.whole, self.word = (
+            np.array([x for r in each for x in r], np.int64)
+            for each in (inner, whole, [w for w, _ in words]))
+        self.noise = [(x, np.flatnonzero(x < 0)) for x in (self.path, self.whole)]
+        self.redraw(np.random.default_rng(len(flat)))
+        self.path_at, self.whole_at, self.word_at = (
+            np.cumsum(n) - n for n in (self.path_n, self.whole_n, self.word_n))
+        # Weight of each entry in the vector of its block.
+        often = np.array([x for _, n in words for x in n], float)
+        self.path_w = np.repeat(1 / self.path_n, self.path_n)[:, None]
+        self.word_w = (often / np.repeat(np.add.reduceat(often, self.word_at),
+                                         self.word_n))[:, None]
         size = np.array([len(t) for _, t, _ in flat], float)
         self.figures = np.stack([np.log1p(size) / 6, np.array([s for _, _, s in flat]),
                                  np.array([t[-1] in ".!?" for _, t, _ in flat], float),
@@ -153,6 +184,12 @@ class Inputs:
         self.mask[self.step, self.page] = 1
 
 
+    def redraw(self, draw: np.random.Generator) -> None:
+        """Other rows for the names that stand for any unknown name."""
+        for rows, at in self.noise:
+            rows[at] = draw.integers(0, PATH_ROWS, len(at))
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -162,13 +199,14 @@ class BlockLabeller:
 
     def __init__(self, seed: int = 7):
         draw = np.random.default_rng(seed)
-        size = PATH_SIZE + WORD_SIZE + FIGURES
+        size = 2 * PATH_SIZE + WORD_SIZE + FIGURES
 
         def table(*shape):
             return draw.normal(0, 0.3 / np.sqrt(shape[0] if len(shape) > 1 and shape[0] < 200 else 1),
                                shape)
 
-        self.p = {"path": table(PATH_ROWS, PATH_SIZE), "word": table(WORD_ROWS, WORD_SIZE)}
+        self.p = {"path": table(PATH_ROWS, PATH_SIZE), "whole": table(PATH_ROWS, PATH_SIZE),
+                  "weight": np.zeros(PATH_ROWS), "word": table(WORD_ROWS, WORD_SIZE)}
         for way in ("f", "b"):
             self.p["x" + way] = draw.normal(0, 1 / np.sqrt(size), (size, 4 * HIDDEN))
             self.p["h" + way] = draw.normal(0, 1 / np.sqrt(HIDDEN), (HIDDEN, 4 * HIDDEN))
@@ -178,11 +216,18 @@ class BlockLabeller:
         self.p["out"] = draw.normal(0, 0.2, (2 * HIDDEN + size, 1))
         self.p["bias"] = np.zeros(1)
 
+    def _weights(self, batch: Inputs) -> np.ndarray:
+        """Softmax over the path of each block, so that depth does not hide a telling name."""
+        raw = self.p["weight"][batch.whole]
+        raw = np.exp(raw - np.repeat(np.maximum.reduceat(raw, batch.whole_at), batch.whole_n))
+        return (raw / np.repeat(np.add.reduceat(raw, batch.whole_at), batch.whole_n))[:, None]
+
     def _embed(self, batch: Inputs) -> np.ndarray:
-        path = np.add.reduceat(self.p["path"][batch.path], batch.path_at)
-        word = np.add.reduceat(self.p["word"][batch.word], batch.word_at)
-        return np.concatenate([path / batch.path_n[:, None], word / batch.word_n[:, None],
-                               batch.figures], 1)
+        return np.concatenate([
+            np.add.reduceat(self.p["path"][batch.path] * batch.path_w, batch.path_at),
+            np.add.reduceat(self.p["whole"][batch.whole] * self._weights(batch), batch.whole_at),
+            np.add.reduceat(self.p["word"][batch.word] * batch.word_w, batch.word_at),
+            batch.figures], 1)
 
     def _read(self, x: np.ndarray, mask: np.ndarray, way: str):
         steps, pages, _ = x.shape
@@ -247,14 +292,17 @@ class BlockLabeller:
             grads["c" + way] = dz_all.sum((0, 1))
             dx += dz_all @ self.p["x" + way].T
         flat = dx[batch.step, batch.page]
-        grads["path"] = np.zeros_like(self.p["path"])
-        np.add.at(grads["path"], batch.path,
-                  np.repeat(flat[:, :PATH_SIZE] / batch.path_n[:, None],
-                            batch.path_n.astype(int), 0))
-        grads["word"] = np.zeros_like(self.p["word"])
-        np.add.at(grads["word"], batch.word,
-                  np.repeat(flat[:, PATH_SIZE:PATH_SIZE + WORD_SIZE] / batch.word_n[:, None],
-                            batch.word_n.astype(int), 0))
+        at, soft = 0, self._weights(batch)
+        for name, width, weight in (("path", PATH_SIZE, batch.path_w), ("whole", PATH_SIZE, soft),
+                                    ("word", WORD_SIZE, batch.word_w)):
+            rows, n = getattr(batch, name), getattr(batch, name + "_n")
+            grads[name] = np.zeros_like(self.p[name])
+            np.add.at(grads[name], rows, np.repeat(flat[:, at:at + width], n, 0) * weight)
+            at += width
+        pull = soft[:, 0] * (self.p["whole"][batch.whole] * np.repeat(
+            flat[:, PATH_SIZE:2 * PATH_SIZE], batch.whole_n, 0)).sum(1)
+        pull -= soft[:, 0] * np.repeat(np.add.reduceat(pull, batch.whole_at), batch.whole_n)
+        grads["weight"] = np.bincount(batch.whole, pull, PATH_ROWS)
         return float(loss), grads
 
     def fit(self, pages: list, labels: list[np.ndarray], epochs: int = EPOCHS,
@@ -266,11 +314,12 @@ class BlockLabeller:
                  for g in groups]
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        draw, step = random.Random(seed), 0
+        draw, step, unknown = random.Random(seed), 0, np.random.default_rng(seed)
         for _ in range(max(epochs, -(-STEPS // len(ready)))):
             draw.shuffle(ready)
             for batch, wanted in ready:
                 step += 1
+                batch.redraw(unknown)
                 _, grads = self.gradients(batch, wanted)
                 for k, g in grads.items():
                     first[k] = 0.9 * first[k] + 0.1 * g
@@ -317,9 +366,33 @@ _MAIN_FORMS = ("article", "main", "div.content", "div#content", "div.post", "div
                "section.story", "article.post")
 
 
+_LAYOUT = (("div", "container"), ("div", "row"), ("div", "col", "md", "4"), ("div", "wrapper"),
+           ("div", "inner"), ("div",), ("section",), ("ul", "list", "unstyled"), ("li",), ("b",),
+           ("span",), ("font",), ("table",), ("tr",), ("td",), ("center",), ("em",))
+
+
+def nested(sequence: list, draw: random.Random) -> list:
+    """The same blocks with layout elements between their telling ancestor and the rest."""
+    chains: dict = {}
+
+    def chain():
+        return tuple(x for _ in range(draw.randint(1, 14)) for x in (
+            draw.choice(_LAYOUT) if draw.random() < 0.3 else
+            tuple(f"{NOISE}{draw.randrange(10_000)}" for _ in range(draw.randint(1, 3)))))
+
+    out = []
+    for path, text, share in sequence:
+        at = next((i + 1 for i in range(len(path) - 1, -1, -1)
+                   if path[i] in FURNITURE or path[i] in MAIN), min(2, len(path)))
+        if path[:at] not in chains or draw.random() < 0.1:
+            chains[path[:at]] = chain()
+        out.append((path[:at] + chains[path[:at]] + path[at:], text, share))
+    return out
+
+
 def varied(pages: list[list], seed: int = 11) -> tuple[list[list], list[np.ndarray]]:
-    """Training sequences: the pages as they are, and copies with planted furniture."""
-    draw = random.Random(seed)
+    """Training sequences: the pages as they are, copies with planted furniture, nested copies."""
+    draw, deep = random.Random(seed), random.Random(seed + 1)
     texts = [t for p in pages for _, t, _ in p if len(t) > 20] or ["text"]
 
     def tokens(form: str) -> tuple[str, ...]:
@@ -352,8 +425,8 @@ def varied(pages: list[list], seed: int = 11) -> tuple[list[list], list[np.ndarr
             copy.append((path, text, share))
             marks.append(float(keep))
         plant(("html", "body"))
-        sequences.append(copy)
-        labels.append(np.array(marks))
+        sequences += [copy, nested(copy, deep)]
+        labels += [np.array(marks), np.array(marks)]
     return sequences, labels
 
 

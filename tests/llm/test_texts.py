@@ -295,3 +295,31 @@ def test_main_text(spark):
     assert found[5][0]["n_chars"] == 3000 * 11 - 1
     assert htmltext.extract(odd.limit(0), model).count() == 0
     assert htmltext.extract(odd.limit(0), htmltext.train(odd.limit(0))).count() == 0
+
+
+def test_whole_path_and_all_words_reach_the_labeller():
+    long = tuple(f"t{i}" for i in range(30))
+    base = (("html", "article", *long), "word " * 10_000 + "end", 0.0)
+    model = htmltext.BlockLabeller()
+
+    def found(*block):
+        return model._embed(htmltext.Inputs([[block]]))[0]
+
+    assert not np.allclose(found(*base), found(("html", "nav", *long), *base[1:]))
+    assert not np.allclose(found(*base), found(base[0], "word " * 10_000 + "fin", 0.0), atol=1e-9)
+    # Long texts in pieces have the mean of all their words.
+    words = [zlib.crc32(w.encode()) % htmltext.WORD_ROWS for w in base[1].split()]
+    start = 2 * htmltext.PATH_SIZE
+    assert np.allclose(found(*base)[start:start + htmltext.WORD_SIZE],
+                       model.p["word"][words].mean(0))
+
+
+def test_deeply_nested_blocks_are_labelled(spark):
+    pages = [list(htmltext.blocks(r["html"])) for r in
+             spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()]
+    model = htmltext.BlockLabeller()
+    model.fit(*htmltext.varied(pages[::2]))
+    sequences, labels = htmltext.varied(pages[1::2], seed=99)
+    deep, wanted = sequences[2::3], np.concatenate(labels[2::3])
+    assert max(len(p) for s in deep for p, _, _ in s) > 30
+    assert np.mean((np.concatenate(model.label(deep)) >= 0.5) == wanted) > 0.9
