@@ -3,9 +3,10 @@
 The lexicon holds the terms whose inverse document frequency lies in a band.
 It is kept as one bit per hash cell (``CELLS`` of them), so its size does not
 grow with the corpus.  A document's terms in the lexicon are sorted, and one
-hash is taken for each of several lexicon subsets.  Subsets come in scales, the
-finer ones with ever fewer terms, so that short and long documents both have
-subsets of a few terms: an edit changes only the subsets whose terms it touches.
+hash is taken for each of several lexicon subsets.  Subsets come in scales: those
+of the coarsest hold every term of the lexicon, the finer ones ever fewer terms,
+so that short and long documents both have subsets of a few terms: an edit
+changes only the subsets whose terms it touches.
 Column expressions only; texts are split once per fingerprint.
 """
 
@@ -25,7 +26,8 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 IDF_BAND = (2.5, 8.5)     # natural logarithm of documents / documents with the term
 SUBSETS = 8               # per scale
-SCALES = (16, 64, 256, 1024, 4096, 16384)   # one term in so many belongs to a subset
+# One term in so many belongs to a subset; at the first scale every term to one of them.
+SCALES = (SUBSETS, 16, 64, 256, 1024, 4096, 16384)
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 
 

@@ -232,6 +232,16 @@ def test_fingerprint_edges(edge_docs, no_docs):
     assert imatch.compared(edge_docs).count() == edge_docs.count()
 
 
+def test_every_lexicon_term_counts(spark):
+    frame = spark.createDataFrame([(i, f"word{i // 2}") for i in range(400)],
+                                  "doc_id long, text string")
+    rows = sorted(imatch.compared(frame).collect())
+    prints = [r["fingerprint"] for r in rows]
+    assert prints[::2] == prints[1::2] and len(set(prints)) == 200
+    assert not any(set(p.split(".")) == {"0"} for p in prints)
+    assert all(r["near_next"] == (r["doc_id"] % 2 == 0) for r in rows)
+
+
 def test_lexicon_band(spark):
     frame = spark.createDataFrame([(i, f"always often{i % 5} once{i}") for i in range(100)],
                                   "doc_id long, text string")
