@@ -43,28 +43,32 @@ STEP_CELLS = 20_000       # padded blocks in one numpy batch when labelling
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|select|button|iframe|svg|object)\b"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|textarea|title)(?=[\s/>])"
+    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|[^<]+|<", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr img".split())
+EMBEDDED = frozenset("svg object iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
                    "pre section table ul".split())
 FURNITURE = frozenset("nav header footer aside form head ad ads advert advertisement sponsor promo "
                       "banner sidebar menu breadcrumb breadcrumbs comment comments replies cookie "
-                      "notice popup newsletter subscribe share social related widget".split())
+                      "notice popup newsletter subscribe share social related widget "
+                      "button select".split())
 MAIN = frozenset("article main content post entry story".split())
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, float]]:
     """``(path, text, share of linked characters)`` of every leaf block, in order.
 
-    Inline tags don't part a block.  Character references are decoded, white
+    Only scripts, styles, templates, text areas and titles are dropped.  Inline
+    tags don't part a block.  A button or a selection ends at the next part of
+    the page at the latest.  Character references are decoded, white
     space becomes one space.  Unclosed and stray tags are borne; a page that
     breaks off ends its last block there.
     """
@@ -102,12 +106,13 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, float]]:
             if at is not None:
                 del path[at:]
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and not (tag in EMBEDDED and token[4].endswith("/")):
             yield from flush()
         if tag in ENDS_P:
-            at = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == "p"), None)
-            if at is not None:
-                del path[at:]
+            for open_tag in ("p", "button", "select"):
+                at = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == open_tag), None)
+                if at is not None:
+                    del path[at:]
         elif tag in ("li", "td", "th", "tr", "dd", "dt", "option"):
             at = next((i for i in range(len(path) - 1, -1, -1)
                        if path[i][0] in (tag, "ul", "ol", "table", "dl")), None)

@@ -323,3 +323,16 @@ def test_deeply_nested_blocks_are_labelled(spark):
     deep, wanted = sequences[2::3], np.concatenate(labels[2::3])
     assert max(len(p) for s in deep for p, _, _ in s) > 30
     assert np.mean((np.concatenate(model.label(deep)) >= 0.5) == wanted) > 0.9
+
+
+@pytest.mark.parametrize("tag", ["<svg class='x'/>", "<svg>", "<button>", "<select>", "<object>",
+                                 "<iframe src='u'>", "<noscript>", "<button>Share",
+                                 "<svg><title/></svg>"])
+def test_open_elements_keep_what_follows(tag):
+    page = f"<body><article><p>One {tag}<p>Two</article><div>Three <button>Go</button></div>"
+    found = list(htmltext.blocks(page))
+    text = " ".join(t for _, t, _ in found)
+    assert text.replace("Share ", "") == "One Two Three Go"
+    assert all(htmltext.weak_label(p) == (t in ("One", "Two")) for p, t, _ in found
+               if "Share" not in t)
+    assert [t for _, t, _ in htmltext.blocks("a<script>b</script>c<title>d")] == ["ac"]
