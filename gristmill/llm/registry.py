@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 _MODULES = ("langid", "lpf", "imatch", "pii", "htmltext", "brownlm", "decontaminate", "pfair", "toxicity",
-            "ngramjoin", "runs", "vectortrees")
+            "ngramjoin", "runs", "vectortrees",
+            "crosstokens")
 
 
 def query(name: str, sql: str | None = None):
