@@ -25,12 +25,13 @@ def both():
     return a, b
 
 
+PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+NAMES = {chr(b): b for b in PLAIN} | {
+    chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(PLAIN)))}
+
+
 def decoded_a(piece):
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    names = {chr(b): b for b in plain}
-    rest = (b for b in range(256) if b not in plain)
-    names |= {chr(256 + i): b for i, b in enumerate(rest)}
-    return bytes(names[c] for c in piece)
+    return bytes(NAMES[c] for c in piece)
 
 
 def decoded_b(piece):
