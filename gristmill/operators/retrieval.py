@@ -1,15 +1,18 @@
 """Embedding, exact top-k search (vector and lexical), hybrid ranking.
 
-Search sends the questions, a bounded block at a time, to every task.  A task
-reads its part of the index once, scores whole Arrow batches with one matrix
-product, and keeps k hits per question.  Only those reach the shuffle: no
-question-chunk pair outside a task's own top k is ever written.
+Both searches are a grid: questions in bounded blocks, the index in bounded
+slabs.  A cell scores its items against its questions with numpy and keeps k
+hits per question; only those go on.  The index is read once, however many
+questions there are.  Lexical search runs over an inverted index that can be
+stored: postings by slab, so the postings of a frequent word are spread over
+all slabs, and only those of asked words reach a cell.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gristmill.functions.text import words
-from gristmill.operators.blocks import bounded_blocks
+from gristmill.session import collect_bounded, scratch_path
 
 # Defaults of embedding and search.
 DIMENSION = 768
@@ -32,11 +35,14 @@ BM25_B = 0.75
 RRF_K = 60
 ALPHA = 0.5
 
-QUERY_BLOCK = 1024            # questions per block
+QUERY_BLOCK = 4096            # questions of a cell, and numbers in them
 QUERY_BLOCK_NUMBERS = 4_000_000
+SLAB_NUMBERS = 16_000_000     # numbers of the index in a cell
 LEXICAL_BLOCK = 256
-LEXICAL_BLOCK_CHARS = 100_000
-STEP_CELLS = 4_000_000        # cells of one dense score or weight matrix
+LEXICAL_SLAB = 8192           # chunks of a slab of postings
+KNOWN_TERMS = 100_000         # asked words sent to the tasks that make postings
+STEP_CELLS = 4_000_000        # cells of one dense score matrix
+DENSE_SHARE = 16              # a word in more than 1 of so many cells is scored densely
 SCORE_DIGITS = 6              # scores are compared and returned at this precision
 
 
@@ -93,46 +99,36 @@ class _Best:
         self.floor[self.question[last]] = self.score[last]
 
 
-def _ids(batch: pa.RecordBatch, count: int) -> list[np.ndarray]:
-    arrays = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(count)]
+def _ids(columns: Sequence) -> list[np.ndarray]:
+    arrays = [column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array)
+              else column.to_numpy() for column in columns]
     return [a.astype(str) if a.dtype == object else a for a in arrays]
 
 
-def _scan(index: DataFrame, item_id: Sequence[str], query_id: str, query_type, ids: list, k: int,
-          score: Callable[[pa.RecordBatch], list], groups: int = 1,
-          group: str | None = None, positive: bool = False) -> DataFrame:
-    """Run ``score`` over the index and return each task's best hits.
+class _Hits:
+    """Schema of hits and Arrow rows of it."""
 
-    ``score`` turns a batch into (first question, scores, row numbers) parts;
-    with groups, question numbers run on group by group.
-    """
-    fields = [index.schema[c] for c in item_id]
-    schema = ", ".join([f"`{query_id}` {query_type.simpleString()}",
-                        *([f"`{group}` int"] if group else []),
-                        *[f"`{f.name}` {f.dataType.simpleString()}" for f in fields],
-                        "score double"])
-    arrow_types = [to_arrow_type(f.dataType) for f in fields]
-    id_type = to_arrow_type(query_type)
-
-    def run(batches):
-        best = _Best(k, len(ids) * groups)
-        for batch in batches:
-            items = _ids(batch, len(item_id))
-            for first, scores, rows in score(batch):
-                best.add(scores, first, [values[rows] for values in items], positive)
-        if best.items is None:
-            return
-        which = best.question % len(ids)
-        columns = [pa.array([ids[i] for i in which], id_type)]
+    def __init__(self, queries: DataFrame, index: DataFrame, query_id: str,
+                 item_id: Sequence[str], group: str | None = None):
+        fields = [queries.schema[query_id], *(index.schema[c] for c in item_id)]
+        kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
         if group:
-            columns.append(pa.array(best.question // len(ids), pa.int32()))
+            kinds.insert(1, f"`{group}` int")
+        self.schema = ", ".join([*kinds, "score double"])
+        self.group = group
+        self.names = [query_id, *([group] if group else []), *item_id, "score"]
+        self.types = [to_arrow_type(f.dataType) for f in fields]
+
+    def rows(self, best: _Best, questions: pa.Array, group: int = 0) -> pa.Table:
+        """The hits so far; ``questions`` are the ids by question number."""
+        n = len(best.question)
+        items = best.items or [np.empty(0)] * (len(self.types) - 1)
+        columns = [questions.take(pa.array(best.question)).cast(self.types[0])]
+        if self.group:
+            columns.append(pa.array(np.full(n, group), pa.int32()))
         columns += [pa.array(values.tolist(), kind)
-                    for values, kind in zip(best.items, arrow_types)]
-        columns.append(pa.array(best.score))
-        names = [query_id, *([group] if group else []), *item_id, "score"]
-        yield pa.RecordBatch.from_arrays(columns, names)
-
-    return index.mapInArrow(run, schema)
+                    for values, kind in zip(items, self.types[1:])]
+        return pa.table([*columns, pa.array(best.score)], self.names)
 
 
 def rank_hits(hits: DataFrame, by: Sequence[str], item_id: Sequence[str], k: int) -> DataFrame:
@@ -140,170 +136,306 @@ def rank_hits(hits: DataFrame, by: Sequence[str], item_id: Sequence[str], k: int
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    first = frames[0]
-    for other in frames[1:]:
-        first = first.unionByName(other)
-    return first
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(
+        len(column), -1)
+
+
+def _unit_rows(vectors: np.ndarray) -> np.ndarray:
+    length = np.sqrt((vectors ** 2).sum(1, keepdims=True))
+    return vectors / np.where(length == 0, 1, length)
+
+
+def _score_vectors(best: _Best, items: Sequence, vectors, asked: np.ndarray, metric: str) -> None:
+    """Add an index part to the hits, in steps of a bounded score matrix."""
+    step, ids = max(1, STEP_CELLS // max(asked.shape)), _ids(items)
+    for start in range(0, len(vectors), step):
+        part = _matrix(vectors.slice(start, step))
+        if metric == "cosine":
+            scores = _unit_rows(part) @ asked.T
+        else:
+            square = (part ** 2).sum(1)[:, None] + (asked ** 2).sum(1) - 2 * part @ asked.T
+            scores = -np.sqrt(np.maximum(square, 0))
+        best.add(scores, 0, [values[start:start + step] for values in ids], False)
 
 
 def search(queries: DataFrame, index: DataFrame, k: int = TOP_K, metric: str = "cosine",
            query_id: str = "query_id", item_id: str | Sequence[str] = "doc_id",
            query_vector: str = "embedding", item_vector: str = "embedding",
-           skip_self: bool = False) -> DataFrame:
+           skip_self: bool = False, group: str | None = None) -> DataFrame:
     """Exact k best items per question: (question, item, score, rank).
 
     Cosine similarity, or minus the euclidean distance.  ``skip_self`` leaves
-    out the item whose id is the question's.
+    out the item whose id is the question's.  With ``group`` (an integer column
+    of both sides) a question is compared with the items of its group only, and
+    every group has hits of its own.  One block of questions is sent to the tasks
+    that read the index; more of them meet the index in the cells of a grid.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; one of {METRICS}")
     item_id = [item_id] if isinstance(item_id, str) else list(item_id)
-    wanted = k + 1 if skip_self else k
-    asked = queries.select(F.col(query_id), F.col(query_vector).alias("_v")).filter(
+    place = (F.col(group) if group else F.lit(0)).cast("int").alias("_g")
+    asked = queries.select(F.col(query_id), F.col(query_vector).alias("_v"), place).filter(
         F.col("_v").isNotNull())
-    narrow = index.select(*item_id, F.col(item_vector).alias("_v")).filter(
+    narrow = index.select(*item_id, F.col(item_vector).alias("_v"), place).filter(
         F.col("_v").isNotNull())
-    context = index.sparkSession.sparkContext
-    found = []
-    for block in bounded_blocks(asked, query_id, F.size("_v"), QUERY_BLOCK, QUERY_BLOCK_NUMBERS):
-        matrix = np.array([row["_v"] for row in block], dtype=np.float64)
-        if metric == "cosine":
-            matrix = _unit_rows(matrix)
-        shared = context.broadcast(matrix)
-        column = len(item_id)
-
-        def score(batch, shared=shared, column=column):
-            asked_for = shared.value
-            step = max(1, STEP_CELLS // max(asked_for.shape))
-            for start in range(0, len(batch), step):
-                part = batch.column(column).slice(start, step)
-                vectors = part.flatten().to_numpy(zero_copy_only=False).astype(
-                    np.float64).reshape(len(part), -1)
-                rows = np.arange(start, start + len(part))
-                if metric == "cosine":
-                    yield 0, _unit_rows(vectors) @ asked_for.T, rows
-                else:
-                    square = (vectors ** 2).sum(1)[:, None] + (asked_for ** 2).sum(1) \
-                        - 2 * vectors @ asked_for.T
-                    yield 0, -np.sqrt(np.maximum(square, 0)), rows
-
-        found.append(_scan(narrow, item_id, query_id, queries.schema[query_id].dataType,
-                           [row[query_id] for row in block], wanted, score))
-    if not found:
-        return _no_hits(queries, index, query_id, item_id)
-    hits = _union(found)
-    if not skip_self:
-        return rank_hits(hits, [query_id], item_id, k)
-    # k + 1 per task before the self hit is dropped leaves k true candidates.
-    others = hits.filter(F.col(query_id) != F.col(item_id[0]))
-    return rank_hits(others, [query_id], item_id, k)
+    facts = asked.agg(F.count("*").alias("n"), F.sum(F.size("_v")).alias("numbers")).first()
+    blocks = max(1, -(-facts["n"] // QUERY_BLOCK), -(-(facts["numbers"] or 0) // QUERY_BLOCK_NUMBERS))
+    hits = _Hits(queries, index, query_id, item_id, group)
+    # k + 1 per cell before the self hit is dropped leaves k true candidates.
+    wanted = k + 1 if skip_self else k
+    found = _scan(asked, narrow, wanted, metric, hits) if blocks == 1 else _grid(
+        asked, narrow, wanted, metric, hits, blocks)
+    if skip_self:
+        found = found.filter(F.col(query_id) != F.col(item_id[0]))
+    return rank_hits(found, [query_id, *([group] if group else [])], item_id, k)
 
 
-def _unit_rows(vectors: np.ndarray) -> np.ndarray:
-    length = np.sqrt((vectors ** 2).sum(1, keepdims=True))
-    return vectors / np.where(length == 0, 1, length)
+def _prepared(vectors, metric: str) -> np.ndarray:
+    matrix = _matrix(vectors)
+    return _unit_rows(matrix) if metric == "cosine" else matrix
+
 
+def _scan(asked: DataFrame, index: DataFrame, k: int, metric: str, hits: _Hits) -> DataFrame:
+    """One bounded block of questions against every batch of the index."""
+    block = asked.toArrow()
+    ids, groups = block.column(0).combine_chunks(), block.column(2).to_numpy()
+    own = {int(g): np.flatnonzero(groups == g) for g in np.unique(groups)}
+    shared = index.sparkSession.sparkContext.broadcast({
+        g: (ids.take(pa.array(rows)), _prepared(block.column(1).take(pa.array(rows)), metric))
+        for g, rows in own.items()})
 
-def _no_hits(queries, index, query_id, item_id, group=None):
-    parts = [f"`{query_id}` {queries.schema[query_id].dataType.simpleString()}",
-             *([f"`{group}` int"] if group else []),
-             *[f"`{c}` {index.schema[c].dataType.simpleString()}" for c in item_id],
-             "score double", "rank int"]
-    return index.sparkSession.createDataFrame([], ", ".join(parts))
+    def run(batches):
+        best = {g: _Best(k, len(ids)) for g, (ids, _) in shared.value.items()}
+        for batch in batches:
+            place = batch.column(batch.num_columns - 1).to_numpy()
+            for g in np.intersect1d(place, list(best)).tolist():
+                part = batch if len(best) == 1 and (place == g).all() else batch.filter(
+                    pa.array(place == g))
+                _score_vectors(best[g], part.columns[:-2], part.column(part.num_columns - 2),
+                               shared.value[g][1], metric)
+        for g, found in best.items():
+            yield from hits.rows(found, shared.value[g][0], g).to_batches()
+
+    return index.mapInArrow(run, hits.schema)
+
+
+def _grid(asked: DataFrame, index: DataFrame, k: int, metric: str, hits: _Hits,
+          blocks: int) -> DataFrame:
+    """Cells of question blocks and index slabs; the index is read once and dealt by blocks."""
+    numbers = index.agg(F.sum(F.size("_v"))).first()[0] or 0
+    slabs = max(1, -(-numbers // SLAB_NUMBERS))
+    cell = ["_g", "_block", "_slab"]
+    query_id, items = asked.columns[0], index.columns[:-2]
+    left = index.withColumn("_slab", F.pmod(F.xxhash64(*items), F.lit(slabs)).cast("int")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast(
+        "int")).withColumn("_slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        best = _Best(k, right.num_rows)
+        ids = right.column(0).combine_chunks()
+        if left.num_rows and right.num_rows:
+            _score_vectors(best, left.columns[:len(items)], left.column(len(items)),
+                           _prepared(right.column(1), metric), metric)
+            return hits.rows(best, ids, left.column("_g")[0].as_py())
+        return hits.rows(best, ids)
+
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(meet, hits.schema)
+
+
+@dataclass(frozen=True)
+class LexicalIndex:
+    """A stored inverted index: postings of every word by slab, and the items of each slab."""
+
+    stored: DataFrame
+    chunks: DataFrame
+    item_id: tuple[str, ...]
+    group: str | None = None
+
+    @property
+    def postings(self) -> DataFrame:
+        """``_g, slab, term, rows, tf, len``: rows of the slab that hold a word."""
+        return self.stored.filter("term is not null").select(
+            "_g", "slab", "term", "rows", "tf", "len")
+
+    @property
+    def slabs(self) -> DataFrame:
+        """``_g, slab, items, n, total``: items by row number, chunks and words."""
+        return self.stored.filter("term is null").select("_g", "slab", "items", "n", "total")
+
+
+def lexical_index(chunks: DataFrame, item_id: str | Sequence[str] = "doc_id", text: str = "text",
+                  group: str | None = None, path: str | None = None,
+                  only: list[str] | None = None) -> LexicalIndex:
+    """Make and store the postings of all chunks in one pass, without a shuffle.
+
+    With ``group`` (an integer column) every group is an index of its own.
+    ``only`` keeps the postings of these words; chunk counts and lengths always
+    cover all words.  ``path`` is a folder of the shared one by default.
+    """
+    item_id = (item_id,) if isinstance(item_id, str) else tuple(item_id)
+    place = (F.col(group) if group else F.lit(0)).cast("int").alias("_g")
+    narrow = chunks.select(*item_id, words(F.col(text)).alias("_words"), place)
+    fields = [chunks.schema[c] for c in item_id]
+    struct = pa.struct([(f"i{i}", to_arrow_type(f.dataType)) for i, f in enumerate(fields)])
+    kinds = ", ".join(f"i{i}: {f.dataType.simpleString()}" for i, f in enumerate(fields))
+    known = pa.array(sorted(only), pa.string()) if only is not None else None
+    width = len(item_id)
+
+    def run(batches):
+        for batch in batches:
+            groups = batch.column(width + 1).to_numpy()
+            for g in np.unique(groups).tolist():
+                rows = np.flatnonzero(groups == g)
+                for start in range(0, len(rows), LEXICAL_SLAB):
+                    part = batch.take(pa.array(rows[start:start + LEXICAL_SLAB]))
+                    yield from slab(part, g)
+
+    def slab(part, g):
+        ids = _ids(part.columns[:width])
+        part = part.take(pa.array(np.lexsort(tuple(reversed(ids)))))
+        lists = part.column(width)
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        code, row = coded.indices.to_numpy(), np.repeat(np.arange(len(part)), lengths)
+        if known is not None:
+            wanted = pc.is_in(coded.dictionary, value_set=known).to_numpy(zero_copy_only=False)
+            keep = wanted[code]
+            code, row = code[keep], row[keep]
+        cells, times = np.unique(code.astype(np.int64) * len(part) + row, return_counts=True)
+        code, row = cells // max(1, len(part)), cells % max(1, len(part))
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        offsets = pa.array(np.append(first, len(code)).astype(np.int32))
+        n, name = len(first), uuid.uuid4().hex
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32)))
+                 for x in (row, times, lengths[row])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, g, np.int32)), pa.array([name] * n, pa.string()),
+             coded.dictionary.take(pa.array(code[first])).cast(pa.string()), *lists,
+             pa.nulls(n, pa.list_(struct)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+            names)
+        items = pa.StructArray.from_arrays(
+            [c.cast(f.type) for c, f in zip(part.columns[:width], struct)], [f.name for f in struct])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([g], pa.int32()), pa.array([name]), pa.nulls(1, pa.string()),
+             *[pa.nulls(1, pa.list_(pa.int32()))] * 3,
+             pa.ListArray.from_arrays(pa.array([0, len(items)], pa.int32()), items),
+             pa.array([len(part)]), pa.array([int(lengths.sum())])], names)
+
+    names = ["_g", "slab", "term", "rows", "tf", "len", "items", "n", "total"]
+    path = path or scratch_path(chunks.sparkSession, "postings")
+    narrow.mapInArrow(run, "_g int, slab string, term string, rows array<int>, tf array<int>, "
+                           f"len array<int>, items array<struct<{kinds}>>, n long, total long"
+                      ).write.parquet(path)
+    return LexicalIndex(chunks.sparkSession.read.parquet(path), chunks, item_id, group)
 
 
 def bm25(queries: DataFrame, chunks: DataFrame, k: int = TOP_K, query_id: str = "query_id",
          query_text: str = "text", item_id: str | Sequence[str] = "doc_id",
          text: str = "text", k1: float = BM25_K1, b: float = BM25_B,
-         group: str | None = None, groups: int = 1) -> DataFrame:
+         group: str | None = None) -> DataFrame:
     """Exact k best chunks per question by BM25 over distinct question words.
 
-    With ``group`` (a column of integers below ``groups``) every group is an
-    index of its own, and all are searched in the same pass.
+    With ``group`` (an integer column) every group is an index of its own, and
+    all are searched together.  The postings are made for this search: of the
+    asked words where these are few, else of all words.
     """
-    item_id = [item_id] if isinstance(item_id, str) else list(item_id)
-    spark, context = chunks.sparkSession, chunks.sparkSession.sparkContext
-    place = (F.col(group) if group else F.lit(0)).cast("int")
-    narrow = chunks.select(*item_id, words(F.col(text)).alias("_words"), place.alias("_g"))
-    asked = queries.select(F.col(query_id), F.array_distinct(words(F.col(query_text))).alias("_w"))
-    found = []
-    letters = F.coalesce(F.aggregate("_w", F.lit(0), lambda s, w: s + F.length(w)), F.lit(0))
-    for block in bounded_blocks(asked, query_id, letters, LEXICAL_BLOCK, LEXICAL_BLOCK_CHARS):
-        terms = sorted({w for row in block for w in row["_w"] or ()})
-        if not terms:
-            continue
-        known = pa.array(terms)
-        n, total, df = _term_counts(narrow, known, groups)
-        rarity = np.log(1 + (n[:, None] - df + 0.5) / (df + 0.5))
-        mean = total / np.maximum(n, 1)
-        number = {t: i for i, t in enumerate(terms)}
-        asks = np.zeros((len(terms), len(block)))
-        for column, row in enumerate(block):
-            asks[[number[w] for w in row["_w"] or ()], column] = 1
-        shared = context.broadcast((known, rarity, asks, np.where(mean == 0, 1, mean)))
-        column = len(item_id)
-
-        def score(batch, shared=shared, column=column):
-            known, rarity, asks, mean = shared.value
-            token_lists, group_of = batch.column(column), batch.column(column + 1).to_numpy()
-            step = max(1, STEP_CELLS // max(asks.shape))
-            for start in range(0, len(batch), step):
-                part = token_lists.slice(start, step)
-                in_group = group_of[start:start + len(part)]
-                lengths, row, term, counted = _term_cells(part, known)
-                damp = k1 * (1 - b + b * lengths / mean[in_group])
-                weight = np.zeros((len(part), len(known)))
-                weight[row, term] = rarity[in_group[row], term] * counted * (k1 + 1) / (
-                    counted + damp[row])
-                for g in np.unique(in_group):
-                    rows = np.flatnonzero(in_group == g)
-                    yield int(g) * asks.shape[1], weight[rows] @ asks, rows + start
-
-        found.append(_scan(narrow, item_id, query_id, queries.schema[query_id].dataType,
-                           [row[query_id] for row in block], k, score, groups,
-                           group, positive=True))
-    if not found:
-        return _no_hits(queries, chunks, query_id, item_id, group)
-    return rank_hits(_union(found), [query_id, *([group] if group else [])], item_id, k)
-
-
-def _term_cells(token_lists: pa.Array, known: pa.Array):
-    """Word counts per list, and (row, term, count) of the known terms in them."""
-    lengths = pc.list_value_length(token_lists).fill_null(0).to_numpy()
-    row_of = np.repeat(np.arange(len(token_lists)), lengths)
-    term = pc.index_in(token_lists.flatten(), value_set=known).fill_null(-1).to_numpy()
-    cells, counted = np.unique(row_of[term >= 0] * len(known) + term[term >= 0],
-                               return_counts=True)
-    return lengths, cells // len(known), cells % len(known), counted
-
-
-def _term_counts(chunks: DataFrame, terms: pa.Array, groups: int):
-    """Per group: chunk count, word total, and document count of every term.
-
-    One pass; each task adds up its batches and emits its sums.
-    """
-    shared = chunks.sparkSession.sparkContext.broadcast(terms)
+    asked = queries.select(F.explode(F.array_distinct(words(F.col(query_text)))).alias("w")).distinct()
+    few = collect_bounded(asked, KNOWN_TERMS)
+    index = lexical_index(chunks, item_id, text, group,
+                          only=None if few is None else [row["w"] for row in few])
+    return search_postings(queries, index, k, query_id, query_text, k1, b)
 
-    def add_up(batches):
-        known = shared.value
-        sums = np.zeros((groups, len(known) + 2), np.int64)
-        for batch in batches:
-            lengths, row, term, _ = _term_cells(batch.column(0), known)
-            group_of = batch.column(1).to_numpy()
-            np.add.at(sums, (group_of[row], term), 1)
-            np.add.at(sums, (group_of, len(known)), 1)
-            np.add.at(sums, (group_of, len(known) + 1), lengths)
-        g, place = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(g, pa.int32()), pa.array(place, pa.int32()), pa.array(sums[g, place])],
-            ["g", "place", "n"])
-
-    totals = np.zeros((groups, len(terms) + 2), np.int64)
-    for row in chunks.select("_words", "_g").mapInArrow(add_up, "g int, place int, n long").groupBy(
-            "g", "place").agg(F.sum("n").alias("n")).collect():
-        totals[row["g"], row["place"]] = row["n"]
-    return totals[:, -2], totals[:, -1], totals[:, :-2]
+
+def search_postings(queries: DataFrame, index: LexicalIndex, k: int = TOP_K,
+                    query_id: str = "query_id", query_text: str = "text", k1: float = BM25_K1,
+                    b: float = BM25_B) -> DataFrame:
+    """The search of :func:`bm25` over a stored index.
+
+    Asked words meet the postings in one join; its rows are whole posting lists
+    of a slab with whole lists of questions, and a cell of a slab and a block of
+    questions adds them up.
+    """
+    asked = queries.select(F.col(query_id).alias("_q"), F.array_distinct(
+        words(F.col(query_text))).alias("_w")).filter(F.size("_w") > 0)
+    blocks = max(1, -(-asked.count() // LEXICAL_BLOCK))
+    block = F.pmod(F.xxhash64("_q"), F.lit(blocks)).cast("int").alias("block")
+    terms = asked.select("_q", block, F.explode("_w").alias("term")).groupBy("term", "block").agg(
+        F.collect_list("_q").alias("questions"))        # at most a block of them
+    postings = index.postings
+    stats = index.slabs.groupBy("_g").agg(F.sum("n").alias("n"), (
+        F.sum("total") / F.sum("n")).alias("mean"))
+    counted = postings.join(terms.select("term").distinct(), "term", "left_semi").groupBy(
+        "_g", "term").agg(F.sum(F.size("rows")).alias("df"))
+    rarity = counted.join(stats, "_g").select(
+        "_g", "term", "mean", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias(
+            "rarity"))
+    matched = postings.join(terms, "term").join(rarity, ["_g", "term"]).select(
+        "_g", "slab", "block", "rows", "tf", "len", "questions", "rarity", "mean")
+    slabs = index.slabs.select(F.col("_g").alias("g"), F.col("slab").alias("s"), "items", F.explode(
+        F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
+    hits = _Hits(queries, index.chunks, query_id, index.item_id, index.group)
+
+    def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return hits.rows(_Best(k, 0), pa.array([], hits.types[0]))
+        lists = {c: left.column(c).combine_chunks() for c in ("rows", "tf", "len", "questions")}
+        ids = lists["questions"].flatten().dictionary_encode()
+        items = right.column("items").combine_chunks().flatten()
+        scores = _add_postings(lists, ids.indices.to_numpy(), left.column("rarity").to_numpy(),
+                               left.column("mean").to_numpy(), (len(items), len(ids.dictionary)),
+                               k1, b)
+        best = _Best(k, len(ids.dictionary))
+        best.add(scores, 0, _ids(items.flatten()), True)
+        return hits.rows(best, ids.dictionary, left.column("_g")[0].as_py())
+
+    found = matched.groupBy("_g", "slab", "block").cogroup(slabs.groupBy("g", "s", "b")).applyInArrow(
+        add_up, hits.schema)
+    return rank_hits(found, [query_id, *([index.group] if index.group else [])], index.item_id, k)
+
+
+def _add_postings(lists: dict[str, pa.Array], question: np.ndarray, rarity: np.ndarray,
+                  mean: np.ndarray, shape: tuple[int, int], k1: float, b: float) -> np.ndarray:
+    """Scores of all rows and questions of a cell from its posting lists."""
+    row, tf, length = (lists[c].flatten().to_numpy() for c in ("rows", "tf", "len"))
+    held = pc.list_value_length(lists["rows"]).to_numpy().astype(np.int64)
+    asking = pc.list_value_length(lists["questions"]).to_numpy().astype(np.int64)
+    term = np.repeat(np.arange(len(held)), held)
+    weight = rarity[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / np.maximum(
+        mean[term], 1e-300)))
+    dense = np.flatnonzero(held * asking * DENSE_SHARE > shape[0] * shape[1])
+    scores = np.zeros(shape)
+    if len(dense):      # frequent words: a matrix product
+        column = np.full(len(held), -1)
+        column[dense] = np.arange(len(dense))
+        has = column[term] >= 0
+        left = np.zeros((shape[0], len(dense)))
+        left[row[has], column[term[has]]] = weight[has]
+        right = np.zeros((len(dense), shape[1]))
+        who = np.repeat(column, asking)
+        right[who[who >= 0], question[who >= 0]] = 1
+        scores += left @ right
+    rare = held * asking
+    rare[dense] = 0
+    first_row, first_question = np.cumsum(held) - held, np.cumsum(asking) - asking
+    for part in _runs_of(rare, STEP_CELLS):     # the others: one pair after the other
+        of = np.repeat(part, rare[part])
+        within = np.arange(len(of)) - np.repeat(np.cumsum(rare[part]) - rare[part], rare[part])
+        at = first_row[of] + within // asking[of]
+        cells = row[at] * np.int64(shape[1]) + question[first_question[of] + within % asking[of]]
+        scores += np.bincount(cells, weight[at], shape[0] * shape[1]).reshape(shape)
+    return scores
+
+
+def _runs_of(sizes: np.ndarray, limit: int) -> list[np.ndarray]:
+    """Consecutive places with non-zero sizes, each run with about ``limit`` in total."""
+    places = np.flatnonzero(sizes)
+    if not len(places):
+        return []
+    upto = np.cumsum(sizes[places]) - sizes[places]
+    return np.split(places, np.flatnonzero(np.diff(upto // limit)) + 1)
 
 
 def hybrid(vector_hits: DataFrame, lexical_hits: DataFrame, strategy: str = "rrf",

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.operators.budget import walked
 from gristmill.operators.checks import require_columns
 from gristmill.operators.ranking import (
-    after, global_rank, pick_by_hash, prefix_end, running_sum, up_to)
-from gristmill.session import cut_lineage
+    global_rank, pick_by_hash, prefix_end, running_sum, up_to)
 
 # Default limits and seeds.
 TABLE_BUDGET_BYTES = 1024 ** 3
@@ -20,7 +20,6 @@ QUESTION_COUNT = 5
 INDEX_BATCH = 20
 
 WINDOW_LIMIT = 1_000          # rows per group that Spark cuts inside each task
-STORED_ROUNDS = 32            # rounds of a budget walk in one condition
 
 
 def row_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
@@ -124,18 +123,14 @@ def batch_stats(df: DataFrame, key: str, chunks: str, size: int = INDEX_BATCH) -
 
 def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str | Sequence[str],
                          size: str = "size_bytes", priority: str | None = None,
-                         mode: str = "skip", tail_rows: int = 512) -> DataFrame:
+                         mode: str = "skip") -> DataFrame:
     """Walk files in order and keep those that still fit under the cap.
 
     Rows with a true ``priority`` come first.  ``mode='skip'`` passes over a
-    file that would overflow and goes on; ``mode='prefix'`` stops there.
-
-    The walk runs in rounds.  With R bytes left, the longest prefix of the
-    files no larger than R is kept; the next one overflows for good, and the
-    walk goes on behind it with what is left.  Every round is a few small jobs
-    over (order, size), and what it keeps is a plain condition on those
-    columns, so the result is one filter over ``files``.  Once at most
-    ``tail_rows`` files can still fit, their keys are walked on the driver.
+    file that would overflow and goes on (``operators/budget.py`` has the way);
+    ``mode='prefix'`` stops there.  Either way the result is one filter over
+    ``files``.  ``order`` must identify rows; a file without a size is not kept
+    unless there is no cap.
     """
     if cap_bytes is None:
         return files
@@ -144,49 +139,12 @@ def select_within_budget(files: DataFrame, cap_bytes: float | None, order: str |
         files = files.withColumn("_late", ~F.coalesce(F.col(priority), F.lit(False)))
         order = ["_late", *order]
     extra = ["_late"] if priority else []
-    narrow = files.select(*order, size)
-    if mode == "prefix":
-        end, _, complete = prefix_end(narrow, order, size, cap_bytes)
-        if complete:
-            return files.drop(*extra)
-        return files.filter(up_to(order, end) if end is not None else F.lit(False)).drop(*extra)
-
-    narrow = cut_lineage(narrow)
-    left, behind, keep, rounds, stored = cap_bytes, None, F.lit(False), 0, []
-    while True:
-        fits = F.col(size) <= F.lit(left)
-        if behind is not None:
-            fits = fits & after(order, behind)
-        active = narrow.filter(fits)
-        n = active.count()
-        if n <= tail_rows:
-            tail = active.collect()
-            break
-        end, used, complete = prefix_end(active, order, size, left, n)
-        keep, rounds = keep | (fits & up_to(order, end)), rounds + 1
-        if complete:
-            tail = []
-            break
-        left, behind = left - used, end
-        if rounds % STORED_ROUNDS == 0:     # keep the condition short
-            stored.append(cut_lineage(narrow.filter(keep)))
-            keep = F.lit(False)
-    chosen = []
-    for row in sorted(tail, key=lambda r: tuple(r[c] for c in order)):
-        if row[size] <= left:
-            left -= row[size]
-            chosen.append(row)
-    if not chosen and not stored:
-        return files.filter(keep).drop(*extra)
-    named = files.sparkSession.createDataFrame(chosen, narrow.schema)
-    for part in stored:
-        named = named.unionByName(part)
-    named = named.drop(size).withColumnsRenamed({c: f"_t{c}" for c in order}).withColumn(
-        "_named", F.lit(True))
-    joined = files.join(named if stored else F.broadcast(named),
-                        [F.col(c) == F.col(f"_t{c}") for c in order], "left")
-    return joined.filter(keep | F.coalesce("_named", F.lit(False))).drop(
-        *extra, "_named", *[f"_t{c}" for c in order])
+    if mode == "skip":
+        return files.filter(walked(files, cap_bytes, order, size)).drop(*extra)
+    end, _, complete = prefix_end(files.select(*order, size), order, size, cap_bytes)
+    if complete:
+        return files.drop(*extra)
+    return files.filter(up_to(order, end) if end is not None else F.lit(False)).drop(*extra)
 
 
 def mark_priority(files: DataFrame, ids: DataFrame, key: Column, id_col: str,

@@ -94,7 +94,7 @@ def sweep(questions: DataFrame, documents: DataFrame, truth: DataFrame, configs:
     chunks = chunk_all(documents, cuts, doc, text)
     most = max(c.number_of_chunks for c in configs)
     hits = retrieval.bm25(questions, chunks, most, item, question, [doc, "chunk_no"],
-                          "chunk_text", group="setting", groups=len(cuts))
+                          "chunk_text", group="setting")
     # The few hits are kept, matched back to their documents and cut again, so
     # chunk text never goes through the search.
     hits = cut_lineage(evaluation.mark_relevant(hits, truth, item, doc))

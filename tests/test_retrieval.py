@@ -83,7 +83,9 @@ def lexical(texts, question, k):
 
 def test_bm25_is_exact_per_group(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "LEXICAL_BLOCK", 2)
+    monkeypatch.setattr(retrieval, "LEXICAL_SLAB", 7)
     monkeypatch.setattr(retrieval, "STEP_CELLS", 60)
+    monkeypatch.setattr(retrieval, "DENSE_SHARE", 4)
     rng = random.Random(3)
     def sentence(n):
         return " ".join(rng.choice("ab bc cd de ef fg gh the the the".split()) for _ in range(n))
@@ -92,7 +94,7 @@ def test_bm25_is_exact_per_group(spark, monkeypatch):
     chunks = spark.createDataFrame([(g, i, t) for g in (0, 1) for i, t in enumerate(texts[g])],
                                    "setting int, doc_id long, text string").repartition(5)
     asked = spark.createDataFrame(list(enumerate(questions)), "query_id int, text string")
-    hits = retrieval.bm25(asked, chunks, 3, group="setting", groups=2).collect()
+    hits = retrieval.bm25(asked, chunks, 3, group="setting").collect()
     for q, question in enumerate(questions):
         for g in (0, 1):
             got = [r["doc_id"] for r in sorted(hits, key=lambda r: r["rank"])
@@ -100,6 +102,56 @@ def test_bm25_is_exact_per_group(spark, monkeypatch):
             assert got == lexical(texts[g], question, 3), (q, g)
 
 
+def test_stored_postings_answer_other_questions(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(retrieval, "LEXICAL_SLAB", 9)
+    monkeypatch.setattr(retrieval, "KNOWN_TERMS", 2)        # too many words to send: all are kept
+    texts = [f"w{i % 7} w{i % 3} common {'rare' if i == 5 else ''}" for i in range(60)] + ["", None]
+    chunks = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    index = retrieval.lexical_index(chunks, path=str(tmp_path / "index"))
+    assert index.slabs.agg(F.sum("n"), F.sum("total")).first()[:] == (62, 181)
+    questions = ["w1 w2", "common rare", "rare w0 w0", "absent", None, ""]
+    asked = spark.createDataFrame(list(enumerate(questions)), "query_id long, text string")
+    for hits in (retrieval.search_postings(asked, index, 4), retrieval.bm25(asked, chunks, 4)):
+        found = hits.collect()
+        for q, question in enumerate(questions):
+            got = [r["doc_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q]
+            assert got == lexical([t or "" for t in texts], question or "", 4), question
+
+
+def test_index_is_read_once_for_many_questions(spark, monkeypatch, tmp_path):
+    """500 questions in small blocks: one scan of the index, whatever the number of blocks."""
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(120, 4)).round(2).tolist()
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, embedding array<float>").write.parquet(
+        str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    asked = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(500)],
+                                  "query_id long, embedding array<float>")
+    monkeypatch.setattr(retrieval, "SLAB_NUMBERS", 100)
+    once = retrieval.search(asked, index, 3).collect()
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 20)
+    hits = retrieval.search(asked, index, 3)
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, once)) and len(once) == 1500
+
+
+def test_groups_of_vectors_are_searched_apart(spark, monkeypatch):
+    rows, index = vectors(spark, 60, seed=3)
+    grouped = index.withColumn("setting", (F.col("doc_id") % 3).cast("int"))
+    asked_rows, asked = vectors(spark, 7, seed=4)
+    asked = asked.withColumnRenamed("doc_id", "query_id").crossJoin(
+        spark.createDataFrame([(0,), (2,), (9,)], "setting int"))
+    want = set()
+    for g in (0, 2):
+        own = np.float32(rows).astype(float)[g::3]
+        want |= {(q, g, 3 * i + g, r) for q, i, r in brute(
+            own, np.float32(asked_rows).astype(float), 2, "cosine")}
+    for size in (4096, 4):
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", size)
+        hits = retrieval.search(asked, grouped, 2, group="setting")
+        assert {(r.query_id, r.setting, r.doc_id, r["rank"]) for r in hits.collect()} == want
+
+
 def test_embed(spark):
     df = spark.createDataFrame([(1, "b a a"), (2, ""), (3, None)], "id int, text string")
     rows = {r["id"]: r["embedding"] for r in retrieval.embed(df, dim=64).collect()}

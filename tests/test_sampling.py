@@ -1,11 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gristmill.operators import sampling, splits
+from gristmill.operators import budget, sampling, splits
 
 
 def walk(sizes, cap, first=()):
@@ -28,34 +29,52 @@ def kept_keys(df):
     return {r["key"] for r in df.collect()}
 
 
-@pytest.mark.parametrize("tail", [0, 512])
-def test_budget_walk_by_hand(spark, tail):
+def test_budget_walk_by_hand(spark):
     sizes = [5, 9, 3, 2, 1]
-    got = sampling.select_within_budget(files(spark, sizes), 10, "key", tail_rows=tail)
+    got = sampling.select_within_budget(files(spark, sizes), 10, "key")
     assert kept_keys(got) == {0, 2, 3}
-    got = sampling.select_within_budget(files(spark, sizes, {1}), 10, "key", priority="named",
-                                        tail_rows=tail)
+    got = sampling.select_within_budget(files(spark, sizes, {1}), 10, "key", priority="named")
     assert kept_keys(got) == {1, 4}
     assert got.columns == ["key", "size_bytes", "named"]
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_budget_walk_rounds_equal_the_walk(spark, monkeypatch, seed):
+def test_budget_walk_by_classes_equals_the_walk(spark, seed):
     rng = random.Random(seed)
-    sizes = [rng.choice([1, 5, 50, 500]) * rng.randint(1, 9) for _ in range(120)]
-    first = set(rng.sample(range(120), 10))
-    cap = rng.randint(1, sum(sizes))
-    got = sampling.select_within_budget(files(spark, sizes, first), cap, "key", priority="named",
-                                        tail_rows=3)
+    sizes = [rng.choice([0, 1, 5, 50, 500]) * rng.randint(1, 9) for _ in range(200)]
+    first = set(rng.sample(range(200), 10))
+    cap = rng.choice([0, 3, 1 << 9, rng.randint(1, sum(sizes)), sum(sizes) + 0.5])
+    got = sampling.select_within_budget(files(spark, sizes, first), cap, "key", priority="named")
     assert kept_keys(got) == walk(sizes, cap, first)
 
 
-def test_budget_walk_with_many_rounds(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "STORED_ROUNDS", 2)
-    sizes = [s for i in range(9) for s in (1, 100 - i)]     # one small file per round
-    got = sampling.select_within_budget(files(spark, sizes), 100, "key", tail_rows=0)
-    assert kept_keys(got) == walk(sizes, 100) and len(walk(sizes, 100)) == 9
-    assert got.columns == ["key", "size_bytes", "named"]
+def test_steps_of_a_range_equal_the_walk():
+    rng = random.Random(7)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 2, 3, 4, 7, 8, 9, 60]) * rng.choice([1, 1, 16]) for _ in range(30)]
+        cap = rng.randint(0, sum(sizes) + 3)
+        found, left = budget.steps(np.array(sizes), cap)
+        kept, now, start = set(), budget.size_class(cap), 0
+        for end, later, alone in [*found, (len(sizes) - 1, None, False)]:
+            limit = budget.bound(now)
+            kept |= {i for i in range(start, end + 1) if sizes[i] < limit or sizes[i] == 0}
+            kept |= {end} if alone else set()
+            now, start = later, end + 1
+        assert kept == walk(sizes, cap) and left == cap - sum(sizes[i] for i in kept)
+
+
+def test_jobs_of_a_budget_walk_do_not_follow_the_sizes(spark):
+    """Alternating small and large files: an overflow after every file, yet few jobs."""
+    sizes = [s for i in range(400) for s in (1, 100_000 - i)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("walk", "walk")
+    got = sampling.select_within_budget(files(spark, sizes), 100_000, "key")
+    jobs = len(tracker.getJobIdsForGroup("walk"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert kept_keys(got) == walk(sizes, 100_000) and len(walk(sizes, 100_000)) > 300
+    assert jobs < 15
+    fractions = files(spark, sizes).withColumn("size_bytes", F.col("size_bytes") / 8)
+    assert kept_keys(sampling.select_within_budget(fractions, 12_500, "key")) == walk(sizes, 100_000)
 
 
 def test_budget_without_cap_and_prefix(spark):
