@@ -31,8 +31,8 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import groupby, islice
+from functools import partial
+from itertools import chain, groupby, islice
 from math import isqrt
 from operator import itemgetter
 from os.path import join
@@ -40,6 +40,7 @@ from os.path import join
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 import zstandard
 from pyspark.sql import DataFrame
@@ -51,12 +52,16 @@ from gristmill.session import scratch_path, shuffle_width
 
 FOLDER, SIDE_A, SIDE_B = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
 RADIX_BITS = 6
-BATCH_CHARS = 8 << 20     # text of a run, unless one text is longer
+BATCH_CHARS = 4 << 20     # text of a run, unless one text is longer
 BATCH_DOCS = 1 << 16
+STEP = 1 << 14            # parts that are tokenized at once
 FRAME = 1 << 13           # pairs that a merge holds of each run
 RUNS_A_GROUP = 512        # runs that meet the counts of their radix at once
 SPACE = "▁"
 CUT = re.compile(r"(?<=\S) (?=\S)")
+STABLE = re.compile("[ -~\u00a1-\u024f]*\\Z")
+# Fixed value: how byte-level vocabularies split text before their merges.
+PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 TOTALS = "n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups: string"
 
 
@@ -89,18 +94,50 @@ class Sides:
             known.get("normalizer") is None and split.get("type") == "ByteLevel"
             and split.get("use_regex", True) and not split.get("add_prefix_space")
             and not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in pieces))
+        self.size_a, self.size_b = (np.array([len(x) for x in table], np.int64)
+                                    for table in (self.bytes_a, self.bytes_b))
         self.bits_a = max(1, len(self.bytes_a) - 1).bit_length()
         self.bits_b = max(RADIX_BITS, (len(pieces) - 1).bit_length())
         if self.bits_a + self.bits_b + BATCH_DOCS.bit_length() - 1 > 63:
             raise ValueError("vocabularies too large for 64-bit records")
+        self.ranked = self._ranked(known) if self.independent else None
         self.digits_a, self.digits_b = _digits(len(self.bytes_a)), _digits(len(pieces))
 
+    def _ranked(self, known: dict):
+        """The same merges by rank, where the ids of merged tokens follow the order of merges."""
+        vocabulary, merges = known["model"]["vocab"], known["model"]["merges"]
+        ranked = all(vocabulary["".join(pair.split(" ") if isinstance(pair, str) else pair)]
+                     == 256 + i for i, pair in enumerate(merges))
+        if not ranked or len(vocabulary) < 256 + len(merges):
+            return None
+        ranks = {self.bytes_a[number]: number for number in range(256 + len(merges))}
+        return tiktoken.Encoding("side_a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def parts(self, text: str) -> list[str]:
         """The text after a space, cut before every space that is between other characters."""
         if not self.independent:
             return [text]
         return text.split(" ")
 
+    def plain_a(self, text: str) -> list[int]:
+        return self.a.encode(" " + text, add_special_tokens=False).ids
+
+    def fast_a(self, text: str) -> np.ndarray:
+        return self.ranked.encode_to_numpy(" " + text, disallowed_special=())
+
+    def ways(self, texts: list[str]):
+        """Rows of texts and how to encode them: letters that all versions of Unicode
+        class alike, other independent parts, the rest."""
+        fast, joined, rest = [], [], []
+        for row, text in enumerate(texts):
+            if not self.independent or not text or text[0].isspace() or text[-1].isspace():
+                rest.append(row)
+            elif self.ranked and STABLE.match(text):
+                fast.append(row)
+            else:
+                joined.append(row)
+        return (fast, partial(_together, fast=True)), (joined, _together), (rest, _each)
+
     def strict_parts(self, text: str) -> list[str]:
         """The same for texts where white space is next to a space or at an end."""
         return CUT.split(text)
@@ -117,12 +154,6 @@ class Sides:
         return keys & ((1 << self.bits_a) - 1), b
 
 
-@lru_cache(maxsize=1)     # a process-wide cache that never travels with a task
-def sides_of(files: tuple[bytes, bytes]) -> Sides:
-    """Tokenizers from the contents of their files, once a process."""
-    return Sides(*files)
-
-
 def read_files(folder: str = FOLDER, side_a: str = SIDE_A, side_b: str = SIDE_B) -> tuple:
     """Contents of both tokenizer files, which travel with the tasks."""
     found = []
@@ -143,31 +174,67 @@ def _offsets(counts) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.asarray(counts, np.int64))])
 
 
+def _each(sides: Sides, texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Text by text: whether both sides restore it, bytes, counts of tokens, ids of both."""
+    ids_a = [e.ids for e in sides.a.encode_batch_fast(
+        [" " + t for t in texts], add_special_tokens=False)]
+    ids_b = sides.b.encode(texts, num_threads=1)
+    table_a, table_b = sides.bytes_a.__getitem__, sides.bytes_b.__getitem__
+    sizes = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        whole = b" " + text.encode()
+        if b"".join(map(table_a, ids_a[i])) == whole == b"".join(map(table_b, ids_b[i])):
+            sizes[i] = len(whole)
+        else:
+            ids_a[i] = ids_b[i] = ()
+    counts = [np.fromiter(map(len, ids), np.int64, len(texts)) for ids in (ids_a, ids_b)]
+    return (sizes > 0, sizes, *counts, *(np.fromiter(
+        chain.from_iterable(ids), np.int64, int(n.sum()))
+        for ids, n in zip((ids_a, ids_b), counts)))
+
+
+def _together(sides: Sides, texts: list[str], fast: bool = False) -> tuple | None:
+    """The same for parts without white space at their ends, joined to one text.
+
+    None if a side does not restore all of it or has a token over two parts.
+    """
+    joined = " ".join(texts)
+    whole = b" " + joined.encode()
+    sizes = np.fromiter((len(t.encode()) + 1 for t in texts), np.int64, len(texts))
+    limits, counts, ids = np.cumsum(sizes), [], []
+    for encode, table, size in (
+            (sides.fast_a if fast else sides.plain_a, sides.bytes_a, sides.size_a),
+            (sides.b.encode, sides.bytes_b, sides.size_b)):
+        found = np.asarray(encode(joined), np.int64)
+        if b"".join(map(table.__getitem__, found.tolist())) != whole:
+            return None
+        upto = np.cumsum(size[found])
+        last = np.searchsorted(upto, limits)
+        if (upto[last] != limits).any():
+            return None
+        counts.append(np.diff(last, prepend=-1))
+        ids.append(found)
+    return np.ones(len(texts), bool), sizes, *counts, *ids
+
+
 class Aligned:
     """Alignment of texts, each after a space: counts, groups and linked pairs of each."""
 
     def __init__(self, sides: Sides, texts: list[str]):
-        encoded = sides.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        ids_a = [e.ids for e in encoded]
-        ids_b = sides.b.encode(texts, num_threads=1)
-        table_a, table_b = sides.bytes_a.__getitem__, sides.bytes_b.__getitem__
-        self.valid = np.ones(len(texts), bool)
-        sizes = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            sizes[i] = len(whole)
-            if b"".join(map(table_a, ids_a[i])) != whole or (
-                    b"".join(map(table_b, ids_b[i])) != whole):
-                self.valid[i], sizes[i], ids_a[i], ids_b[i] = False, 0, [], []
-        self.n_a = np.fromiter(map(len, ids_a), np.int64, len(texts))
-        self.n_b = np.fromiter(map(len, ids_b), np.int64, len(texts))
-        a = np.fromiter((i for ids in ids_a for i in ids), np.int64, int(self.n_a.sum()))
-        b = np.fromiter((i for ids in ids_b for i in ids), np.int64, int(self.n_b.sum()))
-        ends_a = np.cumsum(np.array([len(x) for x in sides.bytes_a])[a])
-        ends_b = np.cumsum(np.array([len(x) for x in sides.bytes_b])[b])
+        encoded, order = [_each(sides, [])], []
+        for rows, way in sides.ways(texts):
+            order += rows
+            for i in range(0, len(rows), STEP):
+                part = [texts[row] for row in rows[i:i + STEP]]
+                encoded.append(way(sides, part) or _each(sides, part))
+        self.place = np.empty(len(texts), np.int64)      # of each text in the arrays below
+        self.place[order] = np.arange(len(texts))
+        self.valid, sizes, self.n_a, self.n_b, a, b = map(np.concatenate, zip(*encoded))
+        ends_a, ends_b = np.cumsum(sides.size_a[a]), np.cumsum(sides.size_b[b])
         limits = np.cumsum(sizes)
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")    # merges two runs
+        again = np.diff(ends, prepend=-1) == 0
+        shared, ends = ends[again], ends[~again]
         self.n_groups = np.diff(np.searchsorted(shared, limits, "right"), prepend=0)
         self.n_links = self.n_a + self.n_b - self.n_groups
         self.keys = sides.keys(a[np.searchsorted(ends_a, ends)], b[np.searchsorted(ends_b, ends)])
@@ -270,17 +337,18 @@ class _Batch:
     def aligned(self) -> tuple:
         """Totals and groups of the texts; aligned parts; (part, text) without invalid texts."""
         found = Aligned(self.sides, list(self.known))
-        part = np.array(self.parts, np.int64)
+        part = found.place[np.array(self.parts, np.int64)]
         first = _offsets(self.counts)
         document = np.repeat(np.arange(len(self.keys)), self.counts)
         bad = np.bincount(document, ~found.valid[part], minlength=len(self.keys)) > 0
         keep = ~bad[document]
+        named = part.tolist()
         part, document = part[keep], document[keep]
         totals = [np.bincount(document, n[part], minlength=len(self.keys)).astype(np.int64)
                   for n in (found.n_a, found.n_b, found.n_groups, found.n_links)]
         texts = []
         for i in range(len(self.keys)):
-            own = [] if bad[i] else self.parts[first[i]:first[i + 1]]
+            own = [] if bad[i] else named[first[i]:first[i + 1]]
             texts.append(b";".join(map(found.groups.__getitem__, own)))
         return totals, texts, found, part, document
 
@@ -342,7 +410,7 @@ def align(docs: DataFrame, files: tuple[bytes, bytes], key: str = "doc_id",
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for batch in _batches(_rows(batches), sides_of(files)):
+        for batch in _batches(_rows(batches), Sides(*files)):
             totals, texts, *_ = batch.aligned()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch.keys, schema_type), *map(pa.array, totals),
@@ -369,7 +437,7 @@ def write_runs(docs: DataFrame, files: tuple[bytes, bytes], key: str = "doc_id",
     fields = ["key", "n_a", "n_b", "n_groups", "n_links", "groups"]
 
     def run(batches):
-        for batch in _batches(_rows(batches), sides_of(files), batch_chars):
+        for batch in _batches(_rows(batches), Sides(*files), batch_chars):
             totals, texts, *found = batch.aligned()
             digests = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
             struct = pa.StructArray.from_arrays(
@@ -394,13 +462,15 @@ def write_runs(docs: DataFrame, files: tuple[bytes, bytes], key: str = "doc_id",
 
 def pair_counts(runs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
     """``radix, counts``: frames of pairs, counts and marks of each B id's largest, stored."""
+    bits = Sides(*files).bits_a
+
     def add(table: pa.Table) -> pa.Table:
         frames = _stored_run(merged(table.column("pairs").to_pylist()))
         return pa.table({"radix": table.column("radix")[:1], "pairs": pa.array(
             [frames], pa.list_(pa.binary()))})
 
     def finish(table: pa.Table) -> pa.Table:
-        bits, keys, counts, best = sides_of(files).bits_a, [], [], []
+        keys, counts, best = [], [], []
         # All pairs of a B id come in a row.
         for _, same in groupby(merged(table.column("pairs").to_pylist()), lambda e: e[0] >> bits):
             same = list(same)
@@ -426,10 +496,11 @@ def pair_table(counts: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
     """``a_id, b_id, links, best``: every linked pair of ids, and whether no other A id is
     linked with this B id more often."""
     def run(batches):
+        sides = Sides(*files)
         for batch in batches:
             for frame in batch.column(0).to_pylist():
                 keys, links, best = _unpacked(frame)
-                a, b = sides_of(files).ids(keys)
+                a, b = sides.ids(keys)
                 yield pa.RecordBatch.from_pydict(
                     {"a_id": a, "b_id": b, "links": links, "best": best.astype(bool)})
 

@@ -98,7 +98,7 @@ def odd_texts(seed, n):
 
 
 def test_parts_equal_whole_texts(both):
-    sides = crosstokens.sides_of(FILES)
+    sides = crosstokens.Sides(*FILES)
     assert sides.independent
     texts = odd_texts(1, 1500) + [t for t in EDGE_TEXTS if t and len(t) < 10_000]
     batch = crosstokens._Batch(sides)
@@ -116,7 +116,7 @@ def test_parts_equal_whole_texts(both):
 
 
 def test_keys_and_frames_go_back_and_forth():
-    sides, draw = crosstokens.sides_of(FILES), np.random.default_rng(1)
+    sides, draw = crosstokens.Sides(*FILES), np.random.default_rng(1)
     a, b = draw.integers(0, 50257, 5000), draw.integers(0, 32000, 5000)
     keys = sides.keys(a, b)
     assert all((x == y).all() for x, y in zip(sides.ids(keys), (a, b)))
