@@ -1,76 +1,110 @@
 """Which documents contain which passages, word for word.
 
 Built-in expressions offer only a comparison of every passage with every
-document.  Here passages go into one search automaton per bounded block and
-each document is read once per block: no pair that is not a result is ever
-formed, nothing is shuffled, and a passage found in a third of the documents
-costs no more than one found nowhere.
+document.  Here a passage meets only the documents that hold its rarest whole
+word (what stands between two spaces of the passage), and only these pairs are
+verified.  A passage without such a word is looked up among the distinct words
+of the documents by its rarest three letters, and meets the documents of the
+words found.  Both are equality joins of narrow rows: passages without a chance
+are never formed into pairs, words with a passage are broadcast where they are
+few, and a word that many documents hold is split by Spark's skew join, as the
+joins are inner ones.
 """
 
 from __future__ import annotations
 
-import ahocorasick
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from gristmill.operators.blocks import bounded_blocks
-
-# A block of passages is sent to every task; its size is bounded by both.
-BLOCK_PASSAGES = 50_000
-BLOCK_CHARS = 16_000_000
-
-
-def _finder(passages: list[tuple]):
-    """Function from a text to the ids of the passages in it."""
-    by_text: dict[str, list] = {}
-    for item, text in passages:
-        by_text.setdefault(text, []).append(item)
-    always = by_text.pop("", [])
-    automaton = ahocorasick.Automaton()
-    for number, (text, ids) in enumerate(by_text.items()):
-        automaton.add_word(text, (number, ids))
-    if not by_text:
-        return lambda text: always
-    automaton.make_automaton()
-
-    def find(text: str) -> list:
-        hits = {number: ids for _, (number, ids) in automaton.iter(text)}
-        return [*always, *(i for ids in hits.values() for i in ids)]
-
-    return find
+GRAM = 3
+
+
+def pieces_of(text: str, size: Column) -> Column:
+    """All distinct pieces of this many characters."""
+    last = F.length(text) - size + 1
+    return F.when(last > 0, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), last), lambda i: F.substr(F.col(text), i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def _words(text: Column) -> Column:
+    """What stands between single spaces; empty where two meet."""
+    return F.split(text, " ", -1)
+
+
+def _anchored(parts: DataFrame, held: DataFrame) -> DataFrame:
+    """``(passage, unit)`` where the unit holds the passage's rarest part.
+
+    ``parts`` is (passage, part), every one needed; ``held`` is (unit, part).  A
+    passage with a part that no unit holds gets none.
+    """
+    counts = held.join(parts.select("part").distinct(), "part", "left_semi").groupBy("part").agg(
+        F.count("*").alias("n"))
+    rarest = parts.join(counts, "part", "left").groupBy("passage").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), -F.length("part"), "part")).alias("a"))
+    anchors = rarest.filter("a.n > 0").select("passage", F.col("a.part").alias("part"))
+    return held.join(anchors, "part").select("passage", "unit")
+
+
+def _loose(passages: DataFrame, held: DataFrame) -> DataFrame:
+    """``(passage, unit)`` for passages without a whole word, by the words that hold their
+    longer end."""
+    cut = _words(F.col("passage"))
+    first, last, n = cut[0], F.element_at(cut, -1), F.size(cut)
+    ends = passages.withColumns({
+        "piece": F.when(F.length(first) >= F.length(last), first).otherwise(last),
+        "inside": n == 1, "ends": F.length(first) >= F.length(last)})
+    size = F.least(F.length("piece"), F.lit(GRAM))
+    grams = ends.select("passage", F.explode(pieces_of("piece", size)).alias("part"), "piece")
+    vocabulary = held.select(F.col("part").alias("unit")).distinct()
+    by_gram = vocabulary.select("unit", F.explode(F.array_distinct(F.concat(*[
+        pieces_of("unit", F.lit(k)) for k in range(1, GRAM + 1)]))).alias("part"))
+    found = _anchored(grams.select("passage", "part").distinct(), by_gram).withColumnRenamed(
+        "unit", "word").join(ends, "passage")
+    match = F.when(F.col("inside"), F.contains("word", "piece")).when(
+        F.col("ends"), F.endswith("word", "piece")).otherwise(F.startswith("word", "piece"))
+    words = found.filter(match).select("passage", F.col("word").alias("part"))
+    return held.join(words, "part").select("passage", "unit").distinct()
+
+
+def _blank(passages: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(passage, unit)`` for passages of spaces only, the empty one included."""
+    runs = F.transform(F.regexp_extract_all("text", F.lit("( +)"), F.lit(1)), lambda r: F.length(r))
+    longest = F.coalesce(F.array_max(runs), F.lit(0))
+    held = texts.select("unit", F.explode(F.sequence(F.lit(0), longest)).alias("n"))
+    return held.join(passages.withColumn("n", F.length("passage")), "n").select("passage", "unit")
 
 
 def containment_truth(passages: DataFrame, documents: DataFrame, item: str = "item_id",
                       passage: str = "text", doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """All (item, doc) pairs where the document's text contains the passage."""
-    spark = documents.sparkSession
-    item_field = passages.schema[item]
-    narrow = documents.select(doc, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    doc_field = narrow.schema[doc]
-    schema = f"`{item}` {item_field.dataType.simpleString()}, " \
-             f"`{doc}` {doc_field.dataType.simpleString()}"
-    item_type = to_arrow_type(item_field.dataType)
-    found = spark.createDataFrame([], schema)
-    known = passages.select(F.col(item).alias("i"), F.col(passage).alias("t")).dropna()
-    for block in bounded_blocks(known, "i", F.length("t"), BLOCK_PASSAGES, BLOCK_CHARS):
-        shared = spark.sparkContext.broadcast([tuple(row) for row in block])
-
-        def scan(batches, shared=shared):
-            find = _finder(shared.value)
-            for batch in batches:
-                docs, texts = batch.column(0), batch.column(1)
-                items, rows = [], []
-                for row, value in enumerate(texts.to_pylist()):
-                    hits = find(value)
-                    items.extend(hits)
-                    rows.extend([row] * len(hits))
-                taken = docs.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(items, item_type), taken], [item, doc])
-
-        found = found.unionByName(narrow.mapInArrow(scan, schema))
-    return found
+    """All distinct (item, doc) pairs where the document's text contains the passage.
+
+    Null passages and texts are in no pair; an empty passage is in every text.
+    Ids may be null or repeat.
+    """
+    known = passages.select(F.col(item).alias("item"), F.col(passage).alias("passage")).filter(
+        F.col("passage").isNotNull())
+    texts = documents.select(F.col(doc).alias("unit"), F.col(text).alias("text")).filter(
+        F.col("text").isNotNull())
+    held = texts.select("unit", F.explode(F.array_distinct(_words(F.col("text")))).alias(
+        "part")).filter("part <> ''")
+    cut = _words(F.col("passage"))
+    whole = F.array_remove(F.slice(cut, 2, F.greatest(F.size(cut) - 2, F.lit(0))), "")
+    distinct = known.select("passage").distinct().withColumn("whole", F.array_distinct(whole))
+    kinds = distinct.agg(
+        F.count_if((F.size("whole") == 0) & (F.trim("passage") != "")).alias("loose"),
+        F.count_if(F.trim("passage") == "").alias("blank")).first()
+    pairs = _anchored(distinct.select("passage", F.explode("whole").alias("part")), held)
+    if kinds["loose"]:
+        pairs = pairs.unionByName(_loose(distinct.filter(
+            (F.size("whole") == 0) & (F.trim("passage") != "")).select("passage"), held))
+    found = pairs.join(texts.withColumnRenamed("unit", "id"), F.col("unit").eqNullSafe(
+        F.col("id"))).filter(F.contains("text", "passage")).select("passage", "unit")
+    if kinds["blank"]:
+        found = found.unionByName(_blank(distinct.filter(F.trim("passage") == "").select(
+            "passage"), texts))
+    return found.join(known, "passage").select(
+        F.col("item").alias(item), F.col("unit").alias(doc)).distinct()
 
 
 def answer_documents(truth: DataFrame, doc: str) -> DataFrame:

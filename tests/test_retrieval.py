@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import SYSTEM_MESSAGE
-from gristmill.operators import blocks, containment, evaluation, retrieval
+from gristmill.operators import containment, evaluation, retrieval
 from gristmill.plans import sweep as sweeps
 
 
@@ -181,13 +181,14 @@ def test_index_collections(spark, tmp_path):
     assert retrieval.read_index(spark, path, "two").count() == 3
 
 
-def test_containment(spark, monkeypatch):
-    monkeypatch.setattr(containment, "BLOCK_PASSAGES", 3)
+def test_containment(spark):
     rng = random.Random(4)
-    texts = ["".join(rng.choice("ab é") for _ in range(rng.randint(0, 60))) for _ in range(60)]
-    passages = ["".join(rng.choice("ab é") for _ in range(rng.randint(0, 5))) for _ in range(20)]
+    texts = ["".join(rng.choice("ab é  ") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    passages = ["".join(rng.choice("ab é") for _ in range(rng.randint(0, 9))) for _ in range(90)]
+    passages += ["", " ", "   ", "zz", "a zz b", "a%b_", "aé b aéb a", "x y"]
+    texts += ["", "x  y", "a zz b", "zza bzz", "a%b_c", "x\ny"]
     docs = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
-    asked = spark.createDataFrame([*enumerate(passages), (77, None)], "item_id long, text string")
+    asked = spark.createDataFrame([*enumerate(passages), (777, None)], "item_id long, text string")
     got = [(r["item_id"], r["doc_id"]) for r in containment.containment_truth(
         asked, docs.repartition(3)).collect()]
     want = {(i, d) for i, p in enumerate(passages) for d, t in enumerate(texts) if p in t}
@@ -197,6 +198,25 @@ def test_containment(spark, monkeypatch):
     assert ids == {d for _, d in want}
 
 
+def test_containment_of_whole_words_and_repeated_rows(spark):
+    """Longer passages, one word in every text, repeated and missing ids."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["the", *(f"w{k}" for k in range(30))]) for _ in range(80))
+             for _ in range(40)]
+    passages = []
+    for text in texts:
+        start = rng.randrange(len(text) - 40)
+        passages += [text[start:start + rng.randrange(5, 40)], text[::-1][:20]]
+    rows = [*((i % 35 if i != 7 else None, t) for i, t in enumerate(texts))]
+    asked = spark.createDataFrame([(i % 70, p) for i, p in enumerate(passages)],
+                                  "item_id int, text string")
+    got = containment.containment_truth(asked, spark.createDataFrame(rows, "doc_id int, text string"))
+    want = {(i % 70, d) for i, p in enumerate(passages) for d, t in rows if p in t}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+    assert containment.containment_truth(asked.limit(0), asked.withColumnRenamed(
+        "item_id", "doc_id")).count() == 0
+
+
 def test_listed_answer_documents(spark):
     df = spark.createDataFrame([(["a", "b"],), (["b"],)],
                                "correct_answer_document_ids array<string>")
@@ -204,14 +224,6 @@ def test_listed_answer_documents(spark):
     assert {r["document_id"] for r in got} == {"a", "b"}
 
 
-def test_blocks_cover_all_rows(spark):
-    df = spark.range(1000)
-    parts = list(blocks.bounded_blocks(df, "id", F.lit(1), 100, 10 ** 9))
-    assert len(parts) > 9 and max(map(len, parts)) < 200
-    assert sorted(r["id"] for p in parts for r in p) == list(range(1000))
-    assert list(blocks.bounded_blocks(df.limit(0), "id", F.lit(1), 10, 10)) == []
-
-
 CONTEXTS = "array<struct<rank int, text string, document_id string, relevant boolean>>"
 
 
