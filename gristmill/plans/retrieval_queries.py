@@ -112,20 +112,45 @@ def bm25_documents(table):
         "item_id", "doc_id", "rank")
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts(df, text="text", out="embedding", dim=len(LETTERS)):
+    """How often each of the first letters occurs: vectors that SQL can make as well."""
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    counts = [F.length(low) - F.length(F.replace(low, F.lit(letter), F.lit("")))
+              for letter in LETTERS[:dim]]
+    return df.withColumn(out, F.array(*counts).cast("array<float>"))
+
+
+def letters_sql(text: str) -> str:
+    low = f"lower(coalesce({text}, ''))"
+    return "[" + ", ".join(f"length({low}) - length(replace({low}, '{letter}', ''))"
+                           for letter in LETTERS) + "]::double[]"
+
+
+def cosine_sql(left: str, right: str) -> str:
+    return (f"coalesce(list_dot_product({left}, {right}) / nullif(sqrt(list_dot_product({left}, "
+            f"{left}) * list_dot_product({right}, {right})), 0), 0)")
+
+
 def _two_lists(table):
     docs = spread(table("documents").select("doc_id", "text"))
     lexical = retrieval.bm25(table("benchmark"), docs, 20, "item_id")
-    wide = lexical.select("item_id", "doc_id").join(
-        docs.select("doc_id", F.size(retrieval.words(F.col("text"))).cast("double").alias("score")),
-        "doc_id")
-    return retrieval.rank_hits(wide, ["item_id"], ["doc_id"], 20), lexical
+    near = retrieval.search(letter_counts(table("benchmark")), letter_counts(docs), 20,
+                            query_id="item_id")
+    return near, lexical
 
 
 HYBRID = f"""
 with {DOC_BM25},
 lex as (select item_id, doc_id, score, rank from hits where rank <= 20),
-second as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
-           from (select item_id, doc_id, len(x)::double as score from lex join ch using (doc_id))),
+qv as materialized (select item_id, {letters_sql('text')} as q from benchmark),
+dv as materialized (select doc_id, {letters_sql('text')} as d from documents),
+near as (select item_id, doc_id, round({cosine_sql('q', 'd')}, 6) as score from qv, dv),
+second as (select * from (
+             select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+             from near) where rank <= 20),
 """
 MERGE = """
 m as (select coalesce(a.item_id, b.item_id) as item_id, coalesce(a.doc_id, b.doc_id) as doc_id,

@@ -9,7 +9,8 @@ from gristmill.operators import boards, evaluation, patterns, retrieval
 from gristmill.operators.containment import containment_truth
 from gristmill.plans import sweep as sweeps
 from gristmill.plans.registry import query, spread
-from gristmill.plans.retrieval_queries import WORDS, bm25_sql
+from gristmill.plans.retrieval_queries import (
+    WORDS, bm25_sql, cosine_sql, letter_counts, letters_sql)
 
 SPACE = {"chunking_method": ["fixed"], "chunk_size": [512, 1024, 2048], "chunk_overlap": [0, 128],
          "number_of_chunks": [3, 5]}
@@ -17,9 +18,9 @@ CONFIGS = sweeps.search_space(SPACE, 12)
 CUTS = list(dict.fromkeys(c.chunking for c in CONFIGS))
 
 
-def _chunks_sql() -> str:
+def _chunks_sql(cuts=CUTS) -> str:
     parts = []
-    for g, (_, size, overlap) in enumerate(CUTS):
+    for g, (_, size, overlap) in enumerate(cuts):
         step = size - overlap
         parts.append(f"""
   select {g} as g, doc_id, i as chunk_no, substr(text, i * {step} + 1, {size}) as chunk_text
@@ -99,6 +100,98 @@ def sweep_leaderboard(table):
     return boards.leaderboard(board, "final_score", "name")
 
 
+# Three ways to search, both rankers, two embeddings, two chunk sizes.
+MODES = sweeps.search_space({
+    "chunking_method": ["fixed"], "chunk_size": [1024, 2048], "chunk_overlap": [0],
+    "number_of_chunks": [3], "search_mode": ["lexical", "vector", "hybrid"],
+    "ranker_strategy": ["rrf", "weighted"], "ranker_alpha": [0.3, 0.7],
+    "embedding_dimension": [13, 26]})
+MODE_CUTS = list(dict.fromkeys(c.chunking for c in MODES))
+
+
+def _mode_rows() -> str:
+    """Pattern, chunk setting, result count, and of each list it uses: embedding and value."""
+    rows = []
+    for c in MODES:
+        head, hybrid = f"{c.pattern_id}, {MODE_CUTS.index(c.chunking)}, 3", c.search_mode == "hybrid"
+        values = {-1: "score", c.embedding_dimension: "score"}
+        if c.ranker_strategy == "rrf":
+            values = dict.fromkeys(values, "rrf")
+        elif hybrid:
+            values = {-1: f"{1 - c.ranker_alpha}", c.embedding_dimension: f"{c.ranker_alpha}"}
+        unused = {"lexical": {None}, "vector": {-1}, "hybrid": set()}[c.search_mode]
+        rows += [f"({head}, {e}, '{v}', {20 if hybrid else 3})" for e, v in values.items()
+                 if e not in unused]
+    return ", ".join(rows)
+
+
+SWEEP_MODES = f"""
+with cut as materialized ({_chunks_sql(MODE_CUTS)}),
+{bm25_sql(f"select g, doc_id, chunk_no, {WORDS.format('chunk_text')} as x from cut",
+           "doc_id, chunk_no")},
+truth as materialized (
+  select b.item_id, d.doc_id from benchmark b join documents d on contains(d.text, b.text)),
+qv as materialized (select item_id, e, ({letters_sql('text')})[1:e] as q
+                    from benchmark, (values (13), (26)) s(e)),
+cv as materialized (select g, doc_id, chunk_no, e, ({letters_sql('chunk_text')})[1:e] as d
+                    from cut, (values (13), (26)) s(e)),
+near as (select item_id, g, cv.e, doc_id, chunk_no, round({cosine_sql('q', 'd')}, 6) as score
+         from qv join cv on qv.e = cv.e),
+lists as materialized (
+  select -1 as e, g, item_id, doc_id, chunk_no, score, rank from hits where rank <= 20
+  union all
+  select * from (select e, g, item_id, doc_id, chunk_no, score, row_number() over (
+                   partition by item_id, g, e order by score desc, doc_id, chunk_no) as rank
+                 from near) where rank <= 20),
+config(pattern_id, g, k, e, how, deep) as (values {_mode_rows()}),
+used as (select pattern_id, k, how, lists.*,
+                min(score) over (partition by pattern_id, lists.e, item_id) as low,
+                max(score) over (partition by pattern_id, lists.e, item_id) as high
+         from lists join config c on c.e = lists.e and c.g = lists.g and rank <= deep),
+merged as (select pattern_id, g, k, item_id, doc_id, chunk_no, round(sum(
+             case how when 'score' then score when 'rrf' then 1.0::double / (60 + rank)
+             else how::double * case when high > low then (score - low) / (high - low)
+                                else 1.0 end end), 6) as score
+           from used group by all),
+ranked as (select * from (select *, row_number() over (
+             partition by pattern_id, item_id order by score desc, doc_id, chunk_no) as rank
+           from merged) where rank <= k),
+ctx as (select pattern_id, h.item_id, rank, x, t.doc_id is not null as relevant
+        from ranked h join ch on ch.g = h.g and ch.doc_id = h.doc_id and ch.chunk_no = h.chunk_no
+        left join truth t on t.item_id = h.item_id and t.doc_id = h.doc_id),
+agg as (select pattern_id, item_id, min(rank) filter (relevant) as first_hit,
+               list_distinct(arg_min(x, rank)) as said,
+               list_distinct(flatten(list(x))) as seen from ctx group by all),
+answers as (select item_id, list_distinct({WORDS.format('text')}) as whole,
+                   list_distinct({WORDS.format('substr(text, length(text) // 2 + 1)')}) as half
+            from benchmark),
+evaluated as (
+  select p.pattern_id, b.item_id, coalesce(1.0 / first_hit, 0.0)::double as context_correctness,
+         greatest(coalesce(len(list_intersect(whole, said)) / len(whole), 0.0),
+                  coalesce(len(list_intersect(half, said)) / len(half), 0.0))::double
+         as answer_correctness,
+         case when len(said) > 0 then len(list_intersect(said, seen)) / len(said) else 0.0
+         end::double as faithfulness
+  from answers b join (select distinct pattern_id from config) p on true
+  left join agg on agg.item_id = b.item_id and agg.pattern_id = p.pattern_id)
+"""
+
+
+@query(SWEEP_MODES + """
+select pattern_id::int as pattern_id, item_id, round(faithfulness, 6) as faithfulness,
+       round(answer_correctness, 6) as answer_correctness,
+       round(context_correctness, 6) as context_correctness from evaluated
+""")
+def sweep_hybrid(table):
+    """Words, vectors and both merged, with the second half of a passage as an answer too."""
+    asked = table("benchmark").withColumn("answers", F.array("text", F.expr(
+        "substring(text, cast(length(text) div 2 + 1 as int))")))
+    rows = sweeps.sweep(asked, _documents(table), _truth(table), MODES, answers="answers",
+                        embed=letter_counts)
+    return rows.select("pattern_id", "item_id", *[
+        F.round(m, 6).alias(m) for m in evaluation.PATTERN_METRICS])
+
+
 @query(SWEEP + """
 select pattern_id::int as pattern_id, 'answer_correctness' as metric, n,
        answer_correctness as mean, answer_ci_low as ci_low from board

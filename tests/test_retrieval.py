@@ -298,3 +298,52 @@ def test_sweep_finds_the_right_document(spark):
     board = sweeps.pattern_scores(sweeps.sweep(asked, docs, truth, configs), configs,
                                   "context_correctness").collect()
     assert {r["final_score"] for r in board} == {0.5}
+
+
+def test_search_space_of_modes():
+    space = sweeps.search_space({
+        "search_mode": ["lexical", "vector", "hybrid"], "ranker_strategy": ["rrf", "weighted"],
+        "ranker_k": [10, 60], "ranker_alpha": [0.2, 0.8], "embedding_dimension": [32]})
+    # One lexical, one vector, two rrf, two weighted: unused settings make no pattern.
+    assert [(c.search_mode, c.ranker_strategy, c.ranker_k, c.ranker_alpha) for c in space] == [
+        ("lexical", None, None, None), ("vector", None, None, None), ("hybrid", "rrf", 10, None),
+        ("hybrid", "rrf", 60, None), ("hybrid", "weighted", None, 0.2),
+        ("hybrid", "weighted", None, 0.8)]
+    assert [c.pattern_id for c in space] == list(range(6)) and sweeps.dimensions(space) == [32]
+    for wrong in ({"search_mode": ["magic"]}, {"search_mode": ["hybrid"], "ranker_strategy": ["x"]}):
+        with pytest.raises(ValueError):
+            sweeps.search_space(wrong)
+
+
+def test_patterns_of_a_sweep_equal_single_searches(spark):
+    rng = random.Random(11)
+    names = "red green blue sun moon star sea fish bird tree".split()
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(names, k=14))) for i in range(40)],
+                                 "doc_id long, text string")
+    asked = spark.createDataFrame([(i, " ".join(rng.choices(names, k=3)), ["sun", "none"])
+                                   for i in range(5)], "item_id long, text string, good array<string>")
+    truth = asked.select("item_id", F.col("item_id").alias("doc_id"))
+    space = sweeps.search_space({
+        "chunking_method": ["fixed"], "chunk_size": [40], "chunk_overlap": [0],
+        "number_of_chunks": [4], "search_mode": ["vector", "hybrid"],
+        "ranker_strategy": ["rrf", "weighted"], "ranker_alpha": [0.3], "embedding_dimension": [16, 64]})
+    rows = sweeps.sweep(asked, docs, truth, space, answers="good", depth=9).collect()
+    chunks = sweeps.chunk_all(docs, [space[0].chunking], "doc_id", "text")
+    key = ["doc_id", "chunk_no"]
+    texts = {(r.doc_id, r.chunk_no): r.chunk_text for r in chunks.collect()}
+    lexical = retrieval.bm25(asked, chunks, 9, "item_id", "text", key, "chunk_text")
+    for config in space:
+        near = retrieval.search(
+            retrieval.embed(asked, dim=config.embedding_dimension),
+            retrieval.embed(chunks, "chunk_text", dim=config.embedding_dimension), 9,
+            query_id="item_id", item_id=key)
+        want = near if config.search_mode == "vector" else retrieval.hybrid(
+            near, lexical, config.ranker_strategy, "item_id", key,
+            alpha=config.ranker_alpha or 0.5, k=4)
+        lists = {}
+        for r in want.filter("rank <= 4").orderBy("item_id", "rank").collect():
+            lists.setdefault(r.item_id, []).append(texts[r.doc_id, r.chunk_no])
+        for row in (r for r in rows if r.pattern_id == config.pattern_id):
+            assert [c.text for c in row.contexts] == lists[row.item_id], config
+            assert row.answer_correctness == ("sun" in row.answer.split())
+    assert len(rows) == 5 * len(space)
