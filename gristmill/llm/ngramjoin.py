@@ -347,7 +347,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     # Linked sets share several keys, so a few keys in common by chance lead nowhere.
     often = shared.groupBy("a").agg(F.count("*").alias("shared"), F.min("need").alias("need")).filter(
         F.col("shared") >= F.col("need")).select("a")
-    edges = shared.filter("a != b").select("a", "b").distinct().join(often, "a", "left_semi")
+    ways = shared.filter("a != b").select("a", "b")
+    edges = ways.join(often, "a", "left_semi").distinct()
+    # A document may be settled with one that shares little itself, whose own way to the
+    # smallest id with the key is needed then.
+    through = edges.select(F.col("b").alias("a")).distinct()
+    edges = edges.unionByName(ways.join(through, "a", "left_semi")).distinct()
     families = components(edges).withColumnRenamed("component", "family")
     # Equal sets are one class, represented by the smallest id.
     known = points.select("doc_id", "n", "d1", "d2").filter("n > 0")

@@ -46,6 +46,43 @@ def edited(text, seed, share):
     return " ".join(words)
 
 
+def sharing_one_section(text, section, lows, most, draw):
+    """A text of the same size class that agrees with ``text`` in this section's key alone."""
+    own = ngramjoin.text_sets([text.encode()], 3)[0]
+    keys = set(ngramjoin.section_keys(own, lows, most, 90)[0].tolist())
+    words, at = text.split(), int(np.searchsorted(lows, len(own), "right")) - 1
+    seed = np.uint64(0xD6E8FEB86659FD93 * (at + 1) & (1 << 64) - 1)
+    hashes = [ngramjoin.text_sets([" ".join(words[i:i + 3]).encode()], 3)[0][0]
+              for i in range(len(words) - 2)]
+    count = np.uint64(most[at] + ngramjoin.SLACK)
+    needed = [i for i, h in enumerate(hashes)
+              if ngramjoin.mix(np.array([h]) ^ seed)[0] % count == section]
+    while True:
+        parts = [f"{draw.random()}" for _ in range(len(words) - 4 * len(needed))]
+        for i in needed:
+            parts += [*words[i:i + 3], f"{draw.random()}"]
+        other = ngramjoin.text_sets([" ".join(parts).encode()], 3)[0]
+        both = keys & set(ngramjoin.section_keys(other, lows, most, 90)[0].tolist())
+        if len(both) == 1 and int(np.searchsorted(lows, len(other), "right")) - 1 == at:
+            return " ".join(parts)
+
+
+def test_links_through_documents_that_share_little(spark):
+    """All keys of a text settle with unrelated texts of its batch, one key each."""
+    lows, most = ngramjoin.size_classes(90)
+    text, draw = prose(77, 152, 10 ** 6), random.Random(1)
+    at = int(np.searchsorted(lows, 150, "right")) - 1
+    others = [sharing_one_section(text, k, lows, most, draw)
+              for k in range(most[at] + ngramjoin.SLACK)]
+    batch = [(100 + i, t) for i, t in enumerate(others)] + [(500, text)]
+    parts = [batch, [(0, " ".join(text.split()[:-1]))]] + [[(900 + i, prose(i, 30))] for i in range(8)]
+    rows = [(k, *row) for k, part in enumerate(parts) for row in part]
+    frame = spark.createDataFrame(rows, "part int, doc_id long, text string").repartitionByRange(
+        len(parts), "part").drop("part")
+    got = {r.doc_id: r.component_id for r in ngramjoin.jaccard_join(frame).collect()}
+    assert got == {d: d if d != 500 else 0 for part in parts for d, _ in part}
+
+
 @pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
 def test_join_equals_brute_force(spark, width, percent):
     texts, draw = {}, random.Random(width)
