@@ -377,8 +377,7 @@ def select_models(table):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     train, test = splits.train_test_split(rows, "l_extendedprice", "regression", 0.2, key)
     board, _ = tabular.select_models(
-        train, test, "l_extendedprice", "regression", skip=["l_orderkey", "l_linenumber"],
-        models=tabular.candidates("regression", trees=5))
+        train, test, "l_extendedprice", "regression", skip=["l_orderkey", "l_linenumber"])
     return board
 
 
@@ -390,35 +389,47 @@ def refit_models(table):
     train, test = splits.train_test_split(folds, "o_orderstatus", "multiclass", 0.2, "o_orderkey")
     known, held = train.filter("not in_holdout"), train.filter("in_holdout")
     skip = ["o_orderkey", "fold", "in_holdout"]
-    models = {"DecisionTree": tabular.candidates("multiclass")["DecisionTree"]}
-    _, best = tabular.select_models(known, held, "o_orderstatus", "multiclass", 1, skip, models)
-    records, _ = tabular.refit_full(best, known, held, test, "o_orderstatus", "multiclass", skip,
-                                    {"test_size": 0.2})
+    _, best = tabular.select_models(known, held, "o_orderstatus", "multiclass", skip=skip)
+    records, _ = tabular.refit_full(
+        best, known, held, test, "o_orderstatus", "multiclass", skip[1:], key=["o_orderkey"],
+        split={"test_size": 0.2}, settings={"folds": splits.FOLDS})
     return records
 
 
 @query()
 def stack_models(table):
+    """Prices of parts: all families on four levels, each row by models that never saw it."""
     rows = table("part").select("p_partkey", "p_size", "p_type", "p_retailprice")
-    models = {name: m for name, m in tabular.candidates("regression", trees=5).items()
-              if name in ("LinearRegression", "DecisionTree")}
-    averaged = tabular.stack_predictions(rows, "p_retailprice", "regression", ["p_partkey"],
-                                         models=models)
-    return averaged
+    return tabular.stack_predictions(rows, "p_retailprice", "regression", ["p_partkey"])
+
+
+@query()
+def stack_classes(table):
+    """Quality of documents by their language, source and length, with class probabilities."""
+    rows = table("labels").select("doc_id", "quality").join(
+        table("documents").select("doc_id", "lang", "source", "n_chars"), "doc_id")
+    found = tabular.stack_predictions(rows, "quality", "binary", ["doc_id"])
+    return found.select("doc_id", "quality", "fold", "prediction",
+                        F.round(F.array_max("probabilities"), 6).alias("certainty"))
 
 
 @query()
 def permutation_importance(table):
+    """Of every family, by name: what a sum depends on."""
     rows = _priced(table).select("l_partkey", "l_suppkey", "l_quantity", "p_retailprice",
                                  "l_extendedprice").groupBy("l_partkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("quantity"), F.avg("p_retailprice").alias("price"),
         F.sum("l_extendedprice").alias("amount"))
-    models = {"LinearRegression": tabular.candidates("regression")["LinearRegression"]}
     key = ["l_partkey", "l_suppkey"]
     train, test = splits.train_test_split(rows, "amount", "regression", 0.3, key)
-    _, fitted = tabular.select_models(train, test, "amount", "regression", 1, key, models)
-    return tabular.permutation_importance(fitted["LinearRegression"], test, "amount", "regression",
-                                          ["quantity", "price"], key)
+    _, fitted = tabular.select_models(train, test, "amount", "regression", 4, key)
+    parts = [tabular.permutation_importance(model, test, "amount", "regression",
+                                            ["quantity", "price"], key).withColumn(
+        "model", F.lit(name)) for name, model in sorted(fitted.items())]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 @query(r"""
