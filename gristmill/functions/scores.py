@@ -1,17 +1,20 @@
 """Text-generation scores of one prediction against one target.
 
 The word-set scores and the likelihood scores are built-in expressions.  The
-n-gram scores count repeated n-grams and the longest common subsequence, which
-arrays can only do in quadratic time; they share one Arrow batch function.
+n-gram scores need counts of repeated n-grams and longest common subsequences,
+which array expressions can only give in quadratic time: they are computed for
+whole Arrow batches, all rows together, with sorted counts of numbered n-grams
+and bit vectors.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,9 @@ EXP_LIMIT = 709.782712893384      # exp() of more does not fit a double
 CONTAINS_CHARS = 50
 STEM_ABOVE = 3                    # shorter words are not stemmed
 
+VECTOR_WORDS = 1024               # tokens of a text whose bits fit the common steps of a batch
+MASK_CELLS = 1 << 22
+
 
 def exact_match(prediction: Column, target: Column) -> Column:
     return (F.lower(prediction) == F.lower(target)).cast("double")
@@ -84,75 +90,162 @@ def rouge_tokens(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
-def _grams(tokens: list[str], n: int) -> Counter:
-    return Counter(zip(*(tokens[i:] for i in range(n))))
-
-
-def _bleu(prediction: list[str], target: list[str]) -> float:
-    """Sentence BLEU up to 4-grams, exponential smoothing, effective order."""
-    logs, halving, hit = [], 1.0, False
-    for n in range(1, 5):
-        total = len(prediction) - n + 1
-        if total <= 0:
-            break
-        common = (_grams(prediction, n) & _grams(target, n)).total()
-        hit = hit or common > 0
-        if common == 0:
-            halving *= 2
-            logs.append(-math.log(halving * total))
-        else:
-            logs.append(math.log(common / total))
-    if not hit:
-        return 0.0
-    brevity = min(0.0, 1 - len(target) / len(prediction))
-    return math.exp(brevity + sum(logs) / len(logs))
-
-
-def _f1(common: int, left: int, right: int) -> float:
-    return 2 * common / (left + right) if common > 0 else 0.0
-
-
-def _common_subsequence(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, one big-integer step per word of b."""
-    places: dict[str, int] = {}
-    for i, token in enumerate(a):
-        places[token] = places.get(token, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for token in b:
-        met = row & places.get(token, 0)
-        row = (row + met | row - met) & full
-    return len(a) - row.bit_count()
-
-
-class _Stems(dict):
-    """Stems of the words met so far in one batch."""
-
-    def __missing__(self, word: str) -> str:
-        self[word] = found = stem(word) if len(word) > STEM_ABOVE else word
+class _Tokens:
+    """Tokens of two text columns as numbers: rows and codes of each side."""
+
+    def __init__(self, left: pd.Series, right: pd.Series, stemmed: bool = False):
+        lists = [pc.split_pattern(pa.array(side, pa.string()), " ") for side in (left, right)]
+        flat = pa.chunked_array([x.flatten() for x in lists], pa.string()).combine_chunks()
+        coded = flat.dictionary_encode()
+        known, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        filled = np.array([bool(token) for token in known], bool)
+        if stemmed:     # each different word of the batch once
+            names = {}
+            codes = np.array([names.setdefault(
+                stem(token) if len(token) > STEM_ABOVE else token, len(names))
+                for token in known], np.int64)[codes]
+            filled = np.array([bool(name) for name in names], bool)
+        self.n, start, self.sides = len(left), 0, []
+        for x in lists:
+            row = np.repeat(np.arange(self.n), pc.list_value_length(x).to_numpy())
+            code = codes[start:start + len(row)].astype(np.int64)
+            start += len(row)
+            keep = filled[code] if len(code) else np.zeros(0, bool)
+            self.sides.append((row[keep], code[keep]))
+        self.lengths = [np.bincount(row, minlength=self.n) for row, _ in self.sides]
+
+    def common(self, most: int) -> Iterator[np.ndarray]:
+        """Clipped common n-grams of each row, for n from 1 to ``most``.
+
+        An n-gram is numbered from the number of its first n - 1 tokens and
+        that of its last one, so its length does not matter.
+        """
+        grams = [(row, code, np.arange(len(row))) for row, code in self.sides]
+        width = 1 + max(int(code.max(initial=0)) for _, code in self.sides)
+        for n in range(1, most + 1):
+            if n > 1:
+                grams = [self._longer(*gram, *side, n, width) for gram, side in zip(grams, self.sides)]
+            codes = np.unique(np.concatenate([code for _, code, _ in grams]), return_inverse=True)[1]
+            cut, size = len(grams[0][0]), max(1, int(codes.max(initial=0)) + 1)
+            grams = [(row, part, at) for (row, _, at), part in zip(grams, (codes[:cut], codes[cut:]))]
+            counted = [np.unique(row * size + code, return_counts=True) for row, code, _ in grams]
+            keys, left, right = np.intersect1d(counted[0][0], counted[1][0], True, True)
+            both = np.minimum(counted[0][1][left], counted[1][1][right])
+            yield np.bincount(keys // size, both, self.n).astype(np.int64)
+
+    @staticmethod
+    def _longer(row, code, at, rows, codes, n, width):
+        """Grams of n tokens from those of n - 1, numbered by both parts."""
+        last = at + n - 1
+        keep = last < len(rows)
+        keep[keep] = rows[last[keep]] == row[keep]
+        row, code, last, at = row[keep], code[keep], last[keep], at[keep]
+        return row, code * width + codes[last], at
+
+    def subsequence(self) -> np.ndarray:
+        """Length of the longest common subsequence of each row.
+
+        One bit for each left token and one step for each right token: rows of
+        up to ``VECTOR_WORDS`` tokens advance together in 64-bit words, longer
+        ones by one large integer each.
+        """
+        found = np.zeros(self.n, np.int64)
+        words = -(-self.lengths[0] // 64)
+        for size in np.unique(words[words > 0]).tolist():
+            rows = np.flatnonzero(words == size)
+            rows = rows[np.argsort(-self.lengths[1][rows], kind="stable")]
+            step = max(1, MASK_CELLS // (64 * size * size)) if size <= VECTOR_WORDS // 64 else 1
+            for start in range(0, len(rows), step):
+                part = rows[start:start + step]
+                found[part] = self._together(part, size) if size <= VECTOR_WORDS // 64 else \
+                    self._alone(part[0])
         return found
 
-
-def _overlap_scores(prediction_bleu: str, target_bleu: str, prediction_rouge: str,
-                    target_rouge: str, stems: _Stems | None) -> tuple[float, ...]:
-    left, right = prediction_rouge.split(), target_rouge.split()
-    if stems is not None:
-        left, right = [stems[w] for w in left], [stems[w] for w in right]
-    pairs = [_f1((_grams(left, n) & _grams(right, n)).total(),
-                 max(len(left) - n + 1, 0), max(len(right) - n + 1, 0)) for n in (1, 2)]
-    return (_bleu(prediction_bleu.split(), target_bleu.split()), *pairs,
-            _f1(_common_subsequence(left, right), len(left), len(right)))
+    def _of(self, side: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place among ``rows``, place in the text and code of their tokens."""
+        row, code = self.sides[side]
+        first = np.cumsum(self.lengths[side]) - self.lengths[side]
+        sizes = self.lengths[side][rows]
+        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return np.repeat(np.arange(len(rows)), sizes), at, code[np.repeat(first[rows], sizes) + at]
+
+    def _together(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """Rows by falling right length, each with left tokens for ``size`` words of bits."""
+        place, at, code = self._of(0, rows)
+        width = max(int(c.max(initial=0)) for _, c in self.sides) + 1
+        keys, which = np.unique(place * width + code, return_inverse=True)
+        masks = np.zeros((len(keys) + 1, size), np.uint64)
+        np.bitwise_or.at(masks, (which, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+        place, _, code = self._of(1, rows)
+        wanted = place * width + code
+        index = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        index[keys[index] != wanted] = len(keys)
+        sizes = self.lengths[1][rows]
+        first, state = np.cumsum(sizes) - sizes, np.full((len(rows), size), ~np.uint64(0))
+        for token in range(int(sizes[0]) if len(sizes) else 0):
+            active = np.searchsorted(-sizes, -token)        # the rows with a token here
+            now = state[:active]
+            met = now & masks[index[first[:active] + token]]
+            rest, carry = now & ~met, np.zeros(active, np.uint64)
+            for word in range(size):
+                total = now[:, word] + met[:, word]
+                over = total < met[:, word]
+                whole = total + carry
+                carry = (over | (whole < carry)).astype(np.uint64)
+                now[:, word] = whole | rest[:, word]
+        return 64 * size - np.bitwise_count(state).sum(axis=1).astype(np.int64)
+
+    def _alone(self, row: int) -> int:
+        left, right = (self._of(side, np.array([row]))[2].tolist() for side in (0, 1))
+        places: dict[int, int] = {}
+        for i, token in enumerate(left):
+            places[token] = places.get(token, 0) | 1 << i
+        state = full = (1 << len(left)) - 1
+        for token in right:
+            met = state & places.get(token, 0)
+            state = (state + met | state - met) & full
+        return len(left) - state.bit_count()
+
+
+def bleu_scores(tokens: _Tokens) -> np.ndarray:
+    """Sentence BLEU up to 4-grams, exponential smoothing, effective order."""
+    left, right = (n.astype(np.float64) for n in tokens.lengths)
+    logs, orders, halving = np.zeros(tokens.n), np.zeros(tokens.n), np.ones(tokens.n)
+    hit = np.zeros(tokens.n, bool)
+    for n, common in enumerate(tokens.common(4), 1):
+        total = left - n + 1
+        valid, some = total > 0, common > 0
+        halving[valid & ~some] *= 2
+        share = np.where(some, common, 1 / halving) / np.maximum(total, 1)
+        logs += np.where(valid, np.log(share), 0)
+        orders += valid
+        hit |= valid & some
+    brevity = np.minimum(0, 1 - right / np.maximum(left, 1))
+    return np.where(hit, np.exp(brevity + logs / np.maximum(orders, 1)), 0.0)
+
+
+def _f1(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.where(common > 0, 2 * common / np.maximum(left + right, 1), 0.0)
+
+
+def overlap_batch(bleu: tuple[pd.Series, pd.Series], rouge: tuple[pd.Series, pd.Series],
+                  stemmed: bool) -> pd.DataFrame:
+    """The four scores of a batch of token texts."""
+    tokens = _Tokens(*rouge, stemmed)
+    left, right = tokens.lengths
+    ones, twos = tokens.common(2)
+    return pd.DataFrame({
+        "bleu": bleu_scores(_Tokens(*bleu)), "rouge1": _f1(ones, left, right),
+        "rouge2": _f1(twos, np.maximum(left - 1, 0), np.maximum(right - 1, 0)),
+        "rougeL": _f1(tokens.subsequence(), left, right)})
 
 
 def overlap_scores(prediction: Column, target: Column, stemmed: bool = True) -> Column:
     """Struct of bleu, rouge1, rouge2 and rougeL."""
     @F.pandas_udf("bleu double, rouge1 double, rouge2 double, rougeL double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for columns in batches:
-            stems = _Stems() if stemmed else None
-            yield pd.DataFrame(
-                [_overlap_scores(*row, stems) for row in zip(*columns)],
-                columns=["bleu", "rouge1", "rouge2", "rougeL"], dtype="float64")
+        for p_bleu, t_bleu, p_rouge, t_rouge in batches:
+            yield overlap_batch((p_bleu, t_bleu), (p_rouge, t_rouge), stemmed)
 
     return score(bleu_tokens(prediction), bleu_tokens(target),
                  rouge_tokens(prediction), rouge_tokens(target))

@@ -299,13 +299,21 @@ b1 as (select *, sum((common = 0)::int) over (partition by conv_id order by n) a
 bl as (select conv_id, avg(case when common > 0 then ln(common / total_p)
                                 else -ln(pow(2, zeros) * total_p) end) as mean_log,
               max(common) as best from b1 group by 1),
-rc as materialized ({_count_sql('r', (1, 2))})
+rc as materialized ({_count_sql('r', (1, 2))}),
+-- The table of common subsequences, one row of it for each token of the target.
+lc as materialized (
+  select conv_id, list_reduce(r_t, lambda row, w: [0::bigint] || list_transform(
+           range(1, len(r_p) + 1), lambda i: list_max(list_transform(range(1, i + 1), lambda j:
+             greatest(row[j + 1], case when r_p[j] = w then row[j] + 1 else 0 end)))),
+           list_transform(range(0, len(r_p) + 1), lambda i: 0::bigint))[-1] as common from tok)
 select tok.conv_id,
        round(case when best is null or best = 0 then 0.0
             else exp(mean_log + least(0.0, 1 - len(b_t) / len(b_p))) end, 6)::double as bleu,
        round(coalesce(2.0 * r1.common / (r1.total_p + r1.total_t), 0.0), 6)::double as rouge1,
-       round(coalesce(2.0 * r2.common / (r2.total_p + r2.total_t), 0.0), 6)::double as rouge2
-from tok left join bl on tok.conv_id = bl.conv_id
+       round(coalesce(2.0 * r2.common / (r2.total_p + r2.total_t), 0.0), 6)::double as rouge2,
+       round(case when lc.common > 0 then 2.0 * lc.common / (len(r_p) + len(r_t)) else 0.0 end,
+             6)::double as "rougeL"
+from tok join lc on lc.conv_id = tok.conv_id left join bl on tok.conv_id = bl.conv_id
 left join rc r1 on r1.conv_id = tok.conv_id and r1.n = 1
 left join rc r2 on r2.conv_id = tok.conv_id and r2.n = 2
 """
@@ -316,7 +324,7 @@ def gram_scores(table):
     p, t = text.strip(F.col("prediction")), text.strip(F.col("target"))
     scored = _pairs(table).withColumn("s", scores.overlap_scores(p, t, stemmed=False))
     return scored.select("conv_id", *[F.round(f"s.{m}", 6).alias(m)
-                                      for m in ("bleu", "rouge1", "rouge2")])
+                                      for m in ("bleu", "rouge1", "rouge2", "rougeL")])
 
 
 @query()

@@ -1,7 +1,9 @@
 import math
 import random
 import string
+from collections import Counter
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -49,13 +51,59 @@ def test_scores_at_the_edges(spark):
     assert scored(spark, "x" * 50 + "tail", "x" * 50 + "other")["contains_match"] == 1
 
 
+def bleu(prediction, target):
+    """By definition, row by row."""
+    logs, halving, hit = [], 1.0, False
+    for n in range(1, 5):
+        total = len(prediction) - n + 1
+        if total <= 0:
+            break
+        grams = [Counter(zip(*(side[i:] for i in range(n)))) for side in (prediction, target)]
+        common = (grams[0] & grams[1]).total()
+        hit = hit or common > 0
+        halving = halving if common else 2 * halving
+        logs.append(math.log(common / total if common else 1 / (halving * total)))
+    return math.exp(min(0.0, 1 - len(target) / len(prediction)) + sum(logs) / len(logs)) if hit else 0.0
+
+
+def rouge(prediction, target, n):
+    sides = [Counter(zip(*(side[i:] for i in range(n)))) for side in (prediction, target)]
+    common = (sides[0] & sides[1]).total()
+    return 2 * common / (sides[0].total() + sides[1].total()) if common else 0.0
+
+
+def batch(pairs, stemmed=False):
+    texts = [pd.Series([" ".join(pair[side]) for pair in pairs]) for side in (0, 1)]
+    return scores.overlap_batch(texts, texts, stemmed)
+
+
 def test_bleu_known_values():
     same = "the quick brown fox jumps".split()
-    assert scores._bleu(same, same) == pytest.approx(1.0)
+    pairs = [(same, same), (["a", "b"], ["a", "c"]), (["x"], ["y"]), ([], ["y"]), (["a"], ["a", "b"])]
     # One of two words right: 1/2 and a smoothed 1/(2*1) over two orders.
-    assert scores._bleu(["a", "b"], ["a", "c"]) == pytest.approx(math.sqrt(0.5 * 0.5))
-    assert scores._bleu(["x"], ["y"]) == 0.0 and scores._bleu([], ["y"]) == 0.0
-    assert scores._bleu(["a"], ["a", "b"]) == pytest.approx(math.exp(-1))
+    assert batch(pairs)["bleu"].tolist() == pytest.approx(
+        [1.0, math.sqrt(0.5 * 0.5), 0.0, 0.0, math.exp(-1)])
+
+
+@pytest.mark.parametrize("stemmed", [False, True])
+def test_batches_equal_the_definitions_row_by_row(monkeypatch, stemmed):
+    monkeypatch.setattr(scores, "MASK_CELLS", 1000)     # several groups of rows
+    rng = random.Random(2)
+    vocabulary = ["the", "a", "run", "running", "runs", "flies", "fly", "x1", "é"]
+    pairs = [[[rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 2, 5, 63, 64, 65, 130, 200]))]
+              for _ in range(2)] for _ in range(120)]
+    # More words than the common steps take.
+    pairs.append([[rng.choice(vocabulary) for _ in range(n)] for n in (1100, 300)])
+    got = batch(pairs, stemmed)
+    named = [[[scores.stem(w) if stemmed and len(w) > 3 else w for w in side] for side in pair]
+             for pair in pairs]
+    assert got["bleu"].tolist() == pytest.approx([bleu(*pair) for pair in pairs])
+    for n in (1, 2):
+        assert got[f"rouge{n}"].tolist() == pytest.approx([rouge(*pair, n) for pair in named])
+    common = [longest(*pair) for pair in named]
+    assert got["rougeL"].tolist() == pytest.approx([
+        2 * c / (len(a) + len(b)) if c else 0.0 for c, (a, b) in zip(common, named)])
+    assert batch([], stemmed).empty and batch([([], [])], stemmed).to_numpy().tolist() == [[0] * 4]
 
 
 def test_bleu_tokens(spark):
@@ -73,10 +121,10 @@ def longest(a, b):
 
 def test_common_subsequence_equals_the_table():
     rng = random.Random(5)
-    for _ in range(300):
-        a = [rng.choice("abcd") for _ in range(rng.randint(0, 90))]
-        b = [rng.choice("abcd") for _ in range(rng.randint(0, 90))]
-        assert scores._common_subsequence(a, b) == longest(a, b)
+    pairs = [[[rng.choice("abcd") for _ in range(rng.randint(0, 90))] for _ in range(2)]
+             for _ in range(300)]
+    left, right = (pd.Series([" ".join(pair[side]) for pair in pairs]) for side in (0, 1))
+    assert scores._Tokens(left, right).subsequence().tolist() == [longest(*pair) for pair in pairs]
 
 
 @pytest.mark.parametrize("word,want", [
