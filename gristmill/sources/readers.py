@@ -9,28 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.text import document_id
+from gristmill.sources.quoted import read_quoted
 
 # Accepted document types.
 DOCUMENT_SUFFIXES = (".pdf", ".docx", ".pptx", ".md", ".html", ".txt")
 
-BENCHMARK_SCHEMA = ("question string, correct_answers array<string>, "
-                    "correct_answer_document_ids array<string>")
-
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
                schema: T.StructType | str | None = None, one_line_rows: bool = False) -> DataFrame:
     """CSV with header or parquet.  A CSV without a schema is inferred from all
     its rows; unreadable input is an error, never a partial table.
 
-    Quoted cells may hold line ends, which keeps a CSV file in one task.
-    ``one_line_rows`` says that none does, so large files are read in parts.
+    Quoted cells may hold line ends, and large files are read in parts all the
+    same (``sources/quoted.py``); quotes must be doubled inside a cell, and a
+    cell with quotes must be quoted.  ``one_line_rows`` says that no cell holds
+    a line end, which saves a pass over the quotes.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
-        raise ValueError(f"unsupported table format {fmt!r}")
-    reader = spark.read.option("header", True).option("mode", "FAILFAST").option(
-        "escape", '"').option("multiLine", not one_line_rows)
+        raise ValueError(f"tables are csv or parquet, not {fmt!r}")
+    if not one_line_rows:
+        return read_quoted(spark, path, schema)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
@@ -40,7 +41,7 @@ def read_records(spark: SparkSession, path: str,
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
     if not path.endswith((".json", ".jsonl")):
-        raise ValueError(f"unsupported file format: {path}; expected .json, .jsonl or .parquet")
+        raise ValueError(f"records end in .json, .jsonl or .parquet, unlike {path!r}")
     reader = spark.read.option("mode", "FAILFAST").option("multiLine", path.endswith(".json"))
     return (reader.schema(schema) if schema else reader).json(path)
 
@@ -74,17 +75,27 @@ def load_text_documents(spark: SparkSession, path: str, on_bad: str = "replace")
 
 
 def load_benchmark(spark: SparkSession, path: str) -> DataFrame:
-    """Questions from a JSON array file, with the position as question id."""
+    """Questions of a JSON array file; the id is the position in the array, from 0.
+
+    A benchmark is one file, so one task reads it.  Other text than an array of
+    objects is an error or gives no question; a missing field is null.
+    """
     if not path.endswith(".json"):
-        raise ValueError(f"test data must be a json file: {path}")
+        raise ValueError(f"a benchmark is one .json file, unlike {path!r}")
     try:
-        rows = spark.read.schema(BENCHMARK_SCHEMA).option("multiLine", True).option(
-            "mode", "FAILFAST").json(path)
+        files = spark.read.text(path, wholetext=True)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"benchmark not found: {path}") from error
         raise
-    return rows.withColumn("question_id", F.monotonically_increasing_id())
+    # A variant keeps the order of the array, and its position is the id.
+    entries = files.select(F.parse_json("value").alias("whole")).lateralJoin(
+        spark.tvf.variant_explode(F.col("whole").outer())).select("pos", "value")
+    return entries.select(
+        F.variant_get("value", "$.question", "string").alias("question"),
+        F.variant_get("value", "$.correct_answers", "array<string>").alias("correct_answers"),
+        F.variant_get("value", "$.correct_answer_document_ids", "array<string>").alias(
+            "correct_answer_document_ids"), F.col("pos").cast("long").alias("question_id"))
 
 
 def _json_files(spark: SparkSession, pattern: str, depth: int, name: str, out: str) -> DataFrame:

@@ -1,7 +1,10 @@
+import csv
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from gristmill.operators import retrieval, sampling
 from gristmill.sources import readers, writers
@@ -30,6 +33,70 @@ def test_csv_in_parts(spark, tmp_path):
     assert readers.read_table(spark, path, "csv", "id long", one_line_rows=True).count() == 50
 
 
+CELLS = ["plain", 'say "hi"', "two\nlines", "a\r\nb", "", None, "x,y", '"', '""', "\n\n", "é\n\"z\"",
+         "line\n" * 40]
+
+
+@pytest.mark.parametrize("size", ["64", "100", "777"])
+def test_quoted_line_ends_and_splits_go_together(spark, tmp_path, size):
+    """Splits far smaller than some records: same rows as read by one task."""
+    rng = random.Random(int(size))
+    rows = [(i, *(rng.choice(CELLS) for _ in range(2)), rng.random()) for i in range(300)]
+    for number in range(2):
+        with open(tmp_path / f"part{number}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator="\r\n" if number else "\n")
+            out.writerow(["id", "a", "two\nline name", "x"])
+            out.writerows(rows[number::2])
+    schema = "id int, a string, b string, x double"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    once = spark.read.schema(schema).option("header", True).option("multiLine", True).option(
+        "escape", '"').option("mode", "FAILFAST").csv(str(tmp_path))
+    want = sorted(map(tuple, once.collect()), key=lambda r: r[0])
+    assert [r[0] for r in want] == list(range(300))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        table = readers.read_table(spark, str(tmp_path), "csv", schema)
+        got = sorted(map(tuple, table.collect()), key=lambda r: r[0])
+        assert [(a, _lf(b), _lf(c), d) for a, b, c, d in got] == [
+            (a, _lf(b), _lf(c), d) for a, b, c, d in want]
+        inferred = readers.read_table(spark, str(tmp_path))
+        assert inferred.columns == ["id", "a", "two\nline name", "x"]
+        assert [t for _, t in inferred.dtypes] == ["int", "string", "string", "double"]
+        assert inferred.count() == 300
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _lf(text):
+    """Line ends inside cells are line feeds, whatever the file has."""
+    return text and text.replace("\r\n", "\n")
+
+
+def test_large_csv_is_read_by_many_tasks(spark, tmp_path):
+    body = "".join(f'{i},"cell {i}\nwith ""two"" lines"\n' for i in range(40_000))
+    (tmp_path / "t.csv").write_text("id,text\n" + body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        table = readers.read_table(spark, str(tmp_path / "t.csv"), "csv", "id long, text string")
+        rows = table.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n"), F.sum("id").alias("ids")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) > 10 and sum(r.n for r in rows) == 40_000
+    assert sum(r.ids for r in rows) == sum(range(40_000))
+
+
+def test_kinds_of_inferred_columns(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "i,l,d,day,at,flag,text,none,mixed\n1,5000000000,1.5,2024-01-31,2024-01-31 10:00:00,true,x,,1\n"
+        "-2,7,1e3,2024-02-01,2024-02-01T11:30:00,FALSE,,,y\n\n")
+    table = readers.read_table(spark, str(tmp_path / "t.csv"))
+    assert [t for _, t in table.dtypes] == ["int", "bigint", "double", "date", "timestamp", "boolean",
+                                            "string", "string", "string"]
+    assert table.count() == 2
+
+
 def test_broken_csv_is_an_error(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\n1,2\nx,3\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
@@ -44,7 +111,7 @@ def test_records(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(1, None), (2, "é")]
     (tmp_path / "array.json").write_text(json.dumps([{"a": 1}, {"a": 2}], indent=1))
     assert readers.read_records(spark, str(tmp_path / "array.json")).count() == 2
-    with pytest.raises(ValueError, match="unsupported"):
+    with pytest.raises(ValueError, match="records end"):
         readers.read_records(spark, "data.txt")
 
 
@@ -84,6 +151,19 @@ def test_benchmark(spark, tmp_path):
         readers.load_benchmark(spark, str(tmp_path / "missing.json"))
 
 
+def test_questions_keep_their_position(spark, tmp_path):
+    body = [{"question": f"q{i}", "correct_answers": [f"a{i}", "b"] if i % 3 else None, "more": 1}
+            for i in range(500)]
+    (tmp_path / "b.json").write_text(json.dumps(body, indent=1))
+    rows = readers.load_benchmark(spark, str(tmp_path / "b.json")).orderBy("question_id").collect()
+    assert [(r.question_id, r.question) for r in rows] == [(i, f"q{i}") for i in range(500)]
+    assert rows[1].correct_answers == ["a1", "b"] and rows[0].correct_answers is None
+    assert rows[0].correct_answer_document_ids is None
+    (tmp_path / "broken.json").write_text("[{")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.load_benchmark(spark, str(tmp_path / "broken.json")).collect()
+
+
 def test_pattern_and_metric_files(spark, tmp_path):
     for name in ("p1", "p2"):
         (tmp_path / "patterns" / name).mkdir(parents=True)
