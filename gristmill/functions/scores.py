@@ -9,7 +9,7 @@ and bit vectors.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -269,3 +269,16 @@ def score_text(df: DataFrame, prediction: str = "prediction", target: str = "tar
 def score_summary(df: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Mean of the nine scores."""
     return df.groupBy(*(group or [])).agg(*[F.avg(m).alias(m) for m in HIGHER_IS_BETTER])
+
+
+def best_by_metric(df: DataFrame, run: str, metrics: Sequence[str]) -> DataFrame:
+    """The run with the best mean of each score, each in its own direction; ties to the
+    smallest run."""
+    means = df.groupBy(run).agg(*[F.round(F.avg(m), 6).alias(m) for m in metrics])
+    rows = means.unpivot([run], list(metrics), "metric", "mean").filter("mean is not null")
+    up = F.col("metric").isin([m for m in metrics if HIGHER_IS_BETTER[m]])
+    loss = F.when(up, -F.col("mean")).otherwise(F.col("mean"))
+    return rows.groupBy("metric", up.alias("higher_is_better")).agg(
+        F.min_by(F.struct(run, "mean"), F.struct(loss, F.col(run))).alias("_best")).select(
+        "metric", "higher_is_better", F.col(f"_best.{run}").alias("best_run"),
+        F.col("_best.mean").alias("mean"))

@@ -79,12 +79,33 @@ def flatten_metrics(df: DataFrame, results: str) -> DataFrame:
         *others, "task", key.alias("metric"), "value")
 
 
+def evaluation_facts(metrics: DataFrame, run: str, seconds: DataFrame | None = None) -> DataFrame:
+    """What an evaluation tells of itself besides its scores, one row per run.
+
+    ``metrics`` are rows of :func:`flatten_metrics` with a run; ``seconds`` is
+    (run, duration).  Counted are the tasks; custom data ran if one of them is
+    the hold-out task, whose rows are then not a benchmark task.
+    """
+    custom = F.coalesce(F.max(F.col("task") == HOLDOUT_TASK), F.lit(False))
+    names = F.array_sort(F.collect_set(F.when(F.col("task") != HOLDOUT_TASK, F.col("task"))))
+    facts = metrics.groupBy(run).agg(
+        F.count_distinct("task").alias("tasks_count"), custom.cast("int").alias("custom_eval_enabled"),
+        F.array_join(names, ",").alias("benchmark_tasks"))
+    if seconds is None:
+        return facts
+    return facts.join(seconds.select(run, F.round("duration", 2).alias("duration_seconds")), run,
+                      "left")
+
+
 def merge_run_metadata(training: DataFrame, evaluation: DataFrame, run: str,
-                       extra: dict[str, str] | None = None) -> DataFrame:
+                       extra: dict[str, str] | None = None,
+                       facts: DataFrame | None = None) -> DataFrame:
     """One record per run: prefixed training and evaluation metrics as text.
 
     Inputs are (run, metric, value) rows; ``extra`` adds entries such as the
     base model or pipeline name to every run, also to one without other entries.
+    ``facts`` has a row per run whose other columns, where not null, become
+    evaluation entries of that run.
     """
     def side(df: DataFrame, prefix: str) -> DataFrame:
         return df.filter(~F.col("metric").isin(*SKIPPED_KEYS)).select(
@@ -92,9 +113,16 @@ def merge_run_metadata(training: DataFrame, evaluation: DataFrame, run: str,
             F.col("value").cast("string").alias("value"))
 
     merged = side(training, "training_").unionByName(side(evaluation, "eval_"))
+    runs = training.select(run).union(evaluation.select(run))
+    if facts is not None:
+        entries = [c for c in facts.columns if c != run]
+        merged = merged.unionByName(side(facts.select(run, *[
+            F.col(c).cast("string").alias(c) for c in entries]).unpivot(
+            [run], entries, "metric", "value").filter("value is not null"), "eval_"))
+        runs = runs.union(facts.select(run))
     if extra:
         added = F.explode(F.create_map(*[F.lit(x) for pair in extra.items() for x in pair]))
-        runs = training.select(run).union(evaluation.select(run)).distinct()
+        runs = runs.distinct()
         merged = merged.unionByName(runs.select(run, added.alias("key", "value")))
     return merged
 

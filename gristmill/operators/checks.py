@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators.ranking import global_rank
+
 # Accepted names, limits and thresholds.
 CHAT_ROLES = ("system", "user", "assistant", "function", "tool")
 TASKS = ("binary", "multiclass", "regression")
@@ -137,3 +139,12 @@ def freshness_report(df: DataFrame) -> DataFrame:
     place = F.when(F.col("category") == "stale", 0).when(F.col("category") == "warning", 1
                                                          ).otherwise(2)
     return df.orderBy(place, F.desc("age_days"))
+
+
+def freshness_listing(df: DataFrame, key: str) -> DataFrame:
+    """The report order as a column ``place``, for tables that one sort cannot hold."""
+    group = F.when(F.col("category") == "stale", 0).when(F.col("category") == "warning", 1
+                                                         ).otherwise(2)
+    ordered = df.select(key, "age_days", "category", group.alias("_group"),
+                        (-F.col("age_days")).alias("_old"))
+    return global_rank(ordered, ["_group", "_old", key], out="place").drop("_group", "_old")

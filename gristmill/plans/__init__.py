@@ -5,7 +5,7 @@ from importlib import import_module
 from gristmill.plans.registry import ORACLES, QUERIES
 
 _MODULES = ("sampling_queries", "text_queries", "retrieval_queries", "sweep_queries",
-            "tabular_queries", "flow_queries", "edge_queries")
+            "tabular_queries", "flow_queries", "edge_queries", "file_queries")
 
 
 def _load() -> None:

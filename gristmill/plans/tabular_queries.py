@@ -362,12 +362,17 @@ select p_brand as model, metric, value from (
          unnest([count(*)::double, round(avg(p_size), 4)]) as value from part group by 1)
 """)
 def load_model_metrics(table):
-    """Metric files written per model, read back as long rows."""
+    """A metric file for each model, found below a folder and read as long rows."""
     sums = table("part").groupBy("p_brand").agg(F.count("*").alias("parts"),
                                                 F.round(F.avg("p_size"), 4).alias("mean_size"))
     text = sums.select(F.col("p_brand").alias("model"), F.to_json(F.struct(
         "parts", "mean_size", F.lit("none").alias("note"))).alias("metrics"))
-    return boards.metrics_long(text, "model", "metrics")
+    spark, path = text.sparkSession, scratch_path(text.sparkSession, "models")
+    text.repartition("model").withColumn("_model", F.col("model")).drop("model").write.partitionBy(
+        "_model").text(path)
+    files = readers.load_model_metrics(spark, path, "part-*").withColumn(
+        "model", F.url_decode(F.regexp_replace("model", "^_model=", "")))
+    return boards.metrics_long(files, "model", "metrics")
 
 
 @query()

@@ -100,16 +100,18 @@ def load_benchmark(spark: SparkSession, path: str) -> DataFrame:
 
 def _json_files(spark: SparkSession, pattern: str, depth: int, name: str, out: str) -> DataFrame:
     """Whole files with the name of the folder ``depth`` levels above each."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    # Paths come as URIs; a plus sign in a name is no space.
+    parts = F.split(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")), "/")
     return spark.read.text(pattern, wholetext=True).select(
-        F.element_at(parts, -1 - depth).alias(name), F.col("value").alias(out))
+        F.url_decode(F.element_at(parts, -1 - depth)).alias(name), F.col("value").alias(out))
 
 
-def load_patterns(spark: SparkSession, root: str) -> DataFrame:
+def load_patterns(spark: SparkSession, root: str, file: str = "pattern.json") -> DataFrame:
     """(directory, pattern JSON) of every sub-directory that has a pattern file."""
-    return _json_files(spark, f"{root}/*/pattern.json", 1, "directory", "pattern")
+    return _json_files(spark, f"{root}/*/{file}", 1, "directory", "pattern")
 
 
-def load_model_metrics(spark: SparkSession, root: str) -> DataFrame:
+def load_model_metrics(spark: SparkSession, root: str,
+                       file: str = "metrics/metrics.json") -> DataFrame:
     """(model, metrics JSON) of every model below ``root``."""
-    return _json_files(spark, f"{root}/*/metrics/metrics.json", 2, "model", "metrics")
+    return _json_files(spark, f"{root}/*/{file}", 1 + file.count("/"), "model", "metrics")

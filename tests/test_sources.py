@@ -203,6 +203,10 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run().count() == 2 * n
     steps = indexing.index_progress(spark, index, "c").orderBy("batch").collect()
     assert sum(r["chunks"] for r in steps) == 2 * n and len(steps) == 3
+    # The third run had a new file; what it kept goes on from the runs before it.
+    assert [r["documents_so_far"] for r in steps][-1] == 18
+    assert [r["chunks_so_far"] for r in steps] == [
+        sum(r["chunks"] for r in steps[:i + 1]) for i in range(3)]
     # A second source with its own progress adds to the collection, as a plain append does.
     other = str(tmp_path / "other")
     docs.withColumn("doc_id", docs["doc_id"] + 900).coalesce(1).write.parquet(other)
@@ -211,3 +215,26 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert retrieval.read_index(spark, index, "c").count() == 3 * n
     retrieval.append_index(retrieval.read_index(spark, index, "c").limit(5), index, "c")
     assert retrieval.read_index(spark, index, "c").count() == 3 * n + 5
+
+
+def test_replayed_batch_keeps_its_totals(spark, tmp_path):
+    """A batch that fails after its rows were written, and is done again on restart."""
+    source, index, progress = (str(tmp_path / n) for n in ("in", "index", "progress"))
+    docs = spark.createDataFrame([(i, "word " * 30) for i in range(8)], "doc_id long, text string")
+    docs.repartition(4).write.parquet(source)
+
+    def run():
+        stream = indexing.document_stream(spark, source, "doc_id long, text string", batch_files=1)
+        indexing.run_index(stream, index, progress, "c", size=60, dim=16)
+
+    run()
+    before = sorted(map(tuple, indexing.index_progress(spark, index, "c").collect()))
+    assert [r[1] for r in before] == [0, 1, 2, 3] and before[-1][4:] == (8, 24)
+    # Forget that the last batch was done: the stream does it again.
+    last = max((tmp_path / "progress" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    for check in (tmp_path / "progress" / "commits").glob(f".{last.name}.crc"):
+        check.unlink()
+    run()
+    assert sorted(map(tuple, indexing.index_progress(spark, index, "c").collect())) == before
+    assert spark.read.parquet(index).count() == 24
