@@ -46,14 +46,26 @@ DENSE_SHARE = 16              # a word in more than 1 of so many cells is scored
 SCORE_DIGITS = 6              # scores are compared and returned at this precision
 
 
+def _hashed(df: DataFrame, text: str, dim: int) -> DataFrame:
+    """Word counts by hash, as a sparse vector of unit length in ``_unit``."""
+    counted = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_counts").transform(
+        df.withColumn("_words", words(F.coalesce(F.col(text), F.lit("")))))
+    return Normalizer(inputCol="_counts", outputCol="_unit").transform(counted).drop(
+        "_words", "_counts")
+
+
 def embed(df: DataFrame, text: str = "text", out: str = "embedding",
           dim: int = DIMENSION) -> DataFrame:
     """Hashed word counts of unit length: no shuffle, no vocabulary to collect."""
-    counted = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_counts").transform(
-        df.withColumn("_words", words(F.coalesce(F.col(text), F.lit("")))))
-    unit = Normalizer(inputCol="_counts", outputCol="_unit").transform(counted)
-    return unit.withColumn(out, vector_to_array("_unit", "float32")).drop(
-        "_words", "_counts", "_unit")
+    return _hashed(df, text, dim).withColumn(out, vector_to_array("_unit", "float32")).drop("_unit")
+
+
+def embed_sparse(df: DataFrame, text: str = "text", dim: int = DIMENSION) -> DataFrame:
+    """The same as ``places`` and ``weights`` that are not zero, for any width."""
+    parts = F.from_json(F.to_json(F.struct(F.col("_unit").alias("v"))),
+                        "v struct<indices: array<int>, values: array<double>>")
+    return _hashed(df, text, dim).withColumn("_parts", parts["v"]).withColumns({
+        "places": F.col("_parts.indices"), "weights": F.col("_parts.values")}).drop("_unit", "_parts")
 
 
 class _Best:

@@ -57,16 +57,25 @@ def search_label_precision(table):
 
 
 @query(r"""
-select doc_id, 768 as dimension,
-       case when len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) > 0
-            then 1.0 else 0.0 end::double as length
-from documents
+with w as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'),
+                                             lambda w: w <> '')) as word from documents),
+c as (select doc_id, word, count(*) as n from w group by all),
+p as (select doc_id, count(*) as words, max(n) as top, sum(n * n) as square from c group by 1)
+select d.doc_id, 768 as dimension, case when words > 0 then 1.0 else 0.0 end::double as length,
+       coalesce(words, 0)::bigint as words, round(coalesce(top / sqrt(square), 0), 4) as largest
+from documents d left join p on p.doc_id = d.doc_id
 """)
 def embed_documents(table):
-    vectors = retrieval.embed(spread(table("documents").select("doc_id", "text")))
+    """Width and length, and in a width without shared places: words and the largest share."""
+    docs = spread(table("documents").select("doc_id", "text"))
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    return vectors.select("doc_id", F.size("embedding").alias("dimension"),
-                          F.round(F.sqrt(norm), 4).alias("length"))
+    base = retrieval.embed(docs).select("doc_id", F.size("embedding").alias("dimension"),
+                                        F.round(F.sqrt(norm), 4).alias("length"))
+    # So wide that different words of a text hardly share a place: counts become visible.
+    wide = retrieval.embed_sparse(docs, dim=1 << 28)
+    held = wide.select("doc_id", F.size("places").cast("long").alias("words"), F.round(
+        F.coalesce(F.array_max("weights"), F.lit(0.0)), 4).alias("largest"))
+    return base.join(held, "doc_id")
 
 
 @query()

@@ -404,20 +404,22 @@ def pattern_results(table):
 
 @query(f"""
 with {bm25_sql(f"select 0 as g, doc_id, {WORDS.format('text')} as x from documents", "doc_id")}
-select b.item_id, length(b.text) + sum(length(d.text))::bigint + 2
-       + length(chr(10) || chr(10) || 'Context:' || chr(10) || ':' || chr(10) || chr(10)
-                || 'Question: . ' || chr(10) || 'Again, please answer the question based on the '
-                || 'context provided only. If the context is not related to the question, just '
-                || 'say you cannot answer. Respond exclusively in the language of the question.')
-       as n_chars
+select b.item_id, chr(10) || chr(10) || 'Context:' || chr(10)
+       || string_agg('[' || d.text || ']', chr(10) order by rank) || ':' || chr(10) || chr(10)
+       || 'Question: ' || b.text || '. ' || chr(10)
+       || 'Again, please answer the question based on the context provided only. If the context is '
+       || 'not related to the question, just say you cannot answer. Respond exclusively in the '
+       || 'language of the question.' as user_prompt,
+       'Please answer the question I provide in the Question section below, based solely on the '
+       || 'information I provide in the Context section. If unanswerable, say so.' as system_prompt
 from benchmark b join hits h on h.item_id = b.item_id and rank <= 3
 join documents d on d.doc_id = h.doc_id group by b.item_id, b.text
 """)
 def build_prompts(table):
+    """Whole prompts: three contexts in rank order, each in brackets."""
     docs = _documents(table)
     asked = table("benchmark")
     hits = retrieval.bm25(asked, docs, 3, "item_id").join(docs, "doc_id").withColumn(
         "relevant", F.lit(False))
     contexts = evaluation.gather_contexts(hits, ["item_id"], "doc_id", "text")
-    prompts = evaluation.build_prompts(asked, contexts, "item_id", "text")
-    return prompts.select("item_id", F.length("user_prompt").cast("long").alias("n_chars"))
+    return evaluation.build_prompts(asked, contexts, "item_id", "text", "[{document}]")

@@ -78,14 +78,31 @@ def chat_validated(table):
                     F.count_distinct("conv_id").alias("items"))
 
 
-@query("""
-select conv_id, turn,
-       case when strpos(t, '<|im_end|>') > 0 then substr(t, 1, strpos(t, '<|im_end|>') - 1)
-            else t end as answer
-from (select conv_id, turn, replace(text, '. ', '<|im_end|>') as t from conversations)
-""")
+# Six stop strings as the tables' own words meet them: each replaces another mark, and the
+# earliest of them ends the answer.
+STOPS = (("a", "<|im_end|>"), ("e", "<|endoftext|>"), ("i", "</s>"), ("o", "<|end|>"),
+         ("u", "\n\nUser:"), ("r", "\n\nHuman:"))
+
+
+def _stop_sql() -> str:
+    value = "text"
+    for letter, stop in STOPS:
+        shown = stop.replace("\n", "' || chr(10) || '")
+        value = f"replace({value}, '{letter}. ', '{shown}')"
+    places = ", ".join("nullif(strpos(t, '{}'), 0)".format(stop.replace("\n", "' || chr(10) || '"))
+                       for _, stop in STOPS)
+    return f"""
+select conv_id, turn, case when place is null then t else substr(t, 1, place - 1) end as answer
+from (select *, least({places}) as place from (select conv_id, turn, {value} as t from conversations))
+"""
+
+
+@query(_stop_sql())
 def truncate_at_stop(table):
-    marked = F.replace(F.col("text"), F.lit(". "), F.lit("<|im_end|>"))
+    """Sentence ends turned into the six stop strings, by the letter before."""
+    marked = F.col("text")
+    for letter, stop in STOPS:
+        marked = F.replace(marked, F.lit(f"{letter}. "), F.lit(stop))
     return table("conversations").select(
         "conv_id", "turn", text.truncate_at_stop(marked).alias("answer"))
 
@@ -334,12 +351,15 @@ def text_scores(table):
 
 
 @query(f"""
-with {WORD_SCORES}
+with {WORD_SCORES}, grams as ({GRAM_SCORES.replace(", 6)::double", ", 12)::double").replace(
+    "             6)::double", "             12)::double")})
 select round(avg(exact_match), 6) as exact_match, round(avg(contains_match), 6) as contains_match,
-       round(avg(f1_overlap), 6) as f1_overlap, round(avg(perplexity), 6) as perplexity,
-       round(avg(loss), 6) as loss from word_scores
+       round(avg(bleu), 6) as bleu, round(avg(rouge1), 6) as rouge1, round(avg(rouge2), 6) as rouge2,
+       round(avg("rougeL"), 6) as "rougeL", round(avg(f1_overlap), 6) as f1_overlap,
+       round(avg(perplexity), 6) as perplexity, round(avg(loss), 6) as loss
+from word_scores join grams using (conv_id)
 """)
 def score_summary(table):
-    summary = scores.score_summary(scores.score_text(_pairs(table)))
-    return summary.select(*[F.round(m, 6).alias(m) for m in (
-        "exact_match", "contains_match", "f1_overlap", "perplexity", "loss")])
+    """All nine means; words are compared as they are, which SQL can repeat."""
+    summary = scores.score_summary(scores.score_text(_pairs(table), stemmed=False))
+    return summary.select(*[F.round(m, 6).alias(m) for m in scores.HIGHER_IS_BETTER])
