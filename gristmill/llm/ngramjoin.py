@@ -18,6 +18,7 @@ the surviving pairs are verified on the sets themselves.  All steps are exact
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -268,12 +269,14 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def tree_links(ids: np.ndarray, sets: list[np.ndarray], percent: int,
-               side: np.ndarray | None = None) -> list[tuple[int, int]]:
+               side: np.ndarray | None = None,
+               visitor: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that span the components among the sets.
 
     A pair already connected through others adds nothing and is not verified,
     so a group of copies costs about one verification per member.  With
-    ``side``, only pairs of different sides are looked at.
+    ``side``, only pairs of different sides are looked at, with ``visitor`` no
+    pairs of two visitors.
     """
     tree, parent, links = CountTree(count_vectors(sets)), list(range(len(sets))), []
 
@@ -288,41 +291,60 @@ def tree_links(ids: np.ndarray, sets: list[np.ndarray], percent: int,
         for other in found[found < q]:
             if side is not None and side[other] == side[q]:
                 continue
+            if visitor is not None and visitor[other] and visitor[q]:
+                continue
             if root(q) != root(other) and linked(sets[q], sets[other], percent):
                 parent[root(q)] = root(other)
                 links.append((int(ids[q]), int(ids[other])))
     return links
 
 
-def family_links(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """``family, doc_id, n, text`` -> links ``a, b`` that span the families' components.
+def family_cells(members: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, family, n`` -> cells of documents that may link: ``family, level, x, y``.
 
-    A family whose sets exceed ``FAMILY_SHINGLES`` is cut into blocks by hash,
-    and one task handles each pair of blocks, so no task holds a whole family.
+    Sizes of linked sets are at most a factor 100 / percent apart, so their levels
+    (logarithms to that base) differ by one at most.  A cell holds the documents
+    of its level and, as visitors, those of the next; without a pair to look at
+    there is no cell.  A cell whose sets exceed ``FAMILY_SHINGLES`` is cut into
+    blocks by hash, and one task handles each pair of blocks.
     """
-    sizes = members.groupBy("family").agg(F.ceil(
-        F.sum("n") / F.lit(FAMILY_SHINGLES / 2)).cast("int").alias("blocks"))
-    sizes = sizes.withColumn("blocks", F.when(F.col("blocks") > 2, F.col("blocks")).otherwise(1))
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = members.join(sizes, "family").withColumn("own", own).withColumn(
+    # A little less than the logarithm, so rounding never parts levels by two.
+    level = F.col("n") if percent == 100 else F.floor(
+        F.log(F.col("n").cast("double")) / math.log(100 / percent) * (1 - 1e-9))
+    cells = members.withColumn("level", level.cast("long")).select(
+        "doc_id", "family", "n", F.explode(F.array(
+            F.struct(F.col("level"), F.lit(False).alias("visitor")),
+            F.struct((F.col("level") - 1).alias("level"), F.lit(True).alias("visitor")))).alias("c"))
+    cells = cells.select("doc_id", "family", "n", "c.level", "c.visitor")
+    blocks = F.ceil(F.sum("n") / F.lit(FAMILY_SHINGLES / 2)).cast("int")
+    sizes = cells.groupBy("family", "level").agg(
+        F.when(blocks > 2, blocks).otherwise(1).alias("blocks"), F.count("*").alias("all"),
+        F.count_if(~F.col("visitor")).alias("own")).filter("own > 0 and all > 1")
+    dealt = cells.join(sizes.drop("all", "own"), ["family", "level"]).withColumn(
+        "own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("family", F.least("own", "other").alias("x"),
-                         F.greatest("own", "other").alias("y"), "own", "doc_id", "text")
+    return dealt.select("doc_id", "family", "level", F.least("own", "other").alias("x"),
+                        F.greatest("own", "other").alias("y"), "own", "visitor")
+
 
+def family_links(dealt: DataFrame, width: int, percent: int) -> DataFrame:
+    """Cells with texts -> links ``a, b`` that span the components inside each family."""
     def link(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids = table.column("doc_id").to_numpy()
-        own = table.column("own").to_numpy()
+        ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
+        visitor = table.column("visitor").to_numpy(zero_copy_only=False)
         crossing = table.column("x")[0].as_py() != table.column("y")[0].as_py()
         texts = [t.lower() for t in byte_texts(table.column("text"))]
         sets = []
         for start, end in chunks(texts):
             sets += text_sets(texts[start:end], width)
-        found = tree_links(ids, sets, percent, own if crossing else None)
+        found = tree_links(ids, sets, percent, own if crossing else None, visitor)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    return dealt.groupBy("family", "x", "y").applyInArrow(link, "a long, b long")
+    # By the whole cell: a partitioning by family alone would keep its blocks in one task.
+    return dealt.repartition(shuffle_width(dealt.sparkSession), "family", "level", "x", "y").groupBy(
+        "family", "level", "x", "y").applyInArrow(link, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3,
@@ -359,9 +381,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
     heads = classes.select(F.col("class_id").alias("doc_id"), "n").dropDuplicates(["doc_id"])
     wanted = cut_lineage(families.withColumnRenamed("id", "doc_id").join(heads, "doc_id"))
-    nearly = mark_likely(texts, wanted, "doc_id").filter("_likely").drop("_likely")
-    members = wanted.join(nearly, "doc_id").dropDuplicates(["doc_id"])
-    found = components(family_links(members, width, percent))
+    cells = cut_lineage(family_cells(wanted, percent))
+    nearly = mark_likely(texts, cells, "doc_id").filter("_likely").drop("_likely")
+    found = components(family_links(
+        cells.join(nearly.dropDuplicates(["doc_id"]), "doc_id"), width, percent))
     rows = points.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left")
     return rows.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
