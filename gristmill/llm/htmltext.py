@@ -18,6 +18,7 @@ import html
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ TRAIN_CHARS = 200_000     # longer pages are not sampled
 PATH_ROWS, PATH_SIZE = 2048, 16
 WORD_ROWS, WORD_SIZE = 1024, 8
 INNER = 12                # innermost path tokens, which also have a plain mean
+WHOLE = 256               # tokens of a path that is kept as it is
 WORD_CHARS = 1 << 14      # of a block that are split into words at a time
 FIGURES = 4
 NOISE = "\0"              # begins names that stand for any unknown name in training
@@ -40,14 +42,15 @@ HIDDEN = 16
 EPOCHS, STEPS = 10, 250   # passes over the sample, and batches seen at least
 GROUP = 32                # pages in one numpy batch
 STEP_CELLS = 20_000       # padded blocks in one numpy batch when labelling
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|template|textarea|title)(?=[\s/>])"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|[^<]+|<", re.S | re.I)
+READ_STEPS = 1 << 12      # steps whose inputs are multiplied at once
+
+RAW = re.compile(r"<(script|style|template|textarea|title)(?=[\s/>])", re.I)
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I)
+           for name in ("script", "style", "template", "textarea", "title")}
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# Text, or a tag that ends before another begins; no part of it is tried twice.
+PLAIN = re.compile(r"[^<]++|<(/?)([a-zA-Z][^\s/<>\"']*+)(?=[\s/>])"
+                   r"((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr img".split())
@@ -63,6 +66,133 @@ FURNITURE = frozenset("nav header footer aside form head ad ads advert advertise
 MAIN = frozenset("article main content post entry story".split())
 
 
+class _TagEnds:
+    """Where the tag that begins at a place ends: at the first ``>`` outside quotes.
+
+    Found for all places at once from the end of the page, so open quotes cost
+    nothing more: a quote leads to what follows the next one like it.
+    """
+
+    def __init__(self, page: str):
+        self.places = [m.start() for m in re.finditer("[>\"']", page)]
+        self.ends, following = [0] * len(self.places), {}
+        for k in range(len(self.places) - 1, -1, -1):
+            mark = page[self.places[k]]
+            if mark == ">":
+                self.ends[k] = self.places[k]
+                continue
+            other, following[mark] = following.get(mark), k
+            if other is None:
+                self.ends[k] = -1       # a quote that never closes
+            else:
+                self.ends[k] = self.ends[other + 1] if other + 1 < len(self.places) else len(page)
+        self.size = len(page)
+
+    def after(self, place: int) -> int:
+        """Place of the ``>``, the page's length without one, -1 for a quote left open."""
+        k = bisect_left(self.places, place)
+        return self.ends[k] if k < len(self.places) else self.size
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """``(kind, name, attributes, text)``: ``text``, ``open`` and ``close`` tags, in order.
+
+    Comments, declarations and raw elements are passed over.  A ``<`` that begins
+    no tag, or one whose quotes are left open, is text.  Linear in the page.
+    """
+    ends, at = None, 0
+    while at < len(page):
+        if plain := PLAIN.match(page, at):
+            closes, name, attributes = plain.groups()
+            at = plain.end()
+            if name is None:
+                yield "text", "", "", plain[0]
+                continue
+            name = name.lower()
+            if name not in RAW_END or closes or attributes.endswith("/"):
+                yield ("close" if closes else "open"), name, attributes, ""
+                continue
+            found = RAW_END[name].search(page, at)
+            at = found.end() if found else len(page)
+            continue
+        closing = next((end for begin, end in (("<!--", "-->"), ("<![CDATA[", "]]>"))
+                        if page[at:at + len(begin)].upper() == begin), None)
+        if closing is None and page[at + 1:at + 2] in ("!", "?") and at + 1 < len(page):
+            closing = ">"
+        if closing:
+            found = page.find(closing, at + (4 if closing == "-->" else 2))
+            at = len(page) if found < 0 else found + len(closing)
+            continue
+        tag, ends = TAG.match(page, at), ends or _TagEnds(page)
+        end = ends.after(tag.end()) if tag else -1
+        if end < 0:
+            yield "text", "", "", "<"
+            at += 1
+            continue
+        raw = RAW.match(page, at)
+        if raw and end < len(page) and page[end - 1] != "/":
+            found = RAW_END[raw[1].lower()].search(page, end + 1)
+            at = found.end() if found else len(page)
+            continue
+        yield ("close" if tag[1] else "open"), tag[2].lower(), page[tag.end():end], ""
+        at = end + 1
+
+
+class _Path:
+    """Open elements of a page, innermost last."""
+
+    def __init__(self):
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.size = 0                                   # tokens of the whole path
+        self.at: dict[str, list[int]] = {}              # places of each tag's open elements
+        self.held: dict = {}                            # places of each row's tokens
+        self.rows: dict[str, str | int] = {}
+
+    def _row(self, token: str):
+        """Tokens that a block's input tells apart; names with a meaning stay by themselves."""
+        found = self.rows.get(token)
+        if found is None:
+            found = self.rows[token] = token if token in FURNITURE or token in MAIN else (
+                zlib.crc32(token.encode()) % PATH_ROWS)
+        return found
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.at.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, names))
+        for token in (tag, *names):
+            self.held.setdefault(self._row(token), []).append((self.size, token))
+            self.size += 1
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost of these tags, -1 if none is open."""
+        return max((self.at[tag][-1] for tag in tags if self.at.get(tag)), default=-1)
+
+    def cut(self, place: int) -> None:
+        while len(self.open) > place:
+            tag, names = self.open.pop()
+            self.at[tag].pop()
+            for token in (*reversed(names), tag):
+                row = self._row(token)
+                self.held[row].pop()
+                if not self.held[row]:
+                    del self.held[row]
+                self.size -= 1
+
+    def tokens(self) -> tuple[str, ...]:
+        """The whole path; of a very deep one the last token of each row, in order, and then
+        the ``INNER`` innermost: what reads a path takes the set of its tokens, that of its
+        innermost ones, and the last with a meaning."""
+        if self.size <= WHOLE:
+            return tuple(t for tag, names in self.open for t in (tag, *names))
+        inner: list[str] = []
+        for tag, names in reversed(self.open):
+            if len(inner) >= INNER:
+                break
+            inner[:0] = (tag, *names)
+        return (*(places[-1][1] for places in sorted(
+            self.held.values(), key=lambda places: places[-1][0])), *inner[-INNER:])
+
+
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, float]]:
     """``(path, text, share of linked characters)`` of every leaf block, in order.
 
@@ -70,11 +200,10 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, float]]:
     tags don't part a block.  A button or a selection ends at the next part of
     the page at the latest.  Character references are decoded, white
     space becomes one space.  Unclosed and stray tags are borne; a page that
-    breaks off ends its last block there.
+    breaks off ends its last block there.  Time and memory are linear in the
+    page: a path has a bounded number of tokens.
     """
-    path: list[tuple[str, tuple[str, ...]]] = []
-    parts: list[str] = []
-    linked = 0
+    path, parts, linked = _Path(), [], 0
 
     def flush():
         nonlocal linked
@@ -83,46 +212,37 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, float]]:
         parts.clear()
         linked = 0
         if text:
-            yield tuple(t for tag, names in path for t in (tag, *names)), text, min(1.0, share)
+            yield path.tokens(), text, min(1.0, share)
 
-    for token in _TOKEN.finditer(page):
-        tag = token[3]
-        if tag is None:
-            text = token[0]
-            if token[1] or text[:4] == "<!--" or text[:2] in ("<!", "<?"):
-                continue
-            if path and any(t == "a" for t, _ in path[-3:]):
+    for kind, tag, attributes, text in tokens(page):
+        if kind == "text":
+            if any(t == "a" for t, _ in path.open[-3:]):
                 linked += len(text)
             parts.append(text)
             continue
-        tag = tag.lower()
         if tag == "br":
             parts.append(" ")
             continue
-        if token[2]:
-            at = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == tag), None)
+        if kind == "close":
             if tag not in INLINE:
                 yield from flush()
-            if at is not None:
-                del path[at:]
+            if (place := path.last(tag)) >= 0:
+                path.cut(place)
             continue
-        if tag not in INLINE and not (tag in EMBEDDED and token[4].endswith("/")):
+        if tag not in INLINE and not (tag in EMBEDDED and attributes.endswith("/")):
             yield from flush()
         if tag in ENDS_P:
             for open_tag in ("p", "button", "select"):
-                at = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == open_tag), None)
-                if at is not None:
-                    del path[at:]
+                if (place := path.last(open_tag)) >= 0:
+                    path.cut(place)
         elif tag in ("li", "td", "th", "tr", "dd", "dt", "option"):
-            at = next((i for i in range(len(path) - 1, -1, -1)
-                       if path[i][0] in (tag, "ul", "ol", "table", "dl")), None)
-            if at is not None and path[at][0] == tag:
-                del path[at:]
-        if tag in VOID or token[4].endswith("/") and tag not in ("p", "div", "a"):
+            place = path.last(tag, "ul", "ol", "table", "dl")
+            if place >= 0 and path.open[place][0] == tag:
+                path.cut(place)
+        if tag in VOID or attributes.endswith("/") and tag not in ("p", "div", "a"):
             continue
-        names = tuple(part.lower() for found in _NAMED.findall(token[4])
-                      for part in re.split(r"[\s_-]+", "".join(found)) if part)
-        path.append((tag, names))
+        path.push(tag, tuple(part.lower() for found in _NAMED.findall(attributes)
+                             for part in re.split(r"[\s_-]+", "".join(found)) if part))
     yield from flush()
 
 
@@ -234,37 +354,43 @@ class BlockLabeller:
             np.add.reduceat(self.p["word"][batch.word] * batch.word_w, batch.word_at),
             batch.figures], 1)
 
-    def _read(self, x: np.ndarray, mask: np.ndarray, way: str):
+    def _read(self, x: np.ndarray, mask: np.ndarray, way: str, learn: bool):
         steps, pages, _ = x.shape
         order = range(steps) if way == "f" else range(steps - 1, -1, -1)
-        given = x @ self.p["x" + way] + self.p["c" + way]
+        parts: dict[int, np.ndarray] = {}       # one stretch of steps at a time
         h, c = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN))
         out, trace = np.zeros((steps, pages, HIDDEN)), {}
         for t in order:
-            z = given[t] + h @ self.p["h" + way]
+            part, at = divmod(t, READ_STEPS)
+            if part not in parts:
+                parts = {part: x[part * READ_STEPS:(part + 1) * READ_STEPS] @ self.p["x" + way]
+                         + self.p["c" + way]}
+            z = parts[part][at] + h @ self.p["h" + way]
             i, f, o = (_sigmoid(z[:, k * HIDDEN:(k + 1) * HIDDEN]) for k in range(3))
             g = np.tanh(z[:, 3 * HIDDEN:])
             new = f * c + i * g
             tanh = np.tanh(new)
-            trace[t] = (h, c, i, f, o, g, tanh)
+            if learn:
+                trace[t] = (h, c, i, f, o, g, tanh)
             m = mask[t]     # padding keeps the state
             h, c = m * o * tanh + (1 - m) * h, m * new + (1 - m) * c
             out[t] = h
         return out, trace
 
-    def forward(self, batch: Inputs):
+    def forward(self, batch: Inputs, learn: bool = False):
         flat = self._embed(batch)
         x = np.zeros((*batch.mask.shape[:2], flat.shape[1]))
         x[batch.step, batch.page] = flat
-        ahead, trace_f = self._read(x, batch.mask, "f")
-        back, trace_b = self._read(x, batch.mask, "b")
+        del flat
+        ahead, trace_f = self._read(x, batch.mask, "f", learn)
+        back, trace_b = self._read(x, batch.mask, "b", learn)
         joined = np.concatenate([ahead, back, x], 2)[batch.step, batch.page]
         return _sigmoid(joined @ self.p["out"] + self.p["bias"])[:, 0], (
             x, joined, trace_f, trace_b)
 
     def gradients(self, batch: Inputs, labels: np.ndarray) -> tuple[float, dict]:
         """Mean cross-entropy and its gradients, back through both readings."""
-        found, (x, joined, *traces) = self.forward(batch)
+        found, (x, joined, *traces) = self.forward(batch, learn=True)
         n = len(labels)
         loss = -np.mean(np.log(np.where(labels > 0, found, 1 - found) + 1e-12))
         top = ((found - labels) / n)[:, None]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -247,6 +248,39 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <p>Third &am</article><div class="comments"><p>Nice!</p></div><footer>&copy; F</footer>"""
 
 
+def test_tags_end_outside_quotes():
+    def texts(page):
+        return [x for _, x, _ in htmltext.blocks(page)]
+
+    assert texts('<div data-x="<p>no</p>">yes</div>') == ["yes"]
+    assert texts("<p title='a > b'>one<p title=\"it's\">two") == ["one", "two"]
+    # A quote left open, and one that closes only behind other tags.
+    assert texts('a <b x="y>c') == ['a <b x="y>c']
+    assert texts('<p x="1>no</p><p y="2>one') == ["one"]
+    assert texts('<script src="x"/>one<script>no<p>no</SCRIPT >two<title>no') == ["onetwo"]
+    assert texts("one<!-- <p>no -->two<![CDATA[no]]>three<!doctype no>") == ["onetwothree"]
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 330_000, '<a title="x ' * 150_001, '<p "' * 300_001, "<div>x" * 150_000 + "</div>y" * 150_000,
+    "<li>x<p>" * 250_000, "".join(f'<div class="n{i}">x' for i in range(20_000))])
+def test_hostile_pages_take_linear_time_and_memory(page):
+    start = time.perf_counter()
+    found = list(htmltext.blocks(page))
+    assert time.perf_counter() - start < 40         # 2 to 5 s on an idle machine
+    most = max((len(path) for path, _, _ in found), default=0)
+    assert most <= htmltext.PATH_ROWS + htmltext.INNER + len(htmltext.FURNITURE | htmltext.MAIN)
+
+
+def test_deep_paths_keep_what_their_readers_take():
+    deep = "<article class='story'>" + "<div class='row'>" * 300 + "<p>inside"
+    path = [p for p, t, _ in htmltext.blocks(deep) if t == "inside"][0]
+    assert set(path) == {"article", "story", "div", "row", "p"} and len(path) < 20
+    assert path[-htmltext.INNER:] == ("row", *("div", "row") * 5, "p") and htmltext.weak_label(path)
+    assert not htmltext.weak_label([p for p, t, _ in htmltext.blocks(
+        deep.replace("<p>", "<nav>")) if t == "inside"][0])
+
+
 def test_blocks():
     found = [(p[-1], t) for p, t, _ in htmltext.blocks(PAGE)]
     assert [t for _, t in found] == ["Home", "Buy", "Head&line", "First bold.", "Second abc <x> éé",
