@@ -33,6 +33,7 @@ STEM_ABOVE = 3                    # shorter words are not stemmed
 
 VECTOR_WORDS = 1024               # tokens of a text whose bits fit the common steps of a batch
 MASK_CELLS = 1 << 22
+BATCH_CHARS = 1 << 20             # characters of all texts that are scored together
 
 
 def exact_match(prediction: Column, target: Column) -> Column:
@@ -240,12 +241,26 @@ def overlap_batch(bleu: tuple[pd.Series, pd.Series], rouge: tuple[pd.Series, pd.
         "rougeL": _f1(tokens.subsequence(), left, right)})
 
 
+def overlap_parts(texts: tuple[pd.Series, ...], stemmed: bool) -> pd.DataFrame:
+    """The scores of a batch, computed for rows of about ``BATCH_CHARS`` characters at a time.
+
+    The arrays of a part take many times the bytes of its texts.
+    """
+    sizes = sum(np.fromiter((len(t) if isinstance(t, str) else 0 for t in side), np.int64,
+                            len(side)) for side in texts)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BATCH_CHARS, prepend=-1)).tolist()
+    parts = [[side.iloc[low:high] for side in texts]
+             for low, high in zip(cuts, [*cuts[1:], len(sizes)])] or [list(texts)]
+    return pd.concat([overlap_batch(tuple(p[:2]), tuple(p[2:]), stemmed) for p in parts],
+                     ignore_index=True)
+
+
 def overlap_scores(prediction: Column, target: Column, stemmed: bool = True) -> Column:
     """Struct of bleu, rouge1, rouge2 and rougeL."""
     @F.pandas_udf("bleu double, rouge1 double, rouge2 double, rougeL double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for p_bleu, t_bleu, p_rouge, t_rouge in batches:
-            yield overlap_batch((p_bleu, t_bleu), (p_rouge, t_rouge), stemmed)
+        for texts in batches:
+            yield overlap_parts(texts, stemmed)
 
     return score(bleu_tokens(prediction), bleu_tokens(target),
                  rouge_tokens(prediction), rouge_tokens(target))

@@ -313,3 +313,22 @@ def test_shape_training(spark):
         "conv_id", "turn").collect()
     assert [(r["conv_id"], r["pack"], r["in_loss"]) for r in rows] == [
         (1, 0, False), (1, 0, True), (3, 1, True)]
+
+
+def test_scores_of_a_batch_are_computed_in_parts_of_bounded_size(monkeypatch):
+    texts = [pd.Series([("ab " * (i % 9) + f"w{i % 4} cd").strip() for i in range(60)]),
+             pd.Series(["ab w1 cd " * (i % 5) for i in range(60)])] * 2
+    whole = scores.overlap_parts(tuple(texts), True)
+    sizes, one = [], scores.overlap_batch
+
+    def seen(bleu, rouge, stemmed):
+        sizes.append(sum(len(t) for side in (*bleu, *rouge) for t in side))
+        return one(bleu, rouge, stemmed)
+
+    monkeypatch.setattr(scores, "BATCH_CHARS", 200)
+    monkeypatch.setattr(scores, "overlap_batch", seen)
+    parts = scores.overlap_parts(tuple(texts), True)
+    assert len(sizes) > 10 and max(sizes) < 200 + 200
+    pd.testing.assert_frame_equal(parts, whole)
+    empty = scores.overlap_parts(tuple(t.iloc[:0] for t in texts), True)
+    assert list(empty.columns) == list(whole.columns) and not len(empty)
