@@ -11,7 +11,7 @@ from gristmill.plans.sampling_queries import _selected
 from gristmill.plans.sweep_queries import RECORDS, _records
 from gristmill.plans.tabular_queries import AGED, _aged
 from gristmill.plans.text_queries import WORD_SCORES, _pairs
-from gristmill.session import scratch_path
+from gristmill.session import scratch_path, shuffle_width
 from gristmill.sources import readers, writers
 from gristmill.streaming import indexing
 
@@ -55,7 +55,7 @@ def patterns_from_files(table):
     """A pattern file for each part, found below a folder and ranked."""
     rows = _records(table)
     spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "patterns")
-    rows.repartition(8, "p_partkey").write.partitionBy("p_partkey").text(path)
+    writers.write_folders(rows, path, "p_partkey", "pattern", shuffle_width(spark))
     files = readers.load_patterns(spark, path, "part-*").withColumn(
         "directory", F.regexp_extract("directory", r"(\d+)$", 1).cast("int"))
     read = patterns.normalize_pattern(files, keep=("directory",))

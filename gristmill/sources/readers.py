@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import glob
+import os
+import re
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.text import document_id
 from gristmill.sources.quoted import read_quoted
+from gristmill.sources.writers import local_folder
 
 # Accepted document types.
 DOCUMENT_SUFFIXES = (".pdf", ".docx", ".pptx", ".md", ".html", ".txt")
+FILES_AT_ONCE = 256           # small files, and their bytes, of one batch
+FILE_BYTES_AT_ONCE = 4 << 20
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
@@ -98,20 +106,61 @@ def load_benchmark(spark: SparkSession, path: str) -> DataFrame:
             "correct_answer_document_ids"), F.col("pos").cast("long").alias("question_id"))
 
 
-def _json_files(spark: SparkSession, pattern: str, depth: int, name: str, out: str) -> DataFrame:
-    """Whole files with the name of the folder ``depth`` levels above each."""
+def _matching(folder: str, file: str, share: int, shares: int) -> Iterator[tuple[str, str]]:
+    """``(sub-directory, path)`` of the matching files in every ``shares``-th sub-directory."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if zlib.crc32(os.fsencode(entry.name)) % shares == share and entry.is_dir():
+                for path in sorted(glob.glob(os.path.join(glob.escape(entry.path), file))):
+                    if os.path.isfile(path) and not os.path.basename(path).startswith(("_", ".")):
+                        yield entry.name, path
+
+
+def _json_files(spark: SparkSession, root: str, file: str, name: str, out: str) -> DataFrame:
+    """Whole files ``file`` of all sub-directories of ``root``, with the directory's name.
+
+    On a mounted file system each task looks through its share of the directories:
+    the driver neither lists nor holds them.
+    """
+    folder = local_folder(root)
+    if folder is not None and not re.search(r"[\[\]{}\\?*]", folder) and not re.search(
+            r"[\[\]{}\\]", file) and os.path.isdir(folder) and next(
+            _matching(folder, file, 0, 1), None):
+        shares = 4 * spark.sparkContext.defaultParallelism
+
+        def read(batches):
+            for batch in batches:
+                for share in batch.column(0).to_pylist():
+                    names, texts, size = [], [], 0
+                    for directory, path in _matching(folder, file, share, shares):
+                        with open(path, "rb") as content:
+                            texts.append(content.read())
+                        names.append(directory)
+                        size += len(texts[-1])
+                        if len(texts) >= FILES_AT_ONCE or size >= FILE_BYTES_AT_ONCE:
+                            yield rows(names, texts)
+                            names, texts, size = [], [], 0
+                    yield rows(names, texts)
+
+        def rows(names, texts):
+            return pa.RecordBatch.from_pydict({
+                name: pa.array(names, pa.string()), out: pa.array(texts, pa.binary())})
+
+        found = spark.range(0, shares, 1, shares).mapInArrow(read, f"`{name}` string, `{out}` binary")
+        return found.withColumn(out, F.col(out).cast("string"))
     # Paths come as URIs; a plus sign in a name is no space.
     parts = F.split(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")), "/")
-    return spark.read.text(pattern, wholetext=True).select(
-        F.url_decode(F.element_at(parts, -1 - depth)).alias(name), F.col("value").alias(out))
+    return spark.read.text(f"{root}/*/{file}", wholetext=True).select(
+        F.url_decode(F.element_at(parts, -2 - file.count("/"))).alias(name),
+        F.col("value").alias(out))
 
 
 def load_patterns(spark: SparkSession, root: str, file: str = "pattern.json") -> DataFrame:
     """(directory, pattern JSON) of every sub-directory that has a pattern file."""
-    return _json_files(spark, f"{root}/*/{file}", 1, "directory", "pattern")
+    return _json_files(spark, root, file, "directory", "pattern")
 
 
 def load_model_metrics(spark: SparkSession, root: str,
                        file: str = "metrics/metrics.json") -> DataFrame:
     """(model, metrics JSON) of every model below ``root``."""
-    return _json_files(spark, f"{root}/*/{file}", 1 + file.count("/"), "model", "metrics")
+    return _json_files(spark, root, file, "model", "metrics")

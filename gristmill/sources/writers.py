@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"     # folder of rows without a value, as in Spark
+
+
+def local_folder(path: str) -> str | None:
+    """The plain name of a folder on a file system that is mounted, else None."""
+    parts = urlsplit(path)
+    return unquote(parts.path) if parts.scheme == "file" and not parts.netloc else None
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                 single_file: bool = False) -> None:
@@ -38,3 +51,35 @@ def write_evaluations(df: DataFrame, path: str, pattern: str = "pattern") -> Non
     Every task writes its own rows, so a large pattern has several writers.
     """
     df.withColumn("_folder", F.col(pattern)).write.partitionBy("_folder").json(path)
+
+
+def write_folders(df: DataFrame, path: str, key: str, text: str, width: int) -> None:
+    """A text file for each key, ``key=value/part-0.txt``, one line a row; null is an empty line.
+
+    ``key`` is a whole number.  On a mounted file system the tasks write the files
+    themselves, as a committer of Spark takes some 40 ms for each; a file is renamed
+    when it is whole, so a repeated task leaves the same files.
+    """
+    folder = local_folder(path)
+    if folder is None:
+        df.select(key, text).repartition(width, key).write.partitionBy(key).text(path)
+        return
+    os.makedirs(folder)
+    name = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit(NO_VALUE)))
+    lines = df.select(name.alias("folder"), F.concat(
+        F.coalesce(F.col(text), F.lit("")), F.lit("\n")).alias("line"))
+    files = lines.repartition(width, "folder").groupBy("folder").agg(
+        F.array_join(F.collect_list("line"), "").alias("text"))
+
+    def write(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = os.path.join(folder, name)
+                os.makedirs(own, exist_ok=True)
+                draft = os.path.join(own, f".{uuid.uuid4().hex}")
+                with open(draft, "wb") as out:
+                    out.write(content.encode())
+                os.replace(draft, os.path.join(own, "part-0.txt"))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()

@@ -238,3 +238,26 @@ def test_replayed_batch_keeps_its_totals(spark, tmp_path):
     run()
     assert sorted(map(tuple, indexing.index_progress(spark, index, "c").collect())) == before
     assert spark.read.parquet(index).count() == 24
+
+
+def test_a_file_for_each_of_many_keys(spark, tmp_path):
+    path = f"file:{tmp_path}/one plus+one"
+    rows = spark.range(3000).select("id", F.concat(F.lit("é "), F.col("id")).alias("text"))
+    odd = spark.createDataFrame([(3000, "a"), (3000, "a"), (3001, None)], "id long, text string")
+    writers.write_folders(rows.unionByName(odd), path, "id", "text", 8)
+    files = {p.relative_to(tmp_path / "one plus+one").as_posix(): p for p in (
+        tmp_path / "one plus+one").rglob("*") if p.is_file()}
+    # By the tasks themselves: neither check sums nor success marks beside them.
+    assert set(files) == {f"id={i}/part-0.txt" for i in range(3002)}
+    found = readers.load_patterns(spark, path, "part-*")
+    assert not found.inputFiles()
+    texts = {r["directory"]: r["pattern"] for r in found.collect()}
+    assert len(texts) == 3002 and texts["id=17"] == "é 17\n"
+    assert texts["id=3000"] == "a\na\n" and texts["id=3001"] == "\n"
+
+
+def test_pattern_files_missing_is_an_error(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for path in (tmp_path / "p", tmp_path / "q"):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            readers.load_patterns(spark, f"file:{path}").collect()
