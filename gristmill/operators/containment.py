@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
+SENT_PASSAGES = 10_000        # passages that are sent to the texts whole
 
 
 def pieces_of(text: str, size: Column) -> Column:
@@ -32,8 +33,8 @@ def _words(text: Column) -> Column:
     return F.split(text, " ", -1)
 
 
-def _anchored(parts: DataFrame, held: DataFrame) -> DataFrame:
-    """``(passage, unit)`` where the unit holds the passage's rarest part.
+def _anchors(parts: DataFrame, held: DataFrame) -> DataFrame:
+    """``(passage, part)``: the passage's rarest part.
 
     ``parts`` is (passage, part), every one needed; ``held`` is (unit, part).  A
     passage with a part that no unit holds gets none.
@@ -42,8 +43,12 @@ def _anchored(parts: DataFrame, held: DataFrame) -> DataFrame:
         F.count("*").alias("n"))
     rarest = parts.join(counts, "part", "left").groupBy("passage").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), -F.length("part"), "part")).alias("a"))
-    anchors = rarest.filter("a.n > 0").select("passage", F.col("a.part").alias("part"))
-    return held.join(anchors, "part").select("passage", "unit")
+    return rarest.filter("a.n > 0").select("passage", F.col("a.part").alias("part"))
+
+
+def _anchored(parts: DataFrame, held: DataFrame) -> DataFrame:
+    """``(passage, unit)`` where the unit holds the passage's rarest part."""
+    return held.join(_anchors(parts, held), "part").select("passage", "unit")
 
 
 def _loose(passages: DataFrame, held: DataFrame) -> DataFrame:
@@ -86,20 +91,29 @@ def containment_truth(passages: DataFrame, documents: DataFrame, item: str = "it
         F.col("passage").isNotNull())
     texts = documents.select(F.col(doc).alias("unit"), F.col(text).alias("text")).filter(
         F.col("text").isNotNull())
-    held = texts.select("unit", F.explode(F.array_distinct(_words(F.col("text")))).alias(
-        "part")).filter("part <> ''")
+    in_text = texts.select("unit", "text", F.explode(F.array_distinct(_words(F.col(
+        "text")))).alias("part")).filter("part <> ''")
+    held = in_text.select("unit", "part")
     cut = _words(F.col("passage"))
     whole = F.array_remove(F.slice(cut, 2, F.greatest(F.size(cut) - 2, F.lit(0))), "")
     distinct = known.select("passage").distinct().withColumn("whole", F.array_distinct(whole))
     kinds = distinct.agg(
+        F.count_if(F.size("whole") > 0).alias("whole"),
         F.count_if((F.size("whole") == 0) & (F.trim("passage") != "")).alias("loose"),
         F.count_if(F.trim("passage") == "").alias("blank")).first()
-    pairs = _anchored(distinct.select("passage", F.explode("whole").alias("part")), held)
+    parts = distinct.select("passage", F.explode("whole").alias("part"))
+
+    def verified(pairs):
+        return pairs.join(texts.withColumnRenamed("unit", "id"), F.col("unit").eqNullSafe(
+            F.col("id"))).filter(F.contains("text", "passage")).select("passage", "unit")
+
+    # Few passages go to the texts, which then need no shuffle.
+    found = in_text.join(F.broadcast(_anchors(parts, held)), "part").filter(F.contains(
+        "text", "passage")).select("passage", "unit") if kinds[
+        "whole"] <= SENT_PASSAGES else verified(_anchored(parts, held))
     if kinds["loose"]:
-        pairs = pairs.unionByName(_loose(distinct.filter(
-            (F.size("whole") == 0) & (F.trim("passage") != "")).select("passage"), held))
-    found = pairs.join(texts.withColumnRenamed("unit", "id"), F.col("unit").eqNullSafe(
-        F.col("id"))).filter(F.contains("text", "passage")).select("passage", "unit")
+        found = found.unionByName(verified(_loose(distinct.filter(
+            (F.size("whole") == 0) & (F.trim("passage") != "")).select("passage"), held)))
     if kinds["blank"]:
         found = found.unionByName(_blank(distinct.filter(F.trim("passage") == "").select(
             "passage"), texts))

@@ -29,6 +29,7 @@ DEFAULTS = {"chunking_method": ["recursive"], "chunk_size": [2048], "chunk_overl
             "number_of_chunks": [5], "search_mode": ["lexical"], "ranker_strategy": ["rrf"],
             "ranker_k": [retrieval.RRF_K], "ranker_alpha": [retrieval.ALPHA],
             "embedding_dimension": [retrieval.DIMENSION]}
+HIT_DOCUMENTS = 100_000   # ids of documents with hits that are broadcast; more of them are joined
 FUSION_DEPTH = 20         # hits of each list that a hybrid pattern merges, at least its result count
 
 
@@ -215,7 +216,9 @@ def sweep(questions: DataFrame, documents: DataFrame, truth: DataFrame, configs:
     # The few hits are kept, matched back to their documents and cut again, so
     # chunk text never goes through the search.
     hits = cut_lineage(evaluation.mark_relevant(hits, truth, item, doc))
-    hit_docs = documents.join(hits.select(doc).distinct(), doc, "left_semi")
+    found = hits.select(doc).distinct()
+    few = found.limit(HIT_DOCUMENTS + 1).count() <= HIT_DOCUMENTS
+    hit_docs = documents.join(F.broadcast(found) if few else found, doc, "left_semi")
     hit_text = chunk_all(hit_docs, cuts, doc, text)
     by_pattern = hits.join(hit_text, ["setting", doc, "chunk_no"])
     contexts = evaluation.gather_contexts(by_pattern, ["pattern_id", item], doc, "chunk_text")

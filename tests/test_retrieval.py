@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -347,3 +348,31 @@ def test_patterns_of_a_sweep_equal_single_searches(spark):
             assert [c.text for c in row.contexts] == lists[row.item_id], config
             assert row.answer_correctness == ("sun" in row.answer.split())
     assert len(rows) == 5 * len(space)
+
+
+def test_scores_are_cut_by_blocks_as_by_sorting(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(retrieval, "VECTOR_CELLS", 300)
+    monkeypatch.setattr(retrieval, "HITS_WAITING", 40)
+    monkeypatch.setattr(retrieval, "STEP_CELLS", 2000)
+    for whole in (True, False):
+        items = rng.integers(-2, 3, (500, 4)) if whole else rng.random((500, 4))
+        items, asked = items.astype(np.float32), rng.random((30, 4))
+        vectors = pa.ListArray.from_arrays(np.arange(0, 2001, 4, dtype=np.int32), pa.array(items.ravel()))
+        best = retrieval._Best(6, 30)
+        retrieval._score_vectors(best, [pa.array(np.arange(500))], vectors, asked, "euclidean")
+        best.cut()
+        far = np.round(np.sqrt(((asked[:, None] - items.astype(float)) ** 2).sum(2)), 6)
+        want = [i for row in far for i in np.lexsort([np.arange(500), row])[:6].tolist()]
+        assert best.items[0].tolist() == want
+
+
+def test_words_of_a_lexical_index_are_those_of_the_word_expression(spark):
+    text = "".join(f" Aİ{i}{chr(c)}" for i, c in enumerate(
+        [*range(9, 14), *range(28, 33), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200c), 0x2028, 0x2029,
+         0x202f, 0x205f, 0x3000, 0x180e, 0xfeff])) + "Σ ΣaΣ"
+    rows = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "  ")], "doc_id long, text string")
+    index = retrieval.lexical_index(rows, text="text")
+    want = rows.select(F.explode(retrieval.words(F.col("text"))).alias("w")).collect()
+    assert {r["term"] for r in index.postings.collect()} == {r["w"] for r in want}
+    assert index.slabs.agg(F.sum("n"), F.sum("total")).first() == (4, len(want))
