@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RECORD, HEADER, HEAD, MIDDLE, TAIL = range(5)
+LINES_AT_ONCE = 256           # lines of a batch that are Python objects at a time
 OPTIONS = {"escape": '"', "mode": "FAILFAST"}
 
 # The kinds that cells may have, the first that fits all of a column, as the CSV reader infers them.
@@ -97,7 +98,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         split = None
-        for batch in batches:
+        for batch in (whole.slice(start, LINES_AT_ONCE) for whole in batches
+                      for start in range(0, whole.num_rows, LINES_AT_ONCE)):
             batch = batch.set_column(0, "value", pc.utf8_rtrim(batch.column(0), "\r"))
             files, blocks = batch.column(1).to_pylist(), batch.column(2).to_numpy()
             cuts = np.flatnonzero(np.append(True, (blocks[1:] != blocks[:-1]) | np.array(

@@ -2,12 +2,14 @@ import csv
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gristmill.operators import retrieval, sampling
-from gristmill.sources import readers, writers
+from gristmill.sources import quoted, readers, writers
 from gristmill.streaming import indexing
 
 
@@ -261,3 +263,34 @@ def test_pattern_files_missing_is_an_error(spark, tmp_path):
     for path in (tmp_path / "p", tmp_path / "q"):
         with pytest.raises(Exception, match="PATH_NOT_FOUND"):
             readers.load_patterns(spark, f"file:{path}").collect()
+
+
+def test_quoted_lines_are_taken_in_small_parts(spark, tmp_path, monkeypatch):
+    sizes = []
+    add = quoted._Split.add
+    monkeypatch.setattr(quoted._Split, "add", lambda self, values: (
+        sizes.append(len(values)), add(self, values))[1])
+    taken = {}
+
+    class Lines:
+        def mapInArrow(self, run, schema):
+            taken["run"] = run
+            return spark.createDataFrame([], schema)
+
+    class Sums:
+        def filter(self, condition):
+            return self
+
+        def collect(self):
+            return []
+
+    monkeypatch.setattr(quoted, "_lines", lambda spark, path: Lines())
+    monkeypatch.setattr(quoted, "_split_sums", lambda lines: Sums())
+    quoted.records(spark, "x")
+    lines = ["h,k"] + [line for i in range(700) for line in (f'{i},"a', f'b{i}"', f"{i},c")]
+    batch = pa.RecordBatch.from_pydict({"value": lines, "file": ["f"] * len(lines),
+                                        "block": np.zeros(len(lines), np.int64)})
+    got = [r for part in taken["run"]([batch]) for r in part.to_pylist()]
+    want = [r for i in range(700) for r in (f'{i},"a\nb{i}"', f"{i},c")]
+    assert [r["record"] for r in got if r["kind"] == quoted.RECORD] == want
+    assert max(sizes) <= quoted.LINES_AT_ONCE
