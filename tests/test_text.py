@@ -4,6 +4,7 @@ import string
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -332,3 +333,11 @@ def test_scores_of_a_batch_are_computed_in_parts_of_bounded_size(monkeypatch):
     pd.testing.assert_frame_equal(parts, whole)
     empty = scores.overlap_parts(tuple(t.iloc[:0] for t in texts), True)
     assert list(empty.columns) == list(whole.columns) and not len(empty)
+
+
+def test_references_are_decoded_a_few_texts_at_a_time(monkeypatch):
+    monkeypatch.setattr(text, "TEXTS_AT_ONCE", 4)
+    texts = pa.array([None, "", "a\xa0b", "a&nbsp;b\xa0c", "&#65;&lt;&copy", "&NewLine;x"] * 5)
+    got = text.decode_references.func(texts)
+    assert got.to_pylist() == [None, "", "a\xa0b", "a b c", "A<©", "\nx"] * 5
+    assert text.decode_references.func(texts.slice(0, 0)).to_pylist() == []
