@@ -40,17 +40,21 @@ from gristmill.session import scratch_path, shuffle_width
 WINDOW = 50
 GRAM = 16
 REACH = WINDOW - GRAM + 1     # grams in a window; at most so many windows have one anchor
-PIECE = 1 << 20               # bytes handled at once; longer texts in overlapping pieces
+PIECE = 1 << 20               # longer texts are handled in overlapping pieces
+BLOCK = 1 << 18               # bytes of texts handled at once: their arrays stay in the cache
 SHARD_ANCHORS = 2_000_000
 SEND_BYTES = 16 << 20         # text whose spans are sorted together before they are sent
 FACTOR_BYTES = 2 << 20        # text per group of the suffix arrays
 GROUP_BYTES = 8 << 20         # text handled by one task of the last steps
+STEPS = 24                    # steps back by pointers to a smaller value
 HOT = 4096                    # different spans of one anchor, beyond which windows are dealt singly
 BATCH_DOCS = 60_000           # documents of one packed row set: places fit 16 bits
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 MATCHED, MIXED, MIXED_HOT = 0, 1, 2
 SIDE = (WINDOW - GRAM + 1) // 2   # equal windows agree so far before or after their anchor
 PACK = 6                      # codes in the first rank of a suffix
+_LEVELS = np.full(256, 3, np.uint8)
+_LEVELS[[10, 46, 44, 32]] = 0, 1, 1, 2
 _SENT = np.dtype([("h", "<u8"), ("s", "<u8"), ("d", "<u2"), ("l", "<u2"), ("r", "<u2")])
 
 
@@ -68,10 +72,11 @@ class Anchors:
     ``piece`` index, ``h`` hash of the anchor gram, ``s`` hash of the span with
     the anchor's place in it, ``first`` window (in the piece) and ``count``.
     ``left`` and ``right`` are short hashes of the ``SIDE`` bytes before and
-    after the gram, 0 where the piece has fewer.
+    after the gram, 0 where the piece has fewer; without ``sides`` they are left out.
     """
 
-    def __init__(self, pieces: list[bytes], tables: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, pieces: list[bytes], tables: tuple[np.ndarray, np.ndarray],
+                 sides: bool = True):
         powers, inverses = tables
         buf = np.frombuffer(b"".join(pieces), np.uint8)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -88,13 +93,13 @@ class Anchors:
         grams = mix(self._gram_hashes(values))
         n = len(grams)
         # Priority by the gram's own bytes: line starts, clause ends, spaces, the rest.
-        head = buf[:n]
-        level = np.full(n, 3, np.uint64)
-        level[head == 32] = 2
-        level[((head == 46) | (head == 44)) & (buf[1:n + 1] == 32)] = 1
-        level[head == 10] = 0
-        low = (level << np.uint64(62)) | (grams >> np.uint64(26) << np.uint64(24)) | np.arange(
-            n, dtype=np.uint64)
+        level = _LEVELS[buf[:n]]
+        clause = np.flatnonzero(level == 1)
+        level[clause[buf[clause + 1] != 32]] = 3
+        low = grams >> np.uint64(26)
+        low <<= np.uint64(24)
+        low |= level.astype(np.uint64) << np.uint64(62)
+        low |= np.arange(n, dtype=np.uint64)
         step = 1
         while 2 * step <= REACH:
             low = np.minimum(low[:-step], low[step:])
@@ -102,7 +107,7 @@ class Anchors:
         if step < REACH:
             low = np.minimum(low[:len(low) - (REACH - step)], low[REACH - step:])
         anchor = (low[self.starts] & np.uint64(0xFFFFFF)).astype(np.int64)
-        runs = np.flatnonzero(np.diff(anchor, prepend=-1))
+        runs = np.append(0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
         first = self.starts[runs]
         self.count = np.diff(np.append(runs, len(anchor)))
         place = anchor[runs] - first
@@ -111,9 +116,10 @@ class Anchors:
         content = (sums[end] - sums[first]) * inverses[first]
         self.h = grams[anchor[runs]]
         self.s = mix(mix(content) + place.astype(np.uint64) * _BASE + self.count.astype(np.uint64))
-        self.piece = np.searchsorted(begin, first, "right") - 1
-        # Empty pieces share a begin with the next one; the last of them is the real one.
+        self.piece = np.repeat(np.arange(len(size)), windows)[runs]
         self.first = first - begin[self.piece]
+        if not sides:
+            return
         low_end, high_end = begin[self.piece], (begin + size)[self.piece]
         at = anchor[runs]
 
@@ -142,7 +148,7 @@ def pieces_of(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text) - WINDOW + 1), PIECE):
             piece = text[at:at + PIECE + WINDOW - 1]
-            if size and size + len(piece) > PIECE:
+            if size and size + len(piece) > min(BLOCK, PIECE):
                 yield held
                 held, size = [], 0
             held.append((i, at, piece))
@@ -151,11 +157,12 @@ def pieces_of(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield held
 
 
-def text_spans(texts: list[bytes], tables) -> Iterator[tuple[np.ndarray, np.ndarray, Anchors]]:
+def text_spans(texts: list[bytes], tables,
+               sides: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, Anchors]]:
     """Per bounded list: text index and offset of each piece, and its anchors."""
     for held in pieces_of(texts):
         yield (np.array([i for i, _, _ in held]), np.array([at for _, at, _ in held]),
-               Anchors([p for _, _, p in held], tables))
+               Anchors([p for _, _, p in held], tables, sides))
 
 
 def send_spans(docs: DataFrame, shards: int) -> DataFrame:
@@ -175,7 +182,7 @@ def send_spans(docs: DataFrame, shards: int) -> DataFrame:
 
     def rows(ids, texts, tables):
         parts = []
-        for index, _, found in text_spans(texts, tables):
+        for index, _, found in text_spans(texts, tables, sides=True):
             part = np.empty(len(found.h), _SENT)
             part["h"], part["s"], part["d"] = found.h, found.s, index[found.piece]
             part["l"], part["r"] = found.left, found.right
@@ -265,12 +272,37 @@ def shard_fates(sent: DataFrame, shards: int) -> DataFrame:
         resolve, "doc long, s long, kind byte")
 
 
-def _wanted(table: pa.Table) -> dict[int, np.ndarray]:
-    """Rows of a fates table by document: places in the table."""
-    doc = table.column("doc").to_numpy()
-    order = np.argsort(doc, kind="stable")
-    ids, first = np.unique(doc[order], return_index=True)
-    return dict(zip(ids.tolist(), np.split(order, first[1:]), strict=True))
+class Wanted:
+    """Rows of a fates table by document and span; rows of one pair are one, with all their bits."""
+
+    def __init__(self, table: pa.Table, values: str):
+        doc, span = table.column("doc").to_numpy(), table.column("s").to_numpy()
+        self.docs, d = np.unique(doc, return_inverse=True)
+        self.spans, s = np.unique(span, return_inverse=True)
+        key = d * len(self.spans) + s
+        order = np.argsort(key, kind="stable")
+        edge = np.flatnonzero(np.diff(key[order], prepend=-1))
+        self.keys = key[order[edge]]
+        self.first = table.column(values).to_numpy()[order[edge]]
+        self.bits = np.bitwise_or.reduceat(table.column(values).to_numpy()[order], edge)
+
+    @staticmethod
+    def _place(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index in the sorted table, and whether the value is there."""
+        at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+        return at, table[at] == values
+
+    def has(self, docs: np.ndarray) -> np.ndarray:
+        return self._place(self.docs, docs)[1]
+
+    def find(self, docs: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs that are wanted, and their rows."""
+        s, known = self._place(self.spans, spans)
+        at = np.flatnonzero(known)
+        d, known = self._place(self.docs, docs[at])
+        at, d = at[known], d[known]
+        row, known = self._place(self.keys, d * len(self.spans) + s[at])
+        return at[known], row[known]
 
 
 def asked_spans(texts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
@@ -286,28 +318,26 @@ def asked_spans(texts: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
     def collect(left: pa.Table, right: pa.Table) -> pa.Table:
         rows, hot = [], []
         if left.num_rows and right.num_rows:
-            by_doc = _wanted(right)
-            spans, kind = right.column("s").to_numpy(), right.column("kind").to_numpy()
+            wanted = Wanted(right, "kind")
             ids = left.column("doc").to_numpy()
-            chosen = np.flatnonzero(np.isin(ids, right.column("doc").to_numpy()))
+            chosen = np.flatnonzero(wanted.has(ids))
             ids = ids[chosen]
             texts = byte_texts(left.column("text").combine_chunks().take(pa.array(chosen)))
-            seen, tables = set(), _powers()
+            met, tables = np.zeros(len(wanted.keys), bool), _powers()
             for index, offset, found in text_spans(texts, tables):
-                s = signed(found.s)
-                for at in np.flatnonzero(np.isin(s, spans)):
-                    piece = found.piece[at]
-                    doc, name = int(ids[index[piece]]), int(s[at])
-                    own = by_doc[doc]
-                    place = own[spans[own] == name]
-                    if not len(place) or (doc, name) in seen:
-                        continue
-                    seen.add((doc, name))
-                    text, first = texts[index[piece]], int(offset[piece] + found.first[at])
-                    count = int(found.count[at])
-                    body = text[first:first + count + WINDOW - 1]
-                    if kind[place[0]] == MIXED:
-                        rows.append((int(found.h[at] % np.uint64(shards)), doc, name, 0, count, body))
+                at, row = wanted.find(ids[index[found.piece]], signed(found.s))
+                row, once = np.unique(row, return_index=True)
+                at, once = at[once], ~met[row]
+                at, row = at[once], row[once]
+                met[row] = True
+                piece = found.piece[at]
+                text, first = index[piece], offset[piece] + found.first[at]
+                for shard, doc, name, count, kind, i, a in zip(*(x.tolist() for x in (
+                        found.h[at] % np.uint64(shards), ids[text], signed(found.s)[at],
+                        found.count[at], wanted.first[row], text, first)), strict=True):
+                    body = texts[i][a:a + count + WINDOW - 1]
+                    if kind == MIXED:
+                        rows.append((shard, doc, name, 0, count, body))
                     else:
                         hot += [(body[w:w + WINDOW], doc, name, w) for w in range(count)]
         hot.sort()
@@ -358,21 +388,33 @@ def suffix_ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
     """Index of the nearest smaller value before each place, -1 where there is none.
 
-    Minima of the last 1, 2, 4, ... values let every place step back over the
-    longest runs without a smaller value, from long to short.
+    A place that is not smaller passes on to the place it points to itself; most
+    places end after a few such steps.  For the rest, minima of the last 1, 2,
+    4, ... values let them step back over the longest runs without a smaller
+    value, from long to short.
     """
+    n = len(values)
+    padded = np.append(values, values.min() - 1 if n else 0)     # place -1 ends every search
+    at = np.arange(-1, n, dtype=np.int64)
+    left = np.flatnonzero(padded[at[:n]] >= values)
+    for _ in range(STEPS):
+        if not len(left):
+            return at[:n]
+        at[left] = at[at[left]]
+        left = left[padded[at[left]] >= values[left]]
     levels, step = [values], 1
-    while 2 * step <= len(values):
+    while 2 * step <= n and len(left):
         low = levels[-1].copy()
         low[step:] = np.minimum(low[step:], levels[-1][:-step])
         levels.append(low)
         step *= 2
-    at = np.arange(len(values)) - 1
     for low in reversed(levels):
-        fits = at - step + 1 >= 0
-        at[fits] -= step * (low[at[fits]] >= values[fits])
+        own = at[left]
+        fits = own - step + 1 >= 0
+        own[fits] -= step * (low[own[fits]] >= values[left[fits]])
+        at[left] = own
         step //= 2
-    return at
+    return at[:n]
 
 
 def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -> np.ndarray:
@@ -391,23 +433,26 @@ def longest_previous_factors(codes: np.ndarray, owner: np.ndarray, depth: int) -
     lowest = owner[heads]
     sizes = sorted(ranks, reverse=True)
 
+    # Places after the end differ from each other and from all before it.
+    beyond = -1 - np.arange(depth + 1)
+    ends = {size: np.append(ranks[size], beyond) for size in sizes}
+    last = np.append(packed(codes, sizes[-1]), beyond)
+
     def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        length = np.zeros(len(a), np.int64)
-        for size in sizes:
-            x, y = a + length, b + length
-            inside = (x < len(codes)) & (y < len(codes)) & (length + size <= depth)
-            same = np.zeros(len(a), bool)
-            same[inside] = ranks[size][x[inside]] == ranks[size][y[inside]]
-            length[same] += size
-        # What is left is shorter than the first rank: compare code by code.
-        for _ in range(sizes[-1] - 1):
-            x, y = a + length, b + length
-            inside = (x < len(codes)) & (y < len(codes)) & (length < depth)
-            same = inside.copy()
-            same[inside] = codes[x[inside]] == codes[y[inside]]
-            # A difference ends the match for good, so a place that stops stays.
-            length[same] += 1
-        return length
+        """Codes that suffixes of different groups have in common."""
+        length, x, y = np.zeros(len(a), np.int64), a.copy(), b.copy()
+        for size in sizes[1:]:
+            same = np.flatnonzero(ends[size][x] == ends[size][y])
+            same = same[length[same] + size <= depth]
+            for moved in (length, x, y):
+                moved[same] += size
+        # What is left is shorter than the first rank: equal codes before the first difference.
+        differ = last[x] ^ last[y]
+        more = np.zeros(len(a), np.int64)
+        for k in range(1, sizes[-1]):
+            more += (differ >> (9 * (sizes[-1] - k))) == 0
+        inside = np.minimum(len(codes) - np.maximum(x, y), depth - length)
+        return length + np.minimum(more, np.maximum(inside, 0))
 
     best = np.zeros(len(heads), np.int64)
     places = np.unique(lowest, return_inverse=True)[1].astype(np.int32)
@@ -467,9 +512,12 @@ def factor_masks(pieces: DataFrame) -> DataFrame:
         codes = np.frombuffer(b"".join(b + b"\0" for b in bodies), np.uint8).astype(np.int64) + 1
         codes[begin + size - 1] = 0     # between pieces: equals no byte
         factor = longest_previous_factors(codes, np.repeat(doc, size), WINDOW)
-        masks = [sum(1 << (int(window[i]) + int(w)) for w in np.flatnonzero(
-            factor[begin[i]:begin[i] + count[i]] >= WINDOW)) for i in range(len(bodies))]
-        return pa.table({"doc": doc, "s": table.column("s"), "mask": pa.array(masks, pa.int64())})
+        piece = np.repeat(np.arange(len(bodies)), count)
+        place = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
+        full = np.flatnonzero(factor[begin[piece] + place] >= WINDOW)
+        masks = np.zeros(len(bodies), np.int64)
+        np.bitwise_or.at(masks, piece[full], 1 << (window[piece] + place)[full])
+        return pa.table({"doc": doc, "s": table.column("s"), "mask": masks})
 
     settled = pieces.filter("piece is null").select("doc", "s", F.col("count").alias("mask"))
     return pieces.filter("piece is not null").groupBy("shard").applyInArrow(
@@ -481,42 +529,42 @@ def cut(texts: DataFrame, found: DataFrame, schema: str) -> DataFrame:
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = left.column("doc").to_numpy()
         texts = byte_texts(left.column("text").combine_chunks()) if left.num_rows else []
-        spans, masks = right.column("s").to_numpy(), right.column("mask").to_numpy()
-        by_doc = _wanted(right) if right.num_rows else {}
-        gone = {i: np.zeros(len(t) + 1, np.int32) for i, t in enumerate(texts)
-                if int(ids[i]) in by_doc}
-        chosen = list(gone)
-        pairs: dict[tuple[int, int], int] = {}
-        if chosen:
-            for doc, own in by_doc.items():
-                for at in own:
-                    key = (doc, int(spans[at]))
-                    pairs[key] = pairs.get(key, 0) | int(masks[at])
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.cumsum(size) - size
+        change = np.zeros(size.sum() + 1, np.int32)
+        if len(texts) and right.num_rows:
+            wanted = Wanted(right, "mask")
+            chosen = np.flatnonzero(wanted.has(ids))
             tables = _powers()
-            for index, offset, anchors in text_spans([texts[i] for i in chosen], tables):
-                s = signed(anchors.s)
-                for at in np.flatnonzero(np.isin(s, spans)):
-                    i = chosen[index[anchors.piece[at]]]
-                    mask = pairs.get((int(ids[i]), int(s[at])), 0)
-                    if not mask:
-                        continue
-                    first = int(offset[anchors.piece[at]] + anchors.first[at])
-                    count = int(anchors.count[at])
-                    if mask == -1:
-                        gone[i][first] += 1
-                        gone[i][first + count + WINDOW - 1] -= 1
-                    else:
-                        for w in range(count):
-                            if mask >> w & 1:
-                                gone[i][first + w] += 1
-                                gone[i][first + w + WINDOW] -= 1
+            for index, offset, found in text_spans([texts[i] for i in chosen], tables):
+                own = chosen[index]
+                at, row = wanted.find(ids[own[found.piece]], signed(found.s))
+                first = (begin[own] + offset)[found.piece[at]] + found.first[at]
+                mask, count = wanted.bits[row], found.count[at]
+                whole = mask == -1
+                np.add.at(change, first[whole], 1)
+                np.add.at(change, (first + count + WINDOW - 1)[whole], -1)
+                first, mask, count = first[~whole], mask[~whole], count[~whole]
+                for w in range(REACH):
+                    start = first[(mask >> w & 1 == 1) & (count > w)] + w
+                    np.add.at(change, start, 1)
+                    np.add.at(change, start + WINDOW, -1)
+        removed = np.cumsum(change, out=change)[:-1] > 0
+        starts = removed.copy()
+        starts[1:] &= ~removed[:-1]
+        full = np.flatnonzero(size)
+        starts[begin[full]] = removed[begin[full]]      # runs end with their text
+        gone, runs = np.zeros((2, len(texts)), np.int64)
+        if len(full):
+            gone[full] = np.add.reduceat(removed, begin[full], dtype=np.int64)
+            runs[full] = np.add.reduceat(starts, begin[full], dtype=np.int64)
+        kept_bytes = np.frombuffer(b"".join(texts), np.uint8)[~removed].tobytes()
+        ends = np.cumsum(size - gone)
         rows = []
-        for i, text in enumerate(texts):
-            removed = np.cumsum(gone[i])[:-1] > 0 if i in gone else np.zeros(0, bool)
-            n = int(removed.sum())
-            kept = np.frombuffer(text, np.uint8)[~removed].tobytes() if n else text
-            runs = int(np.count_nonzero(np.diff(removed.astype(np.int8), prepend=np.int8(0)) == 1))
-            rows.append((int(ids[i]), len(text), n, runs, hashlib.sha256(kept).hexdigest(), kept))
+        for doc, long, n, spans, end in zip(*(x.tolist() for x in (ids, size, gone, runs, ends)),
+                                            strict=True):
+            kept = kept_bytes[end - (long - n):end]
+            rows.append((doc, long, n, spans, hashlib.sha256(kept).hexdigest(), kept))
         columns = dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"),
                            list(zip(*rows, strict=True)) or [()] * 6, strict=True))
         kinds = dict(doc_id=pa.int64(), n_bytes=pa.int64(), n_removed=pa.int64(),

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import EDGE_TEXTS, by_id, prose
 
@@ -237,6 +238,39 @@ def test_longest_previous_factors_equal_brute_force():
             assert got[i] == best
 
 
+def test_nearest_smaller_equals_brute_force(monkeypatch):
+    draw = random.Random(2)
+    shapes = [[draw.randrange(9) for _ in range(200)], [0] * 70, list(range(90)) + [0] * 3,
+              list(range(90, 0, -1)), list(range(60)) + [30, 5, 5, 0], [4], []]
+    for steps in (0, 1, lpf.STEPS):
+        monkeypatch.setattr(lpf, "STEPS", steps)
+        for values in shapes:
+            want = [max((j for j in range(i) if values[j] < values[i]), default=-1)
+                    for i in range(len(values))]
+            assert lpf.nearest_smaller(np.array(values, np.int32)).tolist() == want
+
+
+def test_spans_do_not_depend_on_blocks(monkeypatch):
+    texts = [prose(i, i * 7).encode() for i in range(40)] + [b"", b"a. b\n" * 90]
+
+    def spans():
+        return sorted((int(index[p]), int(at[p] + f), int(n), int(s))
+                      for index, at, x in lpf.text_spans(texts, lpf._powers())
+                      for p, f, n, s in zip(x.piece, x.first, x.count, x.s, strict=True))
+
+    whole = spans()
+    monkeypatch.setattr(lpf, "BLOCK", 700)
+    assert spans() == whole and len(list(lpf.text_spans(texts, lpf._powers()))) > 10
+
+
+def test_wanted_spans_are_found_by_document_and_span():
+    table = pa.table({"doc": [5, 5, 2, 5], "s": [9, 7, 7, 9], "mask": [1, -1, 4, 2]})
+    wanted = lpf.Wanted(table, "mask")
+    at, row = wanted.find(np.array([5, 2, 2, 3, 5, 5]), np.array([9, 9, 7, 7, 8, 7]))
+    assert at.tolist() == [0, 2, 5] and wanted.bits[row].tolist() == [3, 4, -1]
+    assert wanted.has(np.array([2, 3, 6])).tolist() == [True, False, False]
+
+
 def brute_edited(texts):
     ids = sorted(texts)
     out = {}
