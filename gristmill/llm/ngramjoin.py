@@ -11,9 +11,13 @@ few of them overlap.  The directory level is therefore a set of finer group
 systems, one per size class: linked sets differ in at most ``D`` shingles, so
 of ``D + slack`` sections ``slack`` agree in full.  Documents that share enough
 section contents with others are brought together by equality joins; what hangs
-together is one family.  Inside each family an R-tree prunes by the bound and
-the surviving pairs are verified on the sets themselves.  All steps are exact
-(64-bit hashes).
+together is one family.  Chance agreement can join many unrelated sets to one
+family, so each family is first parted by bit maps of the sets: bits in which two
+maps differ are a lower bound of the shingles in which the sets do.  The maps
+grow with the sets and are a small part of the texts.  Inside the parts an
+R-tree prunes by its bound and the surviving pairs are verified on the sets
+themselves, the only step for which texts travel.  All steps are exact (64-bit
+hashes).
 """
 
 from __future__ import annotations
@@ -34,9 +38,11 @@ from gristmill.session import cut_lineage, scratch_path, shuffle_width
 GROUPS = 64               # coordinates of a point
 LEAF = 16                 # points in an R-tree leaf
 FAMILY_SHINGLES = 4_000_000   # sets handled by one task; larger families are cut in blocks
+MAP_SHINGLES = 16_000_000     # the same where bit maps stand for the sets
+MAP_BITS = 2                  # bits of a map for each shingle, at least
 PAIR_SECTIONS = 8         # up to so many differences, keys are pairs of sections
 PAIR_SLACK, SLACK = 4, 12     # sections that linked sets agree in at least
-POINT = "doc_id long, n long, d1 long, d2 long"
+POINT = "doc_id long, n long, d1 long, d2 long, bits binary"
 
 
 def text_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -118,7 +124,7 @@ def section_keys(own: np.ndarray, lows: list[int], most: list[int],
 
 
 def set_points(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, d1, d2``: set size and two digests of the set."""
+    """``doc_id, n, d1, d2, bits``: set size, two digests and the bit map of the set."""
     def points(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = batch.column(0)
         texts = [t.lower() for t in byte_texts(batch.column(1))]
@@ -127,7 +133,8 @@ def set_points(docs: DataFrame, width: int) -> DataFrame:
             yield {"doc_id": ids.slice(start, end - start),
                    "n": np.array([len(s) for s in rows], np.int64),
                    "d1": signed(np.array([mix(s).sum(dtype=np.uint64) for s in rows], np.uint64)),
-                   "d2": signed(np.array([mix(~s).sum(dtype=np.uint64) for s in rows], np.uint64))}
+                   "d2": signed(np.array([mix(~s).sum(dtype=np.uint64) for s in rows], np.uint64)),
+                   "bits": pa.array([bit_map(s) for s in rows], pa.binary())}
 
     return map_batches(docs, points, POINT)
 
@@ -220,6 +227,22 @@ def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.bincount((s >> shift).astype(np.int64), minlength=GROUPS) for s in sets])
 
 
+def bit_map(own: np.ndarray) -> bytes:
+    """Which groups the shingles of a set fall in, for as many groups as its size asks for."""
+    power = max(6, (MAP_BITS * len(own) - 1).bit_length())
+    filled = np.zeros(1 << power, bool)
+    filled[(own >> np.uint64(64 - power)).astype(np.int64)] = True
+    return np.packbits(filled).tobytes()
+
+
+def even_maps(maps: list[bytes]) -> np.ndarray:
+    """Maps of equal width as columns of 64-bit words: finer ones join neighbouring groups."""
+    width = min(map(len, maps))
+    even = [m if len(m) == width else np.packbits(np.unpackbits(np.frombuffer(
+        m, np.uint8)).reshape(8 * width, -1).any(1)).tobytes() for m in maps]
+    return np.ascontiguousarray(np.frombuffer(b"".join(even), np.uint64).reshape(len(maps), -1).T)
+
+
 class CountTree:
     """Bulk-loaded R-tree over count vectors: two levels of boxes above the points.
 
@@ -299,14 +322,45 @@ def tree_links(ids: np.ndarray, sets: list[np.ndarray], percent: int,
     return links
 
 
-def family_cells(members: DataFrame, percent: int) -> DataFrame:
+def map_links(ids: np.ndarray, sizes: np.ndarray, maps: np.ndarray, percent: int,
+              side: np.ndarray | None = None,
+              visitor: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs that span the components of all pairs whose bit maps let them link.
+
+    ``side`` and ``visitor`` as in :func:`tree_links`.  A group of n sets that all
+    may link gives n - 1 pairs.
+    """
+    asking = len(ids)
+    if visitor is not None:     # visitors come last and ask nothing
+        order = np.argsort(visitor, kind="stable")
+        ids, sizes, maps = ids[order], sizes[order], maps[:, order]
+        side = None if side is None else side[order]
+        asking -= np.count_nonzero(visitor)
+    label, links = np.arange(len(ids)), []
+    for q in range(asking):
+        later = slice(q + 1, None)
+        apart = np.bitwise_count(maps[:, later] ^ maps[:, q:q + 1]).sum(0, dtype=np.int64)
+        most = (100 - percent) * (sizes[later] + sizes[q])
+        found = q + 1 + np.flatnonzero(
+            ((100 + percent) * apart <= most) & (label[later] != label[q]))
+        if side is not None:
+            found = found[side[found] != side[q]]
+        if len(found):
+            others, first = np.unique(label[found], return_index=True)
+            links += [(int(ids[q]), int(ids[other])) for other in found[first]]
+            label[np.isin(label, others)] = label[q]
+    return links
+
+
+def family_cells(members: DataFrame, percent: int, most: int | None = None) -> DataFrame:
     """``doc_id, family, n`` -> cells of documents that may link: ``family, level, x, y``.
 
     Sizes of linked sets are at most a factor 100 / percent apart, so their levels
     (logarithms to that base) differ by one at most.  A cell holds the documents
     of its level and, as visitors, those of the next; without a pair to look at
-    there is no cell.  A cell whose sets exceed ``FAMILY_SHINGLES`` is cut into
-    blocks by hash, and one task handles each pair of blocks.
+    there is no cell.  A cell whose sets exceed ``most`` shingles, by default
+    ``FAMILY_SHINGLES``, is cut into blocks by hash, and one task handles each
+    pair of blocks.
     """
     # A little less than the logarithm, so rounding never parts levels by two.
     level = F.col("n") if percent == 100 else F.floor(
@@ -316,7 +370,7 @@ def family_cells(members: DataFrame, percent: int) -> DataFrame:
             F.struct(F.col("level"), F.lit(False).alias("visitor")),
             F.struct((F.col("level") - 1).alias("level"), F.lit(True).alias("visitor")))).alias("c"))
     cells = cells.select("doc_id", "family", "n", "c.level", "c.visitor")
-    blocks = F.ceil(F.sum("n") / F.lit(FAMILY_SHINGLES / 2)).cast("int")
+    blocks = F.ceil(F.sum("n") / F.lit((most or FAMILY_SHINGLES) / 2)).cast("int")
     sizes = cells.groupBy("family", "level").agg(
         F.when(blocks > 2, blocks).otherwise(1).alias("blocks"), F.count("*").alias("all"),
         F.count_if(~F.col("visitor")).alias("own")).filter("own > 0 and all > 1")
@@ -327,6 +381,31 @@ def family_cells(members: DataFrame, percent: int) -> DataFrame:
                         F.greatest("own", "other").alias("y"), "own", "visitor")
 
 
+CELL = ("family", "level", "x", "y")
+
+
+def by_cell(dealt: DataFrame):
+    """Grouped by the whole cell: a partitioning by family alone would keep its blocks in one task."""
+    return dealt.repartition(shuffle_width(dealt.sparkSession), *CELL).groupBy(*CELL)
+
+
+def family_parts(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, family, n`` and bit maps -> ``a, b`` that span what may link inside each family."""
+    def link(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own = table.column("own").to_numpy()
+        visitor = table.column("visitor").to_numpy(zero_copy_only=False)
+        crossing = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        found = map_links(
+            table.column("doc_id").to_numpy(), table.column("n").to_numpy(),
+            even_maps(table.column("bits").to_pylist()), percent, own if crossing else None, visitor)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                         "b": pa.array([b for _, b in found], pa.int64())})
+
+    cells = family_cells(members, percent, MAP_SHINGLES)
+    return by_cell(cells.join(points, "doc_id")).applyInArrow(link, "a long, b long")
+
+
 def family_links(dealt: DataFrame, width: int, percent: int) -> DataFrame:
     """Cells with texts -> links ``a, b`` that span the components inside each family."""
     def link(table: pa.Table) -> pa.Table:
@@ -342,9 +421,7 @@ def family_links(dealt: DataFrame, width: int, percent: int) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    # By the whole cell: a partitioning by family alone would keep its blocks in one task.
-    return dealt.repartition(shuffle_width(dealt.sparkSession), "family", "level", "x", "y").groupBy(
-        "family", "level", "x", "y").applyInArrow(link, "a long, b long")
+    return by_cell(dealt).applyInArrow(link, "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3,
@@ -381,6 +458,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"))
     heads = classes.select(F.col("class_id").alias("doc_id"), "n").dropDuplicates(["doc_id"])
     wanted = cut_lineage(families.withColumnRenamed("id", "doc_id").join(heads, "doc_id"))
+    # An id with several texts has all their maps.
+    maps = points.dropDuplicates(["doc_id", "d1", "d2"]).select("doc_id", "n", "bits")
+    parts = components(family_parts(wanted, maps, percent)).withColumnRenamed("component", "family")
+    wanted = cut_lineage(parts.withColumnRenamed("id", "doc_id").join(heads, "doc_id"))
     cells = cut_lineage(family_cells(wanted, percent))
     nearly = mark_likely(texts, cells, "doc_id").filter("_likely").drop("_likely")
     found = components(family_links(

@@ -138,6 +138,54 @@ def test_tree_bound_never_loses_a_link():
         assert found >= {i for i in range(len(sets)) if ngramjoin.linked(sets[q], sets[i], 90)}
 
 
+def test_bit_maps_never_lose_a_link():
+    draw = np.random.default_rng(4)
+    sets = []
+    for size in (1, 9, 31, 33, 63, 70, 128, 140, 250, 500):
+        base = np.unique(draw.integers(0, 2 ** 63, size).astype(np.uint64) * np.uint64(2))
+        sets += [base, base[:-1] if size > 1 else base, base[draw.random(len(base)) > 0.12]]
+    sets = [s for s in sets if len(s)]
+    maps = [ngramjoin.bit_map(s) for s in sets]
+    assert len({len(m) for m in maps}) > 2
+    for percent in (80, 90, 100):
+        for q in range(len(sets)):
+            for i in range(q):
+                got = ngramjoin.map_links(
+                    np.array([q, i]), np.array([len(sets[q]), len(sets[i])]),
+                    ngramjoin.even_maps([maps[q], maps[i]]), percent)
+                assert got or not ngramjoin.linked(sets[q], sets[i], percent)
+
+
+@pytest.mark.parametrize("most", [16_000_000, 3_000])
+def test_a_family_by_chance_is_parted_before_texts_travel(spark, monkeypatch, most):
+    monkeypatch.setattr(ngramjoin, "MAP_SHINGLES", most)
+    texts = {i: prose(i, 100 + i) for i in range(40)}
+    texts |= {100 + i: edited(texts[i], i, 0.01) for i in (3, 20)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    points = ngramjoin.set_points(frame, 3)
+    members = points.selectExpr("doc_id", "0L as family", "n")
+    found = ngramjoin.family_parts(members, points, 90).collect()
+    assert {frozenset(r) for r in found} == {frozenset((3, 103)), frozenset((20, 120))}
+
+
+def test_only_texts_that_may_link_travel(spark, monkeypatch):
+    """Every text is made of lines that others have too, so that all share many sections."""
+    draw, lines = random.Random(5), [prose(i, 12) for i in range(24)]
+    texts = {i: " ".join(draw.sample(lines, 12)) for i in range(60)}
+    texts[60] = texts[7] + " end"
+    sent, links = [], ngramjoin.family_links
+
+    def seen(dealt, width, percent):
+        sent.extend(r["doc_id"] for r in dealt.select("doc_id").distinct().collect())
+        return links(dealt, width, percent)
+
+    monkeypatch.setattr(ngramjoin, "family_links", seen)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in ngramjoin.jaccard_join(frame).collect()}
+    assert got == brute_components(texts, 3, 90)
+    assert sorted(sent) == [7, 60]
+
+
 def test_words_are_split_at_ascii_white_space():
     texts = [b"a b\x0bc\x1fd\x85e", b"", b" \n", b"a", b"b c"]
     hashes, offsets = word_hashes(texts)
