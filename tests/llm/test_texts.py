@@ -147,6 +147,59 @@ def test_exchange_separates_alternating_words():
     assert found[0] != found[1]
 
 
+@pytest.mark.parametrize("frequent", [1 << 18, 64])
+def test_every_counted_word_is_exchanged_and_scored_by_its_class(
+        documents, tmp_path, monkeypatch, frequent):
+    monkeypatch.setattr(brownlm, "FREQUENT", frequent)
+    monkeypatch.setattr(brownlm, "CLUSTERED", 32)
+    stored, docs = str(tmp_path / "vocabulary"), documents.select("doc_id", "text")
+    model = brownlm.train(docs.filter(~langid.held_out(7)), stored)
+    counts = {r["h"]: r["c"] for r in documents.sparkSession.read.parquet(stored).collect()}
+    classes = dict(zip(model.h.view(np.int64).tolist(), model.word_class.tolist(), strict=False))
+    contexts = set(classes)
+    classes |= {r["h"]: r["class"] for r in documents.sparkSession.read.parquet(
+        f"{stored}-classes").collect()}
+    assert classes.keys() == counts.keys() and len(contexts) <= frequent
+    assert {k < brownlm.CLASSES for h, k in classes.items() if counts[h] >= brownlm.LEAST} == {True}
+    assert {k for h, k in classes.items() if counts[h] < brownlm.LEAST} == {brownlm.RARE}
+    own = collections.Counter()
+    for h, c in counts.items():
+        own[classes[h]] += c
+    gain, rows = 0, brownlm.score(docs, model, stored).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in rows:
+        words, _ = brownlm.word_hashes([(texts[row["doc_id"]] or "").encode().lower()])
+        state, total = brownlm.START, 0
+        for h in words.view(np.int64).tolist():
+            of = classes.get(h, brownlm.RARE)
+            total += model.transition[state, of] + (
+                math.log10(counts.get(h, 0) + 1) - model.rare_base if of == brownlm.RARE
+                else math.log10(counts[h] / own[of]))
+            state = of if h in contexts else state
+        total += model.transition[state, brownlm.END]
+        assert row["score"] == pytest.approx(total, rel=1e-9)
+        gain += (row["score"] - row["base_score"]) * (zlib.crc32(str(row["doc_id"]).encode()) % 7 == 2)
+    assert gain > 0
+
+
+def test_words_beyond_the_first_are_parted_by_their_contexts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(brownlm, "CLUSTERED", 4)
+    monkeypatch.setattr(brownlm, "FREQUENT", 16)
+    draw = random.Random(5)
+    texts = [" ".join(x for _ in range(30) for x in (
+        f"a{draw.choice([0, 1, draw.randrange(40)])}", f"b{draw.choice([0, 1, draw.randrange(40)])}"))
+        for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stored = str(tmp_path / "vocabulary")
+    model = brownlm.train(docs, stored)
+    classes = dict(zip(model.h.view(np.int64).tolist(), model.word_class.tolist(), strict=False))
+    classes |= {r["h"]: r["class"] for r in spark.read.parquet(f"{stored}-classes").collect()}
+    found = [{classes[h] for h in brownlm.word_hashes(
+        [" ".join(f"{side}{i}" for i in range(40)).encode()])[0].view(np.int64).tolist()}
+        for side in "ab"]
+    assert not found[0] & found[1]
+
+
 def test_language_model_edges(edge_docs, no_docs, tmp_path):
     rows = _lm(edge_docs, edge_docs, tmp_path / "a")
     texts = {i * 3: t for i, t in enumerate(EDGE_TEXTS)}
