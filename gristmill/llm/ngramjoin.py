@@ -42,6 +42,7 @@ MAP_SHINGLES = 16_000_000     # the same where bit maps stand for the sets
 MAP_BITS = 2                  # bits of a map for each shingle, at least
 PAIR_SECTIONS = 8         # up to so many differences, keys are pairs of sections
 PAIR_SLACK, SLACK = 4, 12     # sections that linked sets agree in at least
+SHARE, MOST_SLACK = 4, 8000   # where many may differ, one for so many of those, as fits 16 bits
 POINT = "doc_id long, n long, d1 long, d2 long, bits binary"
 
 
@@ -98,7 +99,7 @@ def section_keys(own: np.ndarray, lows: list[int], most: list[int],
         if most[k] < 1:
             continue
         paired = most[k] <= PAIR_SECTIONS
-        slack = PAIR_SLACK if paired else SLACK
+        slack = PAIR_SLACK if paired else max(SLACK, min(most[k] // SHARE, MOST_SLACK))
         count = most[k] + slack
         seed = np.uint64(0xD6E8FEB86659FD93 * (k + 1) & (1 << 64) - 1)
         dealt = mix(own ^ seed)
@@ -170,7 +171,7 @@ def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
         counts = [len(k) for k, _, _ in found]
         keys = signed(np.concatenate([k for k, _, _ in found]))
         docs = np.repeat(np.array([d for _, d, _ in found], np.int64), counts)
-        need = np.repeat(np.array([n for _, _, n in found], np.int8), counts)
+        need = np.repeat(np.array([n for _, _, n in found], np.int16), counts)
         order = np.lexsort([docs, keys])
         keys, docs, need = keys[order], docs[order], need[order]
         first = np.ones(len(keys), bool)
@@ -181,7 +182,7 @@ def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
         # A settled row carries the id it is settled with in place of the key.
         center = docs[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
         yield {"key": np.where(first, keys, center), "doc_id": docs,
-               "tag": (need * 4 + tag).astype(np.int8)}
+               "tag": (need * 4 + tag).astype(np.int16)}
 
     def meet(batches):
         held = None         # last forwarded row: key, id, center, need, and whether it is shared
@@ -214,7 +215,7 @@ def shared_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_pydict({
             "a": a.astype(np.int64), "b": b.astype(np.int64), "need": need.astype(np.int32)})
 
-    sent = map_batches(docs, forward, "key long, doc_id long, tag byte")
+    sent = map_batches(docs, forward, "key long, doc_id long, tag short")
     route = F.when(F.col("tag") % 4 == SETTLED, F.xxhash64("key", "doc_id")).otherwise(F.col("key"))
     dealt = sent.repartition(shuffle_width(docs.sparkSession), route)
     return dealt.sortWithinPartitions("key", "doc_id").mapInArrow(
@@ -327,22 +328,37 @@ def map_links(ids: np.ndarray, sizes: np.ndarray, maps: np.ndarray, percent: int
               visitor: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs that span the components of all pairs whose bit maps let them link.
 
-    ``side`` and ``visitor`` as in :func:`tree_links`.  A group of n sets that all
-    may link gives n - 1 pairs.
+    ``side`` and ``visitor`` as in :func:`tree_links`; visitors are no smaller than
+    the others.  A group of n sets that all may link gives n - 1 pairs.  Each set is
+    compared with those of its size and above, as far as sizes may link, first on
+    as many words of the maps as it takes to part most sets that have nothing in common.
     """
-    asking = len(ids)
-    if visitor is not None:     # visitors come last and ask nothing
-        order = np.argsort(visitor, kind="stable")
-        ids, sizes, maps = ids[order], sizes[order], maps[:, order]
-        side = None if side is None else side[order]
-        asking -= np.count_nonzero(visitor)
+    # Visitors come last and ask nothing.
+    order = np.argsort(sizes, kind="stable") if visitor is None else np.lexsort([sizes, visitor])
+    ids, sizes = ids[order], sizes[order]
+    side = None if side is None else side[order]
+    asking = len(ids) if visitor is None else len(ids) - np.count_nonzero(visitor)
+    ends = np.searchsorted(sizes, 100 * sizes // percent, "right")
+    most = (100 - percent) * sizes
+    # Bits of a word in which unrelated sets differ, and those that linked sets may differ in.
+    filled = np.bitwise_count(maps).mean() / 64
+    allowed = 2 * np.quantile(most, 0.9) / (100 + percent)
+    first_words = int(min(1.2 * allowed / max(128 * filled * (1 - filled), 1) + 1, len(maps)))
+    few, rest = (np.ascontiguousarray(part[:, order]) for part in np.split(maps, [first_words]))
     label, links = np.arange(len(ids)), []
+    narrow = np.uint16 if len(maps) < 1024 else np.int64
+
+    def apart(part: np.ndarray, q: int, others) -> np.ndarray:
+        bits = np.bitwise_count(part[:, others] ^ part[:, q:q + 1])
+        return (100 + percent) * np.add.reduce(bits, 0, dtype=narrow).astype(np.int64)
+
     for q in range(asking):
-        later = slice(q + 1, None)
-        apart = np.bitwise_count(maps[:, later] ^ maps[:, q:q + 1]).sum(0, dtype=np.int64)
-        most = (100 - percent) * (sizes[later] + sizes[q])
-        found = q + 1 + np.flatnonzero(
-            ((100 + percent) * apart <= most) & (label[later] != label[q]))
+        later = slice(q + 1, ends[q])
+        lower = apart(few, q, later)
+        found = np.flatnonzero((lower <= most[later] + most[q]) & (label[later] != label[q]))
+        if len(found):
+            lower, found = lower[found], found + q + 1
+            found = found[lower + apart(rest, q, found) <= most[found] + most[q]]
         if side is not None:
             found = found[side[found] != side[q]]
         if len(found):

@@ -168,6 +168,50 @@ def test_a_family_by_chance_is_parted_before_texts_travel(spark, monkeypatch, mo
     assert {frozenset(r) for r in found} == {frozenset((3, 103)), frozenset((20, 120))}
 
 
+def test_sets_in_which_much_may_differ_must_share_more_sections():
+    """A few common passages do not bring long texts together; linked ones share what they need."""
+    lows, most = ngramjoin.size_classes(80)
+    draw = np.random.default_rng(3)
+    own = np.unique(draw.integers(0, 1 << 63, 1_000, dtype=np.uint64))
+    common = own[:250]
+    other = np.unique(np.append(common, draw.integers(0, 1 << 63, 750, dtype=np.uint64)))
+    near = np.unique(np.append(own[:-100], draw.integers(0, 1 << 63, 100, dtype=np.uint64)))
+    (mine, need), (chance, _), (copy, least) = (
+        ngramjoin.section_keys(s, lows, most, 80) for s in (own, other, near))
+    assert ngramjoin.linked(own, near, 80) and not ngramjoin.linked(own, other, 80)
+    assert len(np.intersect1d(mine, copy)) >= max(need, least)
+    assert 4 * need >= most[int(np.searchsorted(lows, len(own), "right")) - 1] // 2
+    assert len(np.intersect1d(mine, chance)) < need
+
+
+def test_maps_part_sets_as_whole_ones_do():
+    draw = np.random.default_rng(7)
+    sets = [np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            for n in draw.integers(300, 700, 120)]
+    sets += [np.unique(np.append(s[20:], draw.integers(0, 1 << 63, 15, dtype=np.uint64)))
+             for s in sets[:30]]
+    sizes, maps = np.array([len(s) for s in sets]), ngramjoin.even_maps(
+        [ngramjoin.bit_map(s) for s in sets])
+    apart = np.bitwise_count(maps[:, :, None] ^ maps[:, None]).sum(0, dtype=np.int64)
+    may = (180 * apart <= 20 * (sizes + sizes[:, None])) & (
+        100 * np.minimum(sizes, sizes[:, None]) >= 80 * np.maximum(sizes, sizes[:, None]))
+    visitor, side = sizes >= 500, np.arange(len(sets)) % 2
+    for seen, sides, given in ((may, None, None), (may & (side != side[:, None]), side, None),
+                               (may & ~(visitor & visitor[:, None]), None, visitor)):
+        want = {frozenset((a, b)) for a, b in zip(*np.nonzero(seen), strict=True) if a < b}
+        found = {frozenset(p) for p in ngramjoin.map_links(
+            np.arange(len(sets)), sizes, maps, 80, sides, given)}
+        assert found <= want and components_of(found) == components_of(want)
+
+
+def components_of(pairs):
+    groups = []
+    for pair in pairs:
+        joined = [g for g in groups if g & pair]
+        groups = [g for g in groups if not g & pair] + [frozenset(pair).union(*joined)]
+    return set(groups)
+
+
 def test_only_texts_that_may_link_travel(spark, monkeypatch):
     """Every text is made of lines that others have too, so that all share many sections."""
     draw, lines = random.Random(5), [prose(i, 12) for i in range(24)]
